@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 # The characters Unicode-aware whitespace covers.
 #   LINE_BREAKS end a line; BLANKS are all other whitespace.
-LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
+LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 BLANKS = (
-    "\t\x1f \xa0         "
-    "     　"
+    "\t\x1f \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u202f\u205f\u3000"
 )
 WHITESPACE = BLANKS + LINE_BREAKS
 
