@@ -1,0 +1,60 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Most keys that can be treated as hot; also the size bound of what is broadcast.
+MAX_HOT_KEYS = 1024
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """The most frequent keys with at least ``min_rows`` rows, never more than MAX_HOT_KEYS.
+
+    The limit loses nothing: a key left out is simply joined the usual way.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= min_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(key)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    spread_by: list[str],
+    min_rows: int = 1_000_000,
+    salts: int = 64,
+) -> DataFrame:
+    """``left`` joined to ``right`` on ``key`` (left, inner, left_semi or left_anti).
+
+    Left rows of a hot key are dealt over ``salts`` slots by a hash of
+    ``spread_by`` and the matching right rows are repeated once per slot. Left
+    rows with a null key match nothing and are dealt out too. The slot depends
+    on column values only, so a recomputed task gives the same rows.
+
+    ``left`` is read twice, once for the key counts: pass a stored table.
+    """
+    hot = F.broadcast(
+        hot_keys(left.select(key), key, min_rows).select(F.col(key).alias("_hot_key"))
+    )
+    slot = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    left = (
+        left.join(hot, F.col(key) == F.col("_hot_key"), "left")
+        .withColumn("_slot", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), slot).otherwise(0))
+        .drop("_hot_key")
+    )
+    right = (
+        right.join(hot, F.col(key) == F.col("_hot_key"), "left")
+        .withColumn(
+            "_slot",
+            F.explode(
+                F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+                    F.array(F.lit(0))
+                )
+            ),
+        )
+        .drop("_hot_key")
+    )
+    return left.join(right, [key, "_slot"], how).drop("_slot")
