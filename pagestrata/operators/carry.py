@@ -54,11 +54,10 @@ def carry(
         .withColumn("_enters", F.last("_edge", ignorenulls=True).over(before)["v"])
         .drop("_edge")
     )
-    filled = df.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
-    on = [filled[k].eqNullSafe(summary[k]) for k in [*keys, "_chunk"]]
-    joined = filled.join(summary, on, "left").select(
-        *[filled[c] for c in filled.columns], summary["_enters"]
-    )
-    return joined.withColumn(name, F.coalesce("_inside", "_enters")).drop(
-        "_value", "_chunk", "_inside", "_enters"
+    summary = summary.select(
+        *[F.col(k).alias(f"_on_{i}") for i, k in enumerate([*keys, "_chunk"])], "_enters"
     )
+    filled = df.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
+    on = [F.col(k).eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate([*keys, "_chunk"])]
+    joined = filled.join(summary, on, "left").withColumn(name, F.coalesce("_inside", "_enters"))
+    return joined.select(*[c for c in df.columns if not c.startswith("_")], name)
