@@ -100,3 +100,11 @@ def with_lookup(rows: DataFrame, name: str, key: Column, owner: Column, value: C
     )
     found = F.first(F.when(owner, value)).over(w)
     return rows.withColumn(name, F.when(~owner & key.isNotNull(), found))
+
+
+def with_enclosing_link(rows: DataFrame, name: str) -> DataFrame:
+    """Add the address an element leads to: that of the enclosing link, else its own."""
+    is_link = F.col("tag") == "a"
+    rows = rows.withColumn("_link", nearest_ancestor(is_tag("a"))["pre"])
+    rows = with_lookup(rows, "_around", F.when(~is_link, F.col("_link")), is_link, F.col("href"))
+    return rows.withColumn(name, F.coalesce("_around", "href")).drop("_link", "_around")

@@ -17,18 +17,6 @@ def first_where(cond: Column, value: Column, order: Column | str = "pre") -> Col
     return F.min(F.when(cond, entry))["v"]
 
 
-def nth_where(cond: Column, value: Column, order: Column | str, index: int) -> Column:
-    """Aggregate: ``value`` of the row meeting ``cond`` at position ``index`` (0-based).
-
-    For groups that are small by construction, such as the icons of one page.
-    """
-    if index < 0:
-        return F.lit(None)
-    order = F.col(order) if isinstance(order, str) else order
-    rows = F.array_sort(F.collect_list(F.when(cond, F.struct(order.alias("o"), value.alias("v")))))
-    return F.get(rows, F.lit(index))["v"]
-
-
 def best_strategy(strategy: Column, order: Column, value: Column) -> Column:
     """Aggregate: ``value`` with the lowest strategy number, earliest within it."""
     entry = F.struct(strategy.alias("s"), order.alias("o"), value.alias("v"))

@@ -37,7 +37,8 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
         .when((tag == "article") & has_ancestor(is_tag("article", classes=(LISTING_CLASS,))), 2)
         .when(path.endswith("/ul/li"), 3)
     )
-    nodes = nodes.where(tag.isin(*REQUEST.elements))
+    snippet_div = (tag == "div") & contains_any("class", SNIPPET_CLASSES)
+    nodes = nodes.where(tag.isin(*[t for t in REQUEST.elements if t != "div"]) | snippet_div)
     parts = by_ancestor(
         nodes.withColumn("strategy", strategy),
         is_tag("tr", "article", "li"),
@@ -59,7 +60,7 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
         first((tag == "a") & contains_any("class", TITLE_CLASSES)).alias("t4"),
         first(tag == "a").alias("t5"),
         first(tag == "p").alias("s1"),
-        first((tag == "div") & contains_any("class", SNIPPET_CLASSES)).alias("s2"),
+        first(tag == "div").alias("s2"),
         first((tag == "a") & F.col("attrs")["href"].contains("http"), F.col("href")).alias("l1"),
         first(tag == "a", F.col("href")).alias("l2"),
     )

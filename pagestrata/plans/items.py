@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,16 +80,19 @@ def extract_items(
     run_id: str,
     linked: DataFrame | None = None,
     labels: Labels = Labels(),
+    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Records of all pages. A page gives its section items, or its cards when it has none.
 
     ``nodes`` is read several times: pass a stored table. ``linked`` defaults
-    to the pages themselves.
+    to the pages themselves. ``store`` may write a table that is used twice
+    and hand back the stored copy.
     """
-    items = extract_sections(nodes)
+    items = store(extract_sections(nodes), "section_items")
     if linked is None:
         linked = page_text.unique_by_url(page_text.page_text(nodes))
     generic = extract_cards(nodes).join(items.select("page_id").distinct(), "page_id", "left_anti")
+    generic = store(generic, "cards")
     return section_records(items, run_date, run_id, labels).unionByName(
         card_records(enrich(generic, linked), run_date, run_id, labels)
     )
