@@ -71,12 +71,13 @@ def run(
     linked: DataFrame | None = None,
     labels: Labels = Labels(),
     empty_is_null: bool = True,
+    strict: bool = False,
 ) -> DataFrame | None:
     """Extract, consolidate, de-duplicate, report. Returns the report row, or None.
 
     Run ids order the base: each must sort after those already finished. A run
     id that is finished already is not run again. None means that nothing was
-    stored: no items, or the consolidation failed.
+    stored: no items, or storing failed; with ``strict`` a failure is raised.
     """
     spark = pages.sparkSession
     done = reports(spark, out_dir).where(F.col("run_id") == run_id)
@@ -107,6 +108,8 @@ def run(
         consolidate(base, batch).write.mode("overwrite").parquet(consolidated_path)
     except Exception:
         log.exception("consolidation failed; the base stays as it was")
+        if strict:
+            raise
         return None
 
     try:
@@ -122,6 +125,8 @@ def run(
         run_report(counts).coalesce(1).write.mode("overwrite").parquet(report_path)
     except Exception:
         log.exception("post-processing failed; the base stays as it was")
+        if strict:
+            raise
         return None
     return reports(spark, out_dir).where(F.col("run_id") == run_id)
 

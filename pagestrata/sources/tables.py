@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -44,10 +45,17 @@ def read_base(spark: SparkSession, path: str | None, empty_is_null: bool = True)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+
+    Where none is named and everything runs on this machine, a new local folder.
+    """
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pagestrata-"))
+        folder = sc.getCheckpointDir()
     return folder.rstrip("/")
 
 

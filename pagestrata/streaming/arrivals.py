@@ -24,11 +24,12 @@ def follow_pages(
     """Process every new parquet file of ``source`` and stop when none is left.
 
     The base is the only state, so there is no watermark. A batch that is
-    replayed has the same run id and is recognised as done.
+    replayed has the same run id and is recognised as done; one that fails
+    stops the stream and is replayed on the next start.
     """
 
     def handle(pages: DataFrame, batch_id: int) -> None:
-        daily_run.run(pages, out_dir, run_date(), f"{batch_id:012d}", labels=labels)
+        daily_run.run(pages, out_dir, run_date(), f"{batch_id:012d}", labels=labels, strict=True)
 
     return (
         spark.readStream.schema(PAGES)
