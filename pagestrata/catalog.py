@@ -25,7 +25,7 @@ from pagestrata.plans.items import card_records, enrich, extract_items
 from pagestrata.schema import COLUMNS, GREETINGS, NORMALISED_KEYS, PRIMARY_KEYS
 from pagestrata.sources.nodes import explode_nodes
 from pagestrata.sources.page_tree import NodeRequest
-from pagestrata.sources.tables import Staging, read_pages
+from pagestrata.sources.tables import Staging, read_pages, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,6 +85,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts are costly per row, so every core gets its share of them."""
+    return spread(_table(spark, sf, "documents"), "doc_id")
+
+
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
     return read_pages(spark, f"{sf}/pages.parquet")
 
@@ -94,7 +99,7 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("q01_norm_text", f"SELECT doc_id, {_norm('text')} AS norm FROM documents")
 def q01(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", text.norm_text("text").alias("norm"))
+    return _documents(spark, sf).select("doc_id", text.norm_text("text").alias("norm"))
 
 
 @query(
@@ -397,7 +402,7 @@ def q17(spark, sf):
         link.alias("link"),
     )
     doc = F.col("doc_id")
-    linked = _table(spark, sf, "documents").select(
+    linked = _documents(spark, sf).select(
         F.concat(F.lit("http://docs.example/"), doc).alias("url"),
         F.when(doc % 3 == 0, "").otherwise(F.concat_ws(" ", "source", doc)).alias("title"),
         F.when(doc % 4 != 0, F.col("text")).alias("body"),
@@ -417,7 +422,7 @@ BLANKED = """
         WHERE nullif(title, '') IS NOT NULL OR nullif(snippet, '') IS NOT NULL""",
 )
 def q18(spark, sf):
-    rows = _table(spark, sf, "documents").selectExpr("doc_id", *BLANKED.strip().split(",\n"))
+    rows = _documents(spark, sf).selectExpr("doc_id", *BLANKED.strip().split(",\n"))
     return card_plan.drop_empty(rows, "title", "snippet")
 
 
@@ -438,7 +443,7 @@ def q19(spark, sf):
 
 def _doc_records(spark: SparkSession, sf: str, body=None) -> DataFrame:
     """Documents as records: language as title, text as description, source as label."""
-    rows = _table(spark, sf, "documents").select(
+    rows = _documents(spark, sf).select(
         "doc_id",
         F.col("lang").alias("Ato"),
         (F.col("text") if body is None else body).alias("Descrição"),
@@ -539,7 +544,7 @@ def q24(spark, sf):
     title = F.get(text.split_lines("text"), F.lit(0))
     respelled = F.lower(F.replace("title", F.lit(" "), F.lit("  ")))
     return (
-        _table(spark, sf, "documents")
+        _documents(spark, sf)
         .select("doc_id", "text", title.alias("title"))
         .select(
             "doc_id",
@@ -583,7 +588,7 @@ GREETED = """CASE doc_id % 5
     + " OR ".join(f"contains(t, '{g}')" for g in GREETINGS) + ")",
 )
 def q26(spark, sf):
-    rows = _table(spark, sf, "documents").select("doc_id", F.expr(GREETED).alias("t"))
+    rows = _documents(spark, sf).select("doc_id", F.expr(GREETED).alias("t"))
     return rows.where(~text.contains_any("t", GREETINGS))
 
 
@@ -593,7 +598,7 @@ def q26(spark, sf):
 # descriptions, placed in turn in the four positions a cell is looked for.
 def _doc_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = F.filter(F.transform(text.split_lines("text"), text.trim_all), lambda x: x != "")
-    return _table(spark, sf, "documents").select("doc_id", "lang", "source", lines.alias("lines"))
+    return _documents(spark, sf).select("doc_id", "lang", "source", lines.alias("lines"))
 
 
 def _escape(c: Column) -> Column:
@@ -732,7 +737,7 @@ def q30(spark, sf):
         F.when(F.col("p_size") % 3 != 0, icon).otherwise(""), F.lit("</td></tr>"),
     )
     pages = _page_of_twenty(_table(spark, sf, "part"), "p_partkey", row, "http://alerts.example/")
-    nodes = explode_nodes(pages, selection.ALERT_REQUEST)
+    nodes = Staging(spark).store(explode_nodes(pages, selection.ALERT_REQUEST), "nodes")
     return selection.select_alert(selection.alert_rows(nodes), selection.alert_icons(nodes), "Ring", index=1)
 
 
@@ -762,16 +767,20 @@ def q31(spark, sf):
     return history.drop("row_pos")
 
 
-def _page_of_twenty(df: DataFrame, key: str, row, url: str) -> DataFrame:
-    grouped = df.groupBy(F.floor(F.col(key) / 20).alias("page_id")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), row.alias("row")))).alias("rows")
-    )
+def _page_of_twenty(df: DataFrame, key: str, row: Column, url: str) -> DataFrame:
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A set number of partitions is not merged again for being few bytes, as
+    # reading the pages costs far more than their size suggests.
+    rows = df.select(F.floor(F.col(key) / 20).alias("page_id"), F.col(key).alias("k"), row.alias("row"))
+    grouped = rows.repartition(parts, "page_id").groupBy("page_id")
     html = F.concat(
         F.lit("<table><tr><th>Nome do Alerta</th></tr>"),
         F.array_join(F.transform("rows", lambda r: r["row"]), "\n"),
         F.lit("</table>"),
     )
-    return grouped.select("page_id", F.lit(url).alias("url"), html.alias("html"))
+    pages = grouped.agg(F.array_sort(F.collect_list(F.struct("k", "row"))).alias("rows"))
+    return pages.select("page_id", F.lit(url).alias("url"), html.alias("html"))
 
 
 @query(

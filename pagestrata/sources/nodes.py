@@ -52,18 +52,6 @@ def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Give every core a share of the pages when the scan has fewer splits than cores.
-
-    A large input has far more splits than cores and is left as it is, so no
-    markup is shuffled.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < cores:
-        return pages.repartition(cores, "page_id")
-    return pages
-
-
 def explode_nodes(pages: DataFrame, request: NodeRequest) -> DataFrame:
     """``pages(page_id, url, html)`` to one row per requested element.
 
@@ -91,4 +79,4 @@ def explode_nodes(pages: DataFrame, request: NodeRequest) -> DataFrame:
         if rows:
             yield _to_batch(rows)
 
-    return spread(pages.select("page_id", "url", "html")).mapInArrow(read, NODES)
+    return pages.select("page_id", "url", "html").mapInArrow(read, NODES)

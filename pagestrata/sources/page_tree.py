@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 from urllib.parse import urljoin
 
@@ -50,8 +51,8 @@ P_ENDERS = (BLOCKS | {"hr"}) - {"body", "html", "caption", "tbody", "thead", "tf
 
 _ATTRIBUTE = r"""[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?"""
 _MARKUP = re.compile(
-    rf"<!--(?:-?>|(?P<comment>.*?)(?:--!?>|\Z))"
-    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[\s/]+|{_ATTRIBUTE})*+)>"
+    rf"<!--(?:-?>|(.*?)(?:--!?>|\Z))"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_ATTRIBUTE})*+)>"
     rf"|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*>?",
     re.S,
 )
@@ -121,9 +122,10 @@ class _Page:
         self.value: list[str] = []
         self.html: list[str] = []
         self.pre = self.post = self.unseen = self.html_open = 0
+        self.open_tags: dict[str, int] = defaultdict(int)
 
     def add_text(self, text: str, raw: bool = False) -> None:
-        data = text if raw else html_lib.unescape(text)
+        data = text if raw or "&" not in text else html_lib.unescape(text)
         if self.html_open:
             self.html.append(data if raw else _escape(data))
         if self.request.value:
@@ -157,6 +159,7 @@ class _Page:
         self.html_open += el.html
         el.marks = (len(self.text), len(self.value), len(self.html))
         self.unseen += tag in UNSEEN
+        self.open_tags[tag] += 1
         self.stack.append(el)
 
     def pop(self) -> None:
@@ -186,6 +189,7 @@ class _Page:
             )
         self.post += 1
         self.unseen -= tag in UNSEEN
+        self.open_tags[tag] -= 1
         self.html_open -= el.html
         if self.html_open and tag not in VOID:
             self.html.append(f"</{tag}>")
@@ -213,13 +217,13 @@ class _Page:
                 self.pop()
 
     def start(self, tag: str, source: str) -> None:
-        if tag in TABLE_PARTS and not any(el.tag == "table" for el in self.stack):
+        if tag in TABLE_PARTS and not self.open_tags["table"]:
             return
         attrs: dict[str, str] = {}
         if source:
             for name, double, single, bare in _ATTRS.findall(source):
                 attrs.setdefault(name.lower(), html_lib.unescape(double or single or bare))
-        if tag in P_ENDERS:
+        if tag in P_ENDERS and self.open_tags["p"]:
             self.end_open(frozenset(["p"]), SCOPES)
         if tag in IMPLIED_END:
             self.end_open(*IMPLIED_END[tag])
@@ -241,7 +245,7 @@ class _Page:
         if tag == "br":
             self.start("br", "")
             return
-        if tag in ("body", "html"):
+        if tag in ("body", "html") or not self.open_tags[tag]:
             return
         for i in range(len(self.stack) - 1, -1, -1):
             other = self.stack[i].tag
@@ -256,9 +260,9 @@ class _Page:
                 return
 
     def read(self, html: str) -> list[tuple]:
-        pos, size = 0, len(html)
+        pos, size, search = 0, len(html), _MARKUP.search
         while pos < size:
-            m = _MARKUP.search(html, pos)
+            m = search(html, pos)
             if m is None:
                 cut = _CUT_OFF.search(html, pos)
                 self.add_text(html[pos : cut.start() if cut else size])
@@ -266,15 +270,16 @@ class _Page:
             if m.start() > pos:
                 self.add_text(html[pos : m.start()])
             pos = m.end()
-            if m["tag"] is None:
-                if self.html_open and m["comment"] is not None:
-                    self.html.append(f"<!--{m['comment']}-->")
+            comment, end, tag, attrs = m.groups()
+            if tag is None:
+                if self.html_open and comment is not None:
+                    self.html.append(f"<!--{comment}-->")
                 continue
-            tag = m["tag"].lower()
-            if m["end"]:
+            tag = tag.lower()
+            if end:
                 self.end(tag)
                 continue
-            self.start(tag, m["attrs"])
+            self.start(tag, attrs)
             if tag in RAW_TEXT or tag in RAW_DECODED:
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, pos)
                 stop = close.start() if close else size

@@ -14,9 +14,20 @@ from pagestrata.operators.dedupe import align_columns, empty_as_null
 from pagestrata.schema import COLUMNS, PAGES, RECORDS
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a scan that has fewer splits than there are cores.
+
+    A large input has far more splits than cores and is returned as it is, so
+    nothing is shuffled. For plain scans only: asking a shuffled result for its
+    partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table ``pages(page_id, url, html)``."""
-    return spark.read.schema(PAGES).parquet(path)
+    """A parquet table ``pages(page_id, url, html)``, spread over the cores."""
+    return spread(spark.read.schema(PAGES).parquet(path), "page_id")
 
 
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
