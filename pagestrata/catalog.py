@@ -53,8 +53,9 @@ def _lines(e: str) -> str:
 
 
 def _unescape(e: str) -> str:
-    for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
-        e = f"replace({e}, '{entity}', '{char}')"
+    """The four entities in ``pages``; HTML reads them without the semicolon too."""
+    for entity, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
+        e = f"regexp_replace({e}, '&{entity};?', '{char}', 'g')"
     return e
 
 

@@ -1,0 +1,137 @@
+import pytest
+
+from pagestrata.sources.nodes import explode_nodes
+from pagestrata.sources.page_tree import NodeRequest, page_elements
+
+TAGS = "html body table tbody thead tr td th p div ul li a b i strong h1 h2 span br img article option dd dt".split()
+ALL = NodeRequest(
+    elements=dict.fromkeys(TAGS, ()),
+    text=dict.fromkeys(TAGS, ()),
+    value=dict.fromkeys(TAGS, ()),
+    inner_html=dict.fromkeys(TAGS, ()),
+    context=frozenset(TAGS),
+)
+PATH, ATTRS, HREF, ANC, TEXT, VALUE, INNER = 6, 7, 8, 9, 10, 11, 12
+
+
+def tree(html, url="http://host.example/a/b"):
+    return sorted(page_elements(html, url, ALL))
+
+
+def paths(html):
+    return [r[PATH] for r in tree(html)]
+
+
+def texts(html, tag):
+    return [r[TEXT] for r in tree(html) if r[4] == tag]
+
+
+def test_numbering_gives_the_last_descendant():
+    rows = tree("<div><p>a<b>b</b></p><ul><li>c<li>d</ul></div><p>e")
+    by_pre = {r[0]: r for r in rows}
+    for pre, post, depth, *_ in rows:
+        inside = [p for p, r in by_pre.items() if p != pre and pre in {a[0] for a in r[ANC]}]
+        assert post + depth == max([pre, *inside])
+        assert all(by_pre[p][1] < post for p in inside)
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<p>a<p>b<div>c</div>", ["/p", "/p", "/div"]),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["/ul", "/ul/li", "/ul/li", "/ul/li/ul", "/ul/li/ul/li", "/ul/li"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>x<b>y</b>",
+         ["/table", "/table/tbody", "/table/tbody/tr", "/table/tbody/tr/td", "/table/tbody/tr/td",
+          "/table/tbody/tr", "/table/tbody/tr/td", "/b"]),
+        ("<table><td>a</table>", ["/table", "/table/tbody", "/table/tbody/tr", "/table/tbody/tr/td"]),
+        ("<table><thead><tr><th>a<tbody><tr><td>b</table>",
+         ["/table", "/table/thead", "/table/thead/tr", "/table/thead/tr/th", "/table/tbody",
+          "/table/tbody/tr", "/table/tbody/tr/td"]),
+        ("<div><tr><td>a</td></tr></div>", ["/div"]),
+        ("<div></span></p>a</div></div><p>b", ["/div", "/p"]),
+        ("<table><tr><td><div>a</table><p>b",
+         ["/table", "/table/tbody", "/table/tbody/tr", "/table/tbody/tr/td", "/table/tbody/tr/td/div", "/p"]),
+        ("<table><tr><td>a</div></li></td></tr></table>",
+         ["/table", "/table/tbody", "/table/tbody/tr", "/table/tbody/tr/td"]),
+        ("<h1>a<h2>b</h2>", ["/h1", "/h2"]),
+        ("<a href=x>a<a href=y>b</a>", ["/a", "/a"]),
+        ("<DIV CLASS=x><Br></DIV>", ["/div", "/div/br"]),
+    ],
+)
+def test_shape(html, expected):
+    assert paths(html) == expected
+
+
+def test_text_as_shown():
+    assert texts("<p> a\n  b <b> c</b>d<br>e<br/> f &amp;&nbsp;g&lt</p>", "p") == ["a b cd\ne\nf & g<"]
+    assert texts("<td>x</td><table><tr><td>a</td><td>b<p>c</p>d</td></tr><tr><td>e</table>", "table") == ["a b\nc\nd\ne"]
+    assert texts("<div>a<br><br>b<div>c</div><div><p></p>d</div></div>", "div")[0] == "a\n\nb\nc\nd"
+    assert texts("<div>a<script>var t='</p>';</script><style>p{}</style><!-- no -->b</div>", "div") == ["ab"]
+
+
+def test_string_value_has_everything():
+    (row,) = [r for r in tree("<div> a\n<b>b</b><script>x</script>&nbsp;</div>") if r[4] == "div"]
+    assert row[VALUE] == " a\nbx\xa0"
+
+
+def test_inner_html_is_serialised():
+    html = "<td>x</td><div>A &amp; &lt;b&gt;&nbsp;&eacute;<BR/><I CLASS='a\"b'>t</i><!--c--><p>q<p>r</div>"
+    (row,) = [r for r in tree(html) if r[4] == "div"]
+    assert row[INNER] == 'A &amp; &lt;b&gt;&nbsp;é<br><i class="a&quot;b">t</i><!--c--><p>q</p><p>r</p>'
+
+
+def test_attributes_and_links():
+    rows = tree("<a HREF='/x?a=1&amp;b=2' class=k data-y>1</a><a href=y>2</a><a>3</a><a href='http://o.example/z' href=q>4</a>")
+    assert dict(rows[0][ATTRS]) == {"href": "/x?a=1&b=2", "class": "k", "data-y": ""}
+    assert [r[HREF] for r in rows] == [
+        "http://host.example/x?a=1&b=2",
+        "http://host.example/a/y",
+        None,
+        "http://o.example/z",
+    ]
+    assert tree("<base href='http://c.example/d/'><a href=e>x</a>")[0][HREF] == "http://c.example/d/e"
+
+
+@pytest.mark.parametrize("html", ["<div>a<p class='x", "<div>a</p", "<div>a<!-- b", "<div>a<script>b", "<div>a<"])
+def test_cut_off_markup(html):
+    shown = "a<" if html.endswith("a<") else "a"
+    assert texts(html, "div") == [shown]
+
+
+@pytest.mark.parametrize("html", ["", "text only", "<>", "</>", "<!DOCTYPE html>", "< p>", "<!-->", "<?php x ?>"])
+def test_nothing_to_find(html):
+    assert tree(html) == []
+
+
+def test_hostile_markup_stays_linear():
+    for html in ("<a b=\"" * 20_000, "<" * 100_000, "<!--" * 20_000, "<p>" * 5_000, "&" * 100_000, "<a " * 50_000):
+        tree(html[:60_000])
+
+
+def test_request_limits_output():
+    request = NodeRequest(elements={"td": ("grey",)}, text={"td": ("grey",)}, context=frozenset({"tr"}))
+    rows = page_elements("<table><tr><td class=darkgrey>a<td>b<td class=x>c</table>", "", request)
+    assert [(r[4], r[5], r[TEXT], r[VALUE], r[INNER]) for r in rows] == [("td", "darkgrey", "a", None, None)]
+    assert rows[0][ANC] == [(2, "tr", "")]
+
+
+def test_requests_merge():
+    a = NodeRequest(elements={"td": ("x",), "p": ()}, text={"td": ("x",)})
+    b = NodeRequest(elements={"td": ("y",), "p": ("z",)}, context=frozenset({"tr"}))
+    merged = a | b
+    assert merged.elements == {"td": ("x", "y"), "p": ()}
+    assert merged.text == {"td": ("x",)} and merged.context == {"tr"}
+
+
+def test_bad_page_gives_an_error_row(spark, pages_of, monkeypatch):
+    pages = pages_of("<p>a", "<p>b")
+    broken = NodeRequest(elements={"p": ()}, text={"p": 5})  # fails while reading
+    rows = explode_nodes(pages, broken).collect()
+    assert [r.tag for r in rows] == [None, None] and all("TypeError" in r.error for r in rows)
+    good = explode_nodes(pages, NodeRequest(elements={"p": ()}, text={"p": ()})).orderBy("page_id").collect()
+    assert [(r.page_id, r.text, r.error) for r in good] == [(0, "a", None), (1, "b", None)]
+
+
+def test_null_page_gives_no_row(spark):
+    pages = spark.createDataFrame([(1, None, None)], "page_id bigint, url string, html string")
+    assert explode_nodes(pages, ALL).count() == 0
