@@ -52,14 +52,15 @@ P_ENDERS = (BLOCKS | {"hr"}) - {"body", "html", "caption", "tbody", "thead", "tf
 _ATTRIBUTE = r"""[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?"""
 _MARKUP = re.compile(
     rf"<!--(?:-?>|(.*?)(?:--!?>|\Z))"
-    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_ATTRIBUTE})*+)>"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_ATTRIBUTE})*+)(>|\Z)"
     rf"|<(?:[!?]|/(?=[^a-zA-Z]))[^>]*>?",
     re.S,
 )
 _ATTRS = re.compile(
     r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)?))?"""
 )
-_CUT_OFF = re.compile(r"</?[a-zA-Z]")
+# Deeper elements become siblings, as in browsers; it also bounds paths and ancestor lists.
+MAX_DEPTH = 512
 _SOURCE_SPACE = re.compile(r"[ \t\r\n\f]{2,}|[\t\r\n\f]")
 _SPACES = re.compile(" {2,}")
 # In rendered pieces "\n" is a forced line break and "\r" a block edge.
@@ -135,6 +136,8 @@ class _Page:
 
     def push(self, tag: str, attrs: dict[str, str]) -> None:
         want = self.request
+        if len(self.stack) >= MAX_DEPTH:
+            self.pop()
         if self.html_open:
             shown = "".join(
                 ' %s="%s"' % (k, v.replace("&", "&amp;").replace("\xa0", "&nbsp;").replace('"', "&quot;"))
@@ -264,17 +267,18 @@ class _Page:
         while pos < size:
             m = search(html, pos)
             if m is None:
-                cut = _CUT_OFF.search(html, pos)
-                self.add_text(html[pos : cut.start() if cut else size])
+                self.add_text(html[pos:])
                 break
             if m.start() > pos:
                 self.add_text(html[pos : m.start()])
             pos = m.end()
-            comment, end, tag, attrs = m.groups()
+            comment, end, tag, attrs, closed = m.groups()
             if tag is None:
                 if self.html_open and comment is not None:
                     self.html.append(f"<!--{comment}-->")
                 continue
+            if not closed:
+                break
             tag = tag.lower()
             if end:
                 self.end(tag)
