@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import udtf
 
 from pagestrata.sources.page_tree import NodeRequest, page_elements
 
@@ -80,3 +81,21 @@ def explode_nodes(pages: DataFrame, request: NodeRequest) -> DataFrame:
             yield _to_batch(rows)
 
     return pages.select("page_id", "url", "html").mapInArrow(read, NODES)
+
+
+def register_html_nodes(spark: SparkSession, request: NodeRequest, name: str = "html_nodes") -> None:
+    """Make the node reader a table function for SQL.
+
+    ``SELECT n.* FROM pages p, LATERAL html_nodes(p.page_id, p.url, p.html) n``
+    """
+
+    class HtmlNodes:
+        def eval(self, page_id: int, url: str, html: str):
+            try:
+                for row in page_elements(html or "", url or "", request):
+                    attrs, anc = dict(row[7]), [dict(zip(("pre", "tag", "class"), a, strict=True)) for a in row[9]]
+                    yield (page_id, url, *row[:7], attrs, row[8], anc, *row[10:], None)
+            except Exception as e:  # one bad page must not end the job
+                yield (page_id, url, *[None] * 13, f"{type(e).__name__}: {e}")
+
+    spark.udtf.register(name, udtf(HtmlNodes, returnType=NODES))

@@ -31,11 +31,18 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
-    """A folder of HTML files as ``pages``; the file path is the URL, its hash the page id."""
-    files = spark.read.text(folder, wholetext=True).select(
-        F.col("_metadata.file_path").alias("url"), F.col("value").alias("html")
+    """A folder of HTML files as ``pages``; the file path is the URL.
+
+    Page ids come from split and position, so they are unique (a hash of the
+    path would not be, over billions of files) and the same when a task is
+    repeated. A new scan may number differently: store the result to keep ids.
+    """
+    files = spark.read.text(folder, wholetext=True)
+    return files.select(
+        F.monotonically_increasing_id().alias("page_id"),
+        F.col("_metadata.file_path").alias("url"),
+        F.col("value").alias("html"),
     )
-    return files.select(F.xxhash64("url").alias("page_id"), "url", "html")
 
 
 def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:

@@ -2,8 +2,9 @@ import time
 
 import pytest
 
-from pagestrata.sources.nodes import explode_nodes
+from pagestrata.sources.nodes import explode_nodes, register_html_nodes
 from pagestrata.sources.page_tree import NodeRequest, page_elements
+from pagestrata.sources.tables import read_page_files
 
 TAGS = "html body table tbody thead tr td th p div ul li a b i strong h1 h2 span br img article option dd dt".split()
 ALL = NodeRequest(
@@ -145,3 +146,23 @@ def test_bad_page_gives_an_error_row(spark, pages_of, monkeypatch):
 def test_null_page_gives_no_row(spark):
     pages = spark.createDataFrame([(1, None, None)], "page_id bigint, url string, html string")
     assert explode_nodes(pages, ALL).count() == 0
+
+
+def test_sql_table_function_gives_the_same_rows(spark, pages_of):
+    pages = pages_of("<table><tr><td class=x>a<b>b</b>", "<p>c<a href=d>e")
+    pages.createOrReplaceTempView("captured")
+    register_html_nodes(spark, ALL)
+    by_sql = spark.sql("SELECT n.* FROM captured p, LATERAL html_nodes(p.page_id, p.url, p.html) n")
+    direct = explode_nodes(pages, ALL)
+    assert by_sql.columns == direct.columns
+    key = lambda r: (r.page_id, r.pre)
+    assert sorted(by_sql.collect(), key=key) == sorted(direct.collect(), key=key)
+
+
+def test_page_files(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.html").write_text(f"<p>{name}\nx</p>")
+    pages = read_page_files(spark, str(tmp_path))
+    rows = explode_nodes(pages, NodeRequest(elements={"p": ()}, text={"p": ()})).collect()
+    assert sorted((r.url[-6:], r.text) for r in rows) == [("a.html", "a x"), ("b.html", "b x")]
+    assert len({r.page_id for r in rows}) == 2
