@@ -34,30 +34,35 @@ def carry(
 
     ``order`` is an integer that is unique within a group. A group is cut into
     ranges of ``chunk_rows`` order values, so no task sees more rows of one
-    group than that. Each range is filled on its own; what enters a range from
-    outside is found on a summary with one row per range.
+    group than that. What enters a range from outside is found on a summary
+    with one row per range and joins the range as an extra first row; the rows
+    themselves are shuffled once.
     """
-    df = df.withColumn("_value", value).withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
-    by_order = F.col(order).desc() if backward else F.col(order).asc()
+    position = F.col(order)
+    rows = df.select(
+        "*", value.alias("_value"), (position - F.pmod(position, F.lit(chunk_rows))).alias("_chunk")
+    )
+    by_order = position.desc() if backward else position.asc()
     by_chunk = F.col("_chunk").desc() if backward else F.col("_chunk").asc()
+
+    known = F.when(F.col("_value").isNotNull(), F.struct(position.alias("o"), F.col("_value").alias("v")))
+    before = Window.partitionBy(*keys).orderBy(by_chunk).rowsBetween(Window.unboundedPreceding, -1)
+    entries = (
+        rows.groupBy(*keys, "_chunk")
+        .agg((F.min(known) if backward else F.max(known)).alias("_edge"))
+        .select(*keys, "_chunk", F.last("_edge", ignorenulls=True).over(before)["v"].alias("_value"))
+        .where(F.col("_value").isNotNull())
+        .withColumn("_entry", F.lit(True))
+    )
     inside = (
         Window.partitionBy(*keys, "_chunk")
-        .orderBy(by_order)
+        .orderBy(F.col("_entry").desc(), by_order)
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
-    before = Window.partitionBy(*keys).orderBy(by_chunk).rowsBetween(Window.unboundedPreceding, -1)
-
-    entry = F.when(F.col("_value").isNotNull(), F.struct(F.col(order).alias("o"), F.col("_value").alias("v")))
-    summary = (
-        df.groupBy(*keys, "_chunk")
-        .agg((F.min(entry) if backward else F.max(entry)).alias("_edge"))
-        .withColumn("_enters", F.last("_edge", ignorenulls=True).over(before)["v"])
-        .drop("_edge")
-    )
-    summary = summary.select(
-        *[F.col(k).alias(f"_on_{i}") for i, k in enumerate([*keys, "_chunk"])], "_enters"
+    return (
+        rows.withColumn("_entry", F.lit(False))
+        .unionByName(entries, allowMissingColumns=True)
+        .withColumn(name, F.last("_value", ignorenulls=True).over(inside))
+        .where(~F.col("_entry"))
+        .drop("_value", "_chunk", "_entry")
     )
-    filled = df.withColumn("_inside", F.last("_value", ignorenulls=True).over(inside))
-    on = [F.col(k).eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate([*keys, "_chunk"])]
-    joined = filled.join(summary, on, "left").withColumn(name, F.coalesce("_inside", "_enters"))
-    return joined.select(*[c for c in df.columns if not c.startswith("_")], name)

@@ -124,13 +124,13 @@ def test_carry_equals_a_loop(spark, backward, include_current):
     rng = random.Random(7)
     rows = [
         (g, i, f"v{g}.{i}" if rng.random() < 0.1 else None)
-        for g in range(6)
-        for i in rng.sample(range(400), 60)
+        for g in [*range(5), None]
+        for i in rng.sample(range(-50, 400), 60)
     ]
     df = spark.createDataFrame(rows, "g int, i int, v string").repartition(5)
     got = carry(df, ["g"], "i", F.col("v"), "c", backward, include_current, chunk_rows=16)
     expected = {}
-    for g in range(6):
+    for g in [*range(5), None]:
         last = None
         for _, i, v in sorted((r for r in rows if r[0] == g), key=lambda r: r[1], reverse=backward):
             if include_current:
