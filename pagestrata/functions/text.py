@@ -80,9 +80,11 @@ def clean_html_text(c: Column | str) -> Column:
     stay as written, blank lines are dropped. A run of ``<br>`` needs no rule
     of its own because the empty lines between them are dropped anyway.
     """
-    s = F.regexp_replace(_col(c), r"(?iU)<br[\s\x1c-\x1f]*/?>", "\n")
+    c = _col(c)
+    s = F.regexp_replace(c, r"(?iU)<br[\s\x1c-\x1f]*/?>", "\n")
     s = F.regexp_replace(s, "(?i)</?(?:strong|u|b|i|em|span|font)[^>]*>", "")
     s = F.regexp_replace(s, "<[^>]+>", "")
+    s = F.when(c.contains("<"), s).otherwise(c)
     s = F.regexp_replace(s, _BLANK + "+", " ")
     s = F.regexp_replace(s, rf" ?[{_BREAK}][ {_BREAK}]*", "\n")
     return F.coalesce(F.btrim(s, F.lit(" \n")), F.lit(""))
@@ -105,6 +107,18 @@ def drop_title_line(desc: Column | str, title: Column | str) -> Column:
     return F.coalesce(F.get(F.transform(F.array(bound), without), F.lit(0)), F.lit(""))
 
 
+def drop_title_from_clean(desc: Column | str, title: Column | str) -> Column:
+    """``drop_title_line`` for the output of ``clean_html_text``, whose spacing is normal already.
+
+    Most descriptions do not repeat their title and pass without being split.
+    """
+    desc, key = _col(desc), fold(title)
+    edge = F.lit("\n")
+    repeats = F.concat(edge, F.lower(desc), edge).contains(F.concat(edge, key, edge))
+    kept = F.filter(F.split(desc, "\n"), lambda line: F.lower(line) != key)
+    return F.coalesce(F.when(repeats, F.array_join(kept, "\n")).otherwise(desc), F.lit(""))
+
+
 def parse_header(c: Column | str, word: str = HEADER_WORD) -> Column:
     """``WORD - UF - city`` to ``struct(uf, municipio)``; null when the text is no header."""
     rx = (

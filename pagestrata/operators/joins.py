@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 1024
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """The most frequent keys with at least ``min_rows`` rows, never more than MAX_HOT_KEYS.
+def hot_keys(df: DataFrame, key: str, rows_per_slot: int) -> DataFrame:
+    """``(key, slots)`` of the most frequent keys, never more than MAX_HOT_KEYS.
 
-    The limit loses nothing: a key left out is simply joined the usual way.
+    A key with more than ``rows_per_slot`` rows gets one slot for each such
+    portion. The limit loses nothing: a key left out is joined the usual way.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") >= min_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(key)
+    hot = counts.where(F.col("n") > rows_per_slot).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
+    return hot.select(key, F.ceil(F.col("n") / rows_per_slot).cast("int").alias("slots"))
 
 
 def salted_join(
@@ -24,37 +26,35 @@ def salted_join(
     key: str,
     how: str,
     spread_by: list[str],
-    min_rows: int = 1_000_000,
-    salts: int = 64,
+    rows_per_slot: int = 1_000_000,
 ) -> DataFrame:
     """``left`` joined to ``right`` on ``key`` (left, inner, left_semi or left_anti).
 
-    Left rows of a hot key are dealt over ``salts`` slots by a hash of
-    ``spread_by`` and the matching right rows are repeated once per slot. Left
-    rows with a null key match nothing and are dealt out too. The slot depends
-    on column values only, so a recomputed task gives the same rows.
+    Left rows of a hot key are dealt over its slots by a hash of ``spread_by``
+    and the matching right rows are repeated once per slot. Left rows with a
+    null key match nothing and are dealt out too. The slot depends on column
+    values only, so a recomputed task gives the same rows.
 
     ``left`` is read twice, once for the key counts: pass a stored table.
     """
     hot = F.broadcast(
-        hot_keys(left.select(key), key, min_rows).select(F.col(key).alias("_hot_key"))
+        hot_keys(left.select(key), key, rows_per_slot).select(F.col(key).alias("_hot_key"), "slots")
     )
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    is_hot = F.col(key) == F.col("_hot_key")
+    deal = F.xxhash64(*spread_by)
     left = (
-        left.join(hot, F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_slot", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), slot).otherwise(0))
-        .drop("_hot_key")
-    )
-    right = (
-        right.join(hot, F.col(key) == F.col("_hot_key"), "left")
+        left.join(hot, is_hot, "left")
         .withColumn(
             "_slot",
-            F.explode(
-                F.when(F.col("_hot_key").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
+            F.when(F.col(key).isNull(), F.pmod(deal, F.lit(2**31 - 1)).cast("int"))
+            .when(F.col("slots").isNotNull(), F.pmod(deal, F.col("slots")).cast("int"))
+            .otherwise(0),
         )
-        .drop("_hot_key")
+        .drop("_hot_key", "slots")
+    )
+    right = (
+        right.join(hot, is_hot, "left")
+        .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.coalesce("slots", F.lit(1)) - 1)))
+        .drop("_hot_key", "slots")
     )
     return left.join(right, [key, "_slot"], how).drop("_slot")

@@ -71,7 +71,7 @@ def enrich(card_rows: DataFrame, linked: DataFrame, hot_rows: int = 1_000_000) -
     full = linked.select(
         F.col("url").alias("link"), F.col("title").alias("full_title"), F.col("body").alias("full_body")
     )
-    return salted_join(card_rows, full, "link", "left", ["page_id", "card_pre"], min_rows=hot_rows)
+    return salted_join(card_rows, full, "link", "left", ["page_id", "card_pre"], hot_rows)
 
 
 def extract_items(

@@ -9,7 +9,7 @@ from pagestrata.functions.text import (
     HEADER_WORD,
     clean_html_text,
     contains_any,
-    drop_title_line,
+    drop_title_from_clean,
     parse_header,
 )
 from pagestrata.operators.axes import (
@@ -97,6 +97,6 @@ def extract_sections(
         F.col("place")["uf"].alias("uf"),
         F.col("place")["municipio"].alias("municipio"),
         "ato",
-        drop_title_line("cell_text_found", "ato").alias("descricao"),
+        drop_title_from_clean("cell_text_found", "ato").alias("descricao"),
         "step",
     )

@@ -51,16 +51,18 @@ def test_salted_join_equals_a_plain_join(spark, how):
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 != 0, F.col("id") % 50).alias("k")
     )
     right = spark.createDataFrame([(k, f"v{k}") for k in [*range(0, 50, 2), 7, 7]], "k bigint, v string")
-    salted = salted_join(left, right, "k", how, ["id"], min_rows=100, salts=5)
+    salted = salted_join(left, right, "k", how, ["id"], rows_per_slot=100)
     plain = left.join(right, "k", how)
     assert salted.columns == plain.columns
     assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_hot_keys_are_bounded(spark):
-    df = spark.range(3 * MAX_HOT_KEYS).selectExpr("id % 2000 AS k")
-    assert hot_keys(df, "k", 1).count() == MAX_HOT_KEYS
-    assert hot_keys(df, "k", 3).count() == 0
+    df = spark.range(3 * MAX_HOT_KEYS).selectExpr("id % 2500 AS k")
+    assert hot_keys(df, "k", 1).count() == 3 * MAX_HOT_KEYS - 2500
+    assert hot_keys(df, "k", 0.5).count() == MAX_HOT_KEYS
+    assert hot_keys(df, "k", 2).count() == 0
+    assert hot_keys(spark.range(250).selectExpr("0 AS k"), "k", 100).first() == (0, 3)
 
 
 def test_report_wording(spark):

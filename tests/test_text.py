@@ -76,6 +76,14 @@ def test_drop_title_line(values):
     assert values(lambda s: text.drop_title_line(s, F.lit("Lei 1")), desc) == ["texto", "a\nLei 1 x", "", "", "texto"]
 
 
+def test_drop_title_from_clean(values):
+    titles = ["Lei 1", " LEI\n1 ", "ΟΔΟΣ", "x"]
+    desc = ["lei 1\ntexto", "a\nLEI 1\nLei 1 x\nlei 1", "Lei 1", None, "", "texto", "xlei 1", "οδος\nΟΔΟΣ", "x\nx"]
+    for title in titles:
+        both = [values(lambda s, f=f, t=title: f(s, F.lit(t)), desc) for f in (text.drop_title_line, text.drop_title_from_clean)]
+        assert both[0] == both[1]
+
+
 def test_parse_header(values):
     inputs = [
         "ISSQN - sp - São Paulo",
