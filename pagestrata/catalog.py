@@ -810,7 +810,8 @@ def q33(spark, sf):
 @query(
     "q34_two_passes",
     f"""
-    WITH b AS (SELECT 0 AS src, doc_id, nullif(lang, 'de') AS a, {_norm('text')} AS d, source AS f FROM documents WHERE doc_id % 10 < 7),
+    WITH b AS (SELECT 0 AS src, doc_id, nullif(lang, 'de') AS a, {_norm('text')} AS d, source AS f
+               FROM documents WHERE doc_id % 10 < 7),
     u AS (SELECT * FROM b UNION ALL
           SELECT 1, doc_id, CASE WHEN lang = 'de' THEN '' ELSE lang END, text, source FROM documents WHERE doc_id % 10 >= 5),
     p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, d, f ORDER BY src, doc_id) AS rn FROM u) WHERE rn = 1),

@@ -28,6 +28,11 @@ HEADER_WORD = "ISSQN"
 _SPACE = r"(?U)[\s\x1c-\x1f]"
 _BLANK = r"(?U)[\s\x1f&&[^\v\x1c-\x1e]]"
 _BREAK = r"\v\x1c-\x1e"
+
+# What counts as a line break tag, a format tag, any tag, and a date.
+_LINE_TAG = r"(?iU)<br[\s\x1c-\x1f]*/?>"
+_FORMAT_TAG = "(?i)</?(?:strong|u|b|i|em|span|font)[^>]*>"
+_ANY_TAG = "<[^>]+>"
 _DATE = r"\d{2}[./]\d{2}[./]\d{4}"
 
 
@@ -81,9 +86,9 @@ def clean_html_text(c: Column | str) -> Column:
     of its own because the empty lines between them are dropped anyway.
     """
     c = _col(c)
-    s = F.regexp_replace(c, r"(?iU)<br[\s\x1c-\x1f]*/?>", "\n")
-    s = F.regexp_replace(s, "(?i)</?(?:strong|u|b|i|em|span|font)[^>]*>", "")
-    s = F.regexp_replace(s, "<[^>]+>", "")
+    s = F.regexp_replace(c, _LINE_TAG, "\n")
+    s = F.regexp_replace(s, _FORMAT_TAG, "")
+    s = F.regexp_replace(s, _ANY_TAG, "")
     s = F.when(c.contains("<"), s).otherwise(c)
     s = F.regexp_replace(s, _BLANK + "+", " ")
     s = F.regexp_replace(s, rf" ?[{_BREAK}][ {_BREAK}]*", "\n")

@@ -71,7 +71,10 @@ def count_removed(df: DataFrame, keys: list[str]) -> DataFrame:
     Long keys are counted through a digest of an unambiguous encoding, so only
     32 bytes per distinct key are shuffled.
     """
-    parts = [F.coalesce(F.concat(F.length(F.col(f"`{k}`").cast("string")), F.lit(":"), F.col(f"`{k}`")), F.lit("-")) for k in keys]
+    parts = []
+    for k in keys:
+        text = F.col(f"`{k}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
     digest = F.unhex(F.sha2(F.concat(*parts), 256))
     return (
         df.groupBy(digest.alias("k"))
