@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagestrata.functions.text import (
     HEADER_WORD,
@@ -74,7 +75,17 @@ def extract_sections(
 
     # UF and city travel in one struct so that they always change together.
     rows = carry_in_page(rows, "place", F.col("header"))
-    rows = rows.where(~item | (F.col("header").isNull() & F.col("place").isNotNull()))
+    # Rows of a table matter only to pages with a title outside of every cell.
+    whole_page = (
+        Window.partitionBy("page_id")
+        .orderBy("pre")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    loose = item & F.col("header").isNull() & F.col("around").isNull()
+    rows = rows.withColumn("has_loose", F.max(loose).over(whole_page))
+    rows = rows.where(
+        (item & F.col("header").isNull() & F.col("place").isNotNull()) | cell | (row & F.col("has_loose"))
+    )
 
     rows = with_next(rows, "next_cell", cell, F.struct("pre", "blocked"), asks_after_subtree=item)
     own_cell = F.when(row & (F.col("next_cell")["pre"] <= last_pre()), F.col("next_cell")["pre"])
