@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -65,30 +64,44 @@ def read_base(spark: SparkSession, path: str | None, empty_is_null: bool = True)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where none is named and everything runs on this machine, a new local folder.
+    Where none is named, a folder of the warehouse, which is shared by definition.
     """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="pagestrata-"))
-        folder = sc.getCheckpointDir()
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
 class Staging:
     """Stores intermediate tables of one run in the shared folder, each under a fresh path.
 
     A stored table cuts lineage, survives the loss of executors and, unlike a
-    checkpoint, keeps column pruning and filter pushdown for its readers.
+    checkpoint, keeps column pruning and filter pushdown for its readers. The
+    tables go when ``drop`` is called or the ``with`` block ends, and at the
+    latest when the driver ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/pagestrata/{uuid.uuid4().hex}"
+        path, fs = self._path(self.folder)
+        fs.deleteOnExit(path)
+
+    def _path(self, folder: str):
+        jvm, sc = self.spark._jvm, self.spark.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(sc._jsc.hadoopConfiguration())
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str | None = None) -> None:
+        """Remove one table, or all of them."""
+        path, fs = self._path(self.folder if name is None else f"{self.folder}/{name}")
+        fs.delete(path, True)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()

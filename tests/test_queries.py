@@ -2,10 +2,11 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from pagestrata import catalog
 from pagestrata.schema import COLUMNS
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
