@@ -90,9 +90,9 @@ class Staging:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         return path, path.getFileSystem(sc._jsc.hadoopConfiguration())
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str | None = None) -> None:
