@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagestrata.llm import token_mix
+from pagestrata.llm.flow_shards import reshard, write_shards
 from pagestrata.llm.line_runs import deduplicate_lines
+from pagestrata.llm.positional_index import decontaminate
 from pagestrata.llm.simhash_pivots import near_duplicates
 from pagestrata.sources.tables import Staging
 
@@ -57,6 +60,74 @@ def op2_line_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op3_flow_shards")
+def op3_flow_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Five old shards to eight of equal bytes; the rows are read back from the written files."""
+    staging = Staging(spark)
+    plan, placed = reshard(table(spark, sf, "documents"), staging, old_shards=5, new_shards=8)
+    written = write_shards(plan, placed, f"{staging.folder}/shards")
+    return written.select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("_slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op5_token_mix", token_mix.SQL)
+def op5_token_mix(spark: SparkSession, sf: str) -> DataFrame:
+    out = token_mix.mix(table(spark, sf, "documents"), Staging(spark), weights=[3, 1, 2], share=1.5, most=2.0)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return out.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
+@query(
+    "op7_positional_index",
+    r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ), items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item_id, least(10, len(w)) AS n, w[k : k + least(10, len(w)) - 1] AS words
+        FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM items WHERE len(w) > 0)
+    ), sizes AS (SELECT DISTINCT n FROM windows
+    ), grams AS (
+        SELECT doc_id, n, k, w[k : k + n - 1] AS words
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM words, sizes WHERE len(w) >= n)
+    ), found AS (
+        SELECT doc_id, g.k, g.n, item_id FROM grams g JOIN windows v ON g.n = v.n AND g.words = v.words
+    ), places AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found)
+        GROUP BY doc_id
+    ), named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM words LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+)
+def op7_positional_index(spark: SparkSession, sf: str) -> DataFrame:
+    out = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), Staging(spark))
+    items = F.array_sort(F.transform(F.array_distinct(F.transform("exact", lambda m: m["item_id"])), lambda i: i.cast("string")))
+    out = out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", items.alias("items"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op10_simhash_pivots")
 def op10_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
     out = near_duplicates(table(spark, sf, "documents"), Staging(spark))
