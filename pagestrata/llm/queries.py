@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagestrata.llm import token_mix
+from pagestrata.llm import chat_parts, rule_list, token_mix
+from pagestrata.llm.co_training import co_train
 from pagestrata.llm.flow_shards import reshard, write_shards
+from pagestrata.llm.license_bands import scan_licenses
 from pagestrata.llm.line_runs import deduplicate_lines
 from pagestrata.llm.positional_index import decontaminate
+from pagestrata.llm.secret_structure import BASE_KINDS, find_secrets, joined
 from pagestrata.llm.simhash_pivots import near_duplicates
 from pagestrata.sources.tables import Staging
 
@@ -32,6 +35,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_co_training")
+def op1_co_training(spark: SparkSession, sf: str) -> DataFrame:
+    out, _ = co_train(table(spark, sf, "documents"), table(spark, sf, "labels"), Staging(spark))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 @query(
     "op2_line_runs",
     r"""
@@ -77,6 +86,33 @@ def op3_flow_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "op4_chat_parts",
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ), ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+            len(regexp_extract_all(text, '<(\\*)(\||/?s>|unk>|pad>|</?SYS>>)|\[(\\*)(/?INST\])')) AS controls
+        FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        sum(17 + length(role) + length(text) + controls)::BIGINT AS formatted_chars
+    FROM ordered GROUP BY conv_id
+    """,
+)
+def op4_chat_parts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    turns = rows.unionByName(extra).withColumn("parts", chat_parts.text_parts("text"))
+    return chat_parts.read_back(chat_parts.format_chats(turns)).withColumnRenamed("conv", "conv_id")
+
+
 @query("op5_token_mix", token_mix.SQL)
 def op5_token_mix(spark: SparkSession, sf: str) -> DataFrame:
     out = token_mix.mix(table(spark, sf, "documents"), Staging(spark), weights=[3, 1, 2], share=1.5, most=2.0)
@@ -84,6 +120,22 @@ def op5_token_mix(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
+@query("op6_license_bands")
+def op6_license_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each document; ``licenses`` and ``spans`` (license:first word:end) of its matches in order."""
+    out = scan_licenses(table(spark, sf, "documents"))
+    found = F.col("out.matches")
+    spans = F.transform(found, lambda m: F.concat_ws(":", m["license"], m["start"], m["stop"]))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("out.n_words").alias("n_words"),
+        F.size(found).cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["license"]))), ",").alias("licenses"),
+        F.array_join(spans, ",").alias("spans"),
+        F.coalesce(F.array_max(F.transform(found, lambda m: m["containment"])), F.lit(0.0)).alias("containment"),
+    )
+
+
 @query(
     "op7_positional_index",
     r"""
@@ -128,6 +180,29 @@ def op7_positional_index(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op8_secret_structure")
+def op8_secret_structure(spark: SparkSession, sf: str) -> DataFrame:
+    out = find_secrets(table(spark, sf, "documents"))
+    base, added = F.col("out.base"), F.col("out.added")
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.concat(base, added)).alias("spans"),
+        F.size(added).cast("long").alias("n_confirmed"),
+    )
+
+
+@query("op9_rule_list")
+def op9_rule_list(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = rule_list.judge(docs, rule_list.fit(docs, table(spark, sf, "labels")))
+    counts = [F.col(f"out.{c}").alias(c) for c in rule_list.COUNTS]
+    return out.select(F.col("row.doc_id").alias("doc_id"), *counts, "base_failed", "kept", "rule")
+
+
 @query("op10_simhash_pivots")
 def op10_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
     out = near_duplicates(table(spark, sf, "documents"), Staging(spark))
