@@ -92,6 +92,7 @@ class Block:
         self.starts = np.frombuffer(row["starts"], np.uint32).astype(np.int64)
         self.terms = np.frombuffer(row["terms"], np.uint64)
         self.ends = np.frombuffer(row["offsets"], np.uint32).astype(np.int64)
+        self.sizes = np.diff(self.ends, prepend=0)
         n = int(self.starts[-1])
         self.positions = np.frombuffer(row["positions"], np.uint16 if n <= 1 << 16 else np.uint32)
 
@@ -106,7 +107,7 @@ class Block:
         return self.positions[self.ends[k - 1] if k else 0 : self.ends[k]].astype(np.int64)
 
     def count(self, k: np.ndarray) -> np.ndarray:
-        return np.where(k < 0, 0, self.ends[k] - np.where(k > 0, self.ends[k - 1], 0))
+        return np.where(k < 0, 0, np.r_[self.sizes, 0][k])  # the last one is for terms that the block lacks
 
 
 class Windows:
