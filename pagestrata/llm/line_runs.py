@@ -76,10 +76,10 @@ class LineRuns:
         self.levels = [[]]
 
     def _write(self, run: DataFrame, level: int) -> None:
+        """``run`` is dealt out by key to as many partitions as there are buckets: one file for each."""
         table = f"{self.name}_{self.made}"
         self.made += 1
-        dealt = run.repartition(self.buckets, *KEY)  # one file for each bucket
-        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(table)
+        run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(table)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(table)
@@ -88,6 +88,8 @@ class LineRuns:
         rows = self.spark.table(tables[0])
         for table in tables[1:]:
             rows = rows.unionByName(self.spark.table(table))
+        # Dealt out anew: a union of bucketed scans only seems to keep equal keys together.
+        rows = rows.repartition(self.buckets, *KEY)
         return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
     def add(self, keys: DataFrame) -> None:
@@ -99,7 +101,7 @@ class LineRuns:
             # Enough documents hold the line, one of them with a larger id than any here.
             known = [fresh[k] == run[k] for k in KEY] + [run["settled"] >= fresh["keeper"]]
             fresh = fresh.join(run, known, "left_anti")
-        self._write(fresh, 0)
+        self._write(fresh.repartition(self.buckets, *KEY), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             old = self.levels[level]
