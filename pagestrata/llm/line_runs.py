@@ -18,7 +18,7 @@ import uuid
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagestrata.llm.words import map_texts, utf8
@@ -58,9 +58,9 @@ class LineRuns:
     ``buckets`` is the number of files of a run, by default as many as a shuffle has partitions.
     """
 
-    def __init__(self, spark: SparkSession, min_docs: int = 3, buckets: int | None = None, fanout: int = 4):
-        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, staging: Staging, min_docs: int = 3, buckets: int | None = None, fanout: int = 4):
+        self.spark, self.staging, self.min_docs, self.fanout = staging.spark, staging, min_docs, fanout
+        self.buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.name, self.made = f"line_runs_{uuid.uuid4().hex}", 0
         self.levels: list[list[str]] = [[]]
 
@@ -71,25 +71,28 @@ class LineRuns:
         self.drop()
 
     def drop(self) -> None:
-        for table in sum(self.levels, []):
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._remove(sum(self.levels, []))
         self.levels = [[]]
 
+    def _remove(self, tables: list[str]) -> None:
+        for table in tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.staging.drop(table)
+
     def _write(self, run: DataFrame, level: int) -> None:
-        """``run`` is dealt out by key to as many partitions as there are buckets: one file for each."""
         table = f"{self.name}_{self.made}"
         self.made += 1
-        run.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(table)
+        dealt = run.repartition(self.buckets, *KEY)  # one file for each bucket
+        path = f"{self.staging.folder}/{table}"
+        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(table)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(table)
 
     def _merged(self, tables: list[str]) -> DataFrame:
-        rows = self.spark.table(tables[0])
-        for table in tables[1:]:
-            rows = rows.unionByName(self.spark.table(table))
-        # Dealt out anew: a union of bucketed scans only seems to keep equal keys together.
-        rows = rows.repartition(self.buckets, *KEY)
+        # Read as plain files: Spark 4.1 takes a union of bucketed scans for one
+        # that keeps equal keys together, which it does not, and sums too little.
+        rows = self.spark.read.parquet(*[f"{self.staging.folder}/{t}" for t in tables])
         return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
     def add(self, keys: DataFrame) -> None:
@@ -101,14 +104,13 @@ class LineRuns:
             # Enough documents hold the line, one of them with a larger id than any here.
             known = [fresh[k] == run[k] for k in KEY] + [run["settled"] >= fresh["keeper"]]
             fresh = fresh.join(run, known, "left_anti")
-        self._write(fresh.repartition(self.buckets, *KEY), 0)
+        self._write(fresh, 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             old = self.levels[level]
             self._write(self._merged(old), level + 1)
             self.levels[level] = []
-            for table in old:
-                self.spark.sql(f"DROP TABLE {table}")
+            self._remove(old)
             level += 1
 
     def repeated(self) -> DataFrame:
@@ -157,11 +159,10 @@ def deduplicate_lines(
     keeps one that a document with id holds too; if none has an id, all keep it.
     Batches are ranges of ids; their number and order do not change the result.
     """
-    spark = docs.sparkSession
     lo, hi = docs.agg(F.min(id_col), F.max(id_col)).first()
     step = max(1, -(-((hi or 0) - (lo or 0) + 1) // batches))
     keys = None
-    with LineRuns(spark, min_docs, buckets) as runs:
+    with LineRuns(staging, min_docs, buckets) as runs:
         for k in range(batches):
             of = F.col(id_col)
             inside = F.lit(True) if lo is None else (of >= lo + k * step) & (of < lo + (k + 1) * step)

@@ -66,7 +66,7 @@ def test_batches_in_any_order(spark):
     keys = line_keys(docs, "doc_id", "text", 20).cache()
     want = {(r["k1"], r["k2"]): r["keeper"] for r in keys.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where("n >= 3").collect()}
     for order in ([0, 1, 2, 3, 4], [4, 0, 3, 1, 2]):
-        with LineRuns(spark, buckets=2, fanout=2) as runs:
+        with LineRuns(Staging(spark), buckets=2, fanout=2) as runs:
             for k in order:
                 runs.add(keys.where(F.pmod(F.coalesce("id", F.lit(0)), F.lit(5)) == k))
             assert len(runs.levels) > 1 and all(len(x) < 2 for x in runs.levels)  # compacted
@@ -79,7 +79,7 @@ def test_batches_in_any_order(spark):
 def test_a_run_is_not_shuffled_again(spark):
     docs = spark.createDataFrame(documents(), "doc_id long, text string")
     keys = line_keys(docs, "doc_id", "text", 20)
-    with LineRuns(spark, buckets=8) as runs:
+    with LineRuns(Staging(spark), buckets=8) as runs:
         runs.add(keys)
         table = runs.levels[0][0]
         plan = spark.table(table).groupBy("k1", "k2").count()._jdf.queryExecution().executedPlan().toString()
@@ -89,7 +89,7 @@ def test_a_run_is_not_shuffled_again(spark):
 def test_settled_lines_make_no_new_entries(spark):
     docs = spark.createDataFrame([(k, LONG[0]) for k in range(10, 20)], "doc_id long, text string")
     older = spark.createDataFrame([(k, LONG[0]) for k in range(5)], "doc_id long, text string")
-    with LineRuns(spark, buckets=2) as runs:
+    with LineRuns(Staging(spark), buckets=2) as runs:
         runs.add(line_keys(docs, "doc_id", "text", 20))
         runs.add(line_keys(older, "doc_id", "text", 20))
         assert spark.table(runs.levels[0][1]).count() == 0
