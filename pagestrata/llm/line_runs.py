@@ -92,7 +92,8 @@ class LineRuns:
     def _merged(self, tables: list[str]) -> DataFrame:
         # Read as plain files: Spark 4.1 takes a union of bucketed scans for one
         # that keeps equal keys together, which it does not, and sums too little.
-        rows = self.spark.read.parquet(*[f"{self.staging.folder}/{t}" for t in tables])
+        files = self.spark.read.schema(self.spark.table(tables[0]).schema)
+        rows = files.parquet(*[f"{self.staging.folder}/{t}" for t in tables])
         return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
     def add(self, keys: DataFrame) -> None:
