@@ -21,7 +21,7 @@ ALNUM = bytes(
 #: Seed of word hashes.
 SEED = 42
 #: Documents in one Arrow batch of the passes below; bounds memory, changes no result.
-BATCH_CHARS = 16_000_000
+BATCH_CHARS = 4_000_000
 
 
 def alnum_words(text: bytes) -> list[bytes]:
@@ -32,7 +32,7 @@ def alnum_words(text: bytes) -> list[bytes]:
 class WordHashes(dict):
     """Hash of each word met, kept up to a number of words."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
