@@ -16,16 +16,15 @@ from pyspark.sql import functions as F
 from pagestrata.functions import dates, text
 from pagestrata.operators import axes, dedupe, pick
 from pagestrata.operators.carry import carry
-from pagestrata.operators.joins import salted_join
 from pagestrata.plans import cards as card_plan
 from pagestrata.plans import page_text as page_plan
-from pagestrata.plans import report, sections, selection
+from pagestrata.plans import daily_run, report, sections, selection
 from pagestrata.plans.items import REQUEST as ITEMS_REQUEST
 from pagestrata.plans.items import card_records, enrich, extract_items
 from pagestrata.schema import COLUMNS, GREETINGS, NORMALISED_KEYS, PRIMARY_KEYS
-from pagestrata.sources.nodes import explode_nodes
+from pagestrata.sources.nodes import explode_nodes, register_html_nodes
 from pagestrata.sources.page_tree import NodeRequest
-from pagestrata.sources.tables import Staging, read_pages, spread
+from pagestrata.sources.tables import Staging, dealt, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,8 +86,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts are costly per row, so every core gets its share of them."""
-    return spread(_table(spark, sf, "documents"), "doc_id")
+    return dealt(_table(spark, sf, "documents"))
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,7 +221,7 @@ def q07(spark, sf):
 )
 def q08(spark, sf):
     header = F.when(F.col("role") == "user", F.struct("turn", "text"))
-    rows = carry(_table(spark, sf, "conversations"), ["conv_id"], "turn", header, "header")
+    rows = carry(_table(spark, sf, "conversations"), ["conv_id"], "turn", header, "header", Staging(spark).store)
     return rows.where((F.col("role") != "user") & F.col("header").isNotNull()).select(
         "conv_id",
         "turn",
@@ -259,7 +257,8 @@ def q09(spark, sf):
 def q10(spark, sf):
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role")
     asked = F.when(F.col("role") == "user", F.col("turn"))
-    return carry(turns, ["conv_id"], "turn", asked, "next_user", backward=True, include_current=False).drop("role")
+    store = Staging(spark).store
+    return carry(turns, ["conv_id"], "turn", asked, "next_user", store, True, include_current=False).drop("role")
 
 
 # --- elements of pages -----------------------------------------------------
@@ -267,7 +266,7 @@ def q10(spark, sf):
 PAGE_PARTS = NodeRequest(
     elements=dict.fromkeys(("p", "li", "a", "article"), ()),
     text=dict.fromkeys(("li", "a"), ()),
-    context=frozenset({"article", "ul", "li"}),
+    context=dict.fromkeys(("article", "ul", "li"), ()),
 )
 ARTICLE_SQL = "regexp_extract(html, '(?s)<article>(.*?)(?:</article>|$)', 1)"
 LI_TEXTS_SQL = f"list_transform(regexp_extract_all(html, '<li><a[^>]*>([^<]*)</a></li>', 1), lambda x: {_unescape('x')})"
@@ -332,7 +331,7 @@ def q14(spark, sf):
     preferred = orders.where(F.col("o_orderstatus") == "F")
     others = orders.where(F.col("o_orderstatus") != "F")
     served = preferred.select("o_custkey").distinct()
-    return preferred.unionByName(salted_join(others, served, "o_custkey", "left_anti", ["o_orderkey"]))
+    return preferred.unionByName(others.join(served, "o_custkey", "left_anti"))
 
 
 @query(
@@ -386,23 +385,24 @@ def q16(spark, sf):
 @query(
     "q17_enrich",
     f"""
-    SELECT p.page_id, {_strip("coalesce(nullif(d.title, ''), p.url)")} AS ato,
+    SELECT c.doc_id AS page_id, {_strip("coalesce(nullif(d.title, ''), c.source)")} AS ato,
            {_strip("coalesce(nullif(d.body, ''), 'resumo')")} AS descricao
-    FROM pages p LEFT JOIN (
+    FROM documents c LEFT JOIN (
       SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat(source, ' ', doc_id) END AS title,
              CASE WHEN doc_id % 4 <> 0 THEN text END AS body
-      FROM documents) d ON d.doc_id = 2 * p.page_id""",
+      FROM documents) d ON d.doc_id = c.doc_id + 1""",
 )
 def q17(spark, sf):
-    link = F.concat(F.lit("http://docs.example/"), 2 * F.col("page_id"))
-    rows = _pages(spark, sf).select(
-        "page_id",
+    """Every document is a card that leads to the next one, to a place in it if its number is odd."""
+    doc = F.col("doc_id")
+    place = F.when(doc % 2 == 1, "#a").otherwise("")
+    rows = _documents(spark, sf).select(
+        doc.alias("page_id"),
         F.lit(0).alias("card_pre"),
-        F.col("url").alias("title"),
+        F.col("source").alias("title"),
         F.lit("resumo").alias("snippet"),
-        link.alias("link"),
+        F.concat(F.lit("http://docs.example/"), doc + 1, place).alias("link"),
     )
-    doc = F.col("doc_id")
     linked = _documents(spark, sf).select(
         F.concat(F.lit("http://docs.example/"), doc).alias("url"),
         F.when(doc % 3 == 0, "").otherwise(F.concat_ws(" ", "source", doc)).alias("title"),
@@ -529,8 +529,8 @@ def q22(spark, sf):
 )
 def q23(spark, sf):
     counts = dedupe.count_removed(dedupe.normalise_keys(_spaced(spark, sf)), NORMALISED_KEYS)
-    last_day = _table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
-    return report.run_report(counts.select(F.lit(last_day).alias("run_date"), "removed")).drop("run_date")
+    last_day = _table(spark, sf, "orders").agg(F.max("o_orderdate").cast("date").alias("run_date"))
+    return report.run_report(counts.join(last_day).select("run_date", "removed")).drop("run_date")  # one row each
 
 
 @query(
@@ -608,6 +608,11 @@ def _escape(c: Column) -> Column:
     return c
 
 
+def _paragraphs() -> Column:
+    """The lines of a document as paragraphs."""
+    return F.array_join(F.transform("lines", lambda x: F.concat(F.lit("<p>"), _escape(x), F.lit("</p>"))), "")
+
+
 def _line_title(i: Column) -> Column:
     return F.concat(
         F.lit("Lei "), F.col("doc_id"), F.lit("."), i, F.lit(", de "),
@@ -678,7 +683,8 @@ def q28(spark, sf):
     "q29_items",
     f"""
     WITH s AS ({SECTION_ROWS_SQL}),
-    f AS (SELECT doc_id, arg_min({_shown('x')}, i) AS body FROM s WHERE doc_id % 2 = 1 GROUP BY doc_id)
+    f AS (SELECT doc_id, string_agg({_shown('x')}, chr(10) || chr(10) ORDER BY i) AS body FROM s
+          WHERE doc_id % 2 = 1 GROUP BY doc_id)
     SELECT doc_id AS page_id, {_record_sql(
         "title", LINE_SQL, "'MUNICIPAL'", "upper(lang)", "concat(source, '.', (i - 1) // 5)",
         "right(title, 10)", "'PORTAL - MUNICIPAL'")}
@@ -701,7 +707,7 @@ def q29(spark, sf):
         return F.concat(F.lit("<li><h3>"), title, F.lit("</h3><p>"), _escape(line), F.lit("</p>"), link)
 
     listing = F.concat(
-        F.lit("<article><h1>Doc "), F.col("doc_id"), F.lit("</h1><p>"), _escape(F.get("lines", F.lit(0))),
+        F.lit("<article><h1>Doc "), F.col("doc_id"), F.lit("</h1>"), _paragraphs(),
         F.lit("</article><ul>"), F.array_join(F.transform("lines", card), ""), F.lit("</ul>"),
     )
     pages = _doc_lines(spark, sf).select(
@@ -711,7 +717,7 @@ def q29(spark, sf):
     )
     staging = Staging(spark)
     nodes = staging.store(explode_nodes(pages, ITEMS_REQUEST), "nodes")
-    records = extract_items(nodes, RUN_DATE, "r1", store=staging.store)
+    records = extract_items(nodes, RUN_DATE, "r1", staging.store)
     return records.select("seq.page_id", *COLUMNS)
 
 
@@ -827,3 +833,223 @@ def q34(spark, sf):
     base = base.withColumn("Descrição", text.norm_text("Descrição"))
     kept = dedupe.dedupe_normalised(dedupe.consolidate(base, rows.where("doc_id % 10 >= 5")))
     return kept.select("seq.src", "doc_id", "Ato", "Descrição", "Fonte")
+
+
+# --- bytes, runs and links between days ------------------------------------
+
+
+@query(
+    "q35_page_errors",
+    f"""
+    WITH p AS (SELECT CASE WHEN doc_id % 10 = 7 THEN '' ELSE {_shown("regexp_replace(text, '[ \t\r\n\f]+', ' ', 'g')")} END AS shown
+               FROM documents)
+    SELECT CASE WHEN shown = '' THEN 'empty' ELSE 'read' END AS outcome, count(*) AS pages, sum(length(shown))::BIGINT AS chars
+    FROM p GROUP BY ALL""",
+)
+def q35(spark, sf):
+    """Documents as served bytes: UTF-8 with and without mark, Latin-1 declared or not, and some missing."""
+    doc, shown = F.col("doc_id"), F.concat(F.lit("<p>"), _escape(F.col("text")), F.lit("</p>"))
+    declared = F.concat(F.lit('<meta charset="iso-8859-1">'), shown)
+    is_latin = F.col("text").rlike(r"^[\x00-\x7F\xA0-\xFF]*$")
+    latin = F.when(doc % 3 == 0, declared).otherwise(shown)
+    # Bytes that are not UTF-8 need a byte of two or more; plain ASCII is both.
+    html = (
+        F.when(doc % 10 == 7, F.lit(None))
+        .when(is_latin & (doc % 2 == 0), F.encode(latin, "ISO-8859-1"))
+        .when(doc % 5 == 1, F.concat(F.unhex(F.lit("EFBBBF")), shown.cast("binary")))
+        .otherwise(shown.cast("binary"))
+    )
+    pages = _documents(spark, sf).select(doc.alias("page_id"), F.lit("").alias("url"), html.alias("html"))
+    request = NodeRequest(elements={"p": ()}, text={"p": ()})
+    nodes = explode_nodes(pages, request).select("page_id", "text", "error")
+    read = nodes.groupBy("page_id").agg(
+        F.max(F.col("error").isNotNull()).alias("failed"), F.sum(F.length("text")).alias("n")
+    )
+    n = F.coalesce("n", F.lit(0))
+    outcome = F.when(F.col("failed"), "error").when(n > 0, "read").otherwise("empty")
+    every = pages.select("page_id").join(read, "page_id", "left")
+    return every.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("pages"), F.sum(n).alias("chars"))
+
+
+def _act_pages(spark: SparkSession, sf: str, keep: Column) -> DataFrame:
+    """Documents as section pages: a header with the place, then each line as an act; every other one has a second line."""
+
+    def act(line, j):
+        title = F.concat(F.lit("<strong>Ato "), F.length(line), F.lit("</strong>"))
+        more = F.when(j % 2 == 1, "<br>fim").otherwise("")
+        return F.concat(F.lit('<tr><td class="txt_cinza">'), title, F.lit("<br>"), _escape(line), more, F.lit("</td></tr>"))
+
+    header = F.concat(F.lit("<table><tr><td><strong>ISSQN - "), "lang", F.lit(" - "), "source", F.lit("</strong></td></tr>"))
+    html = F.concat(header, F.array_join(F.transform("lines", act), ""), F.lit("</table>"))
+    return _doc_lines(spark, sf).where(keep).select(
+        F.col("doc_id").alias("page_id"), F.lit("").alias("url"), html.alias("html")
+    )
+
+
+@query(
+    "q36_two_day_run",
+    f"""
+    WITH a AS (SELECT doc_id, i, concat('Ato ', length(x)) AS a, upper(lang) AS uf, source AS city, {LINE_SQL} AS line
+               FROM ({SECTION_ROWS_SQL})),
+    d AS (SELECT *, CASE WHEN i % 2 = 0 THEN line || chr(10) || 'fim' ELSE line END AS raw,
+                 CASE WHEN i % 2 = 0 THEN line || ' fim' ELSE line END AS flat FROM a),
+    e1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, raw ORDER BY doc_id, i) AS rn
+                          FROM d WHERE doc_id % 10 < 7) WHERE rn = 1),
+    b1 AS (SELECT * EXCLUDE (rn, rm) FROM (SELECT *, row_number() OVER (PARTITION BY a, flat, uf, city ORDER BY doc_id, i) AS rm
+                          FROM e1) WHERE rm = 1),
+    l1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, flat ORDER BY doc_id, i) AS rn FROM b1) WHERE rn = 1),
+    e2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, raw ORDER BY doc_id, i) AS rn
+                          FROM d WHERE doc_id % 10 >= 5) d2
+           WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM l1 WHERE l1.a = d2.a AND l1.flat = d2.raw)),
+    b2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a, flat, uf, city ORDER BY doc_id, i) AS rm FROM e2) e
+           WHERE rm = 1 AND NOT EXISTS (SELECT 1 FROM l1 WHERE l1.a = e.a AND l1.flat = e.flat AND l1.uf = e.uf AND l1.city = e.city)),
+    base AS (SELECT 1 AS day, doc_id, a, flat, uf, city FROM l1 UNION ALL SELECT 2, doc_id, a, flat, uf, city FROM b2)
+    SELECT day, doc_id, a AS "Ato", flat AS "Descrição", uf AS "UF", city AS "Municipio",
+           (SELECT count(*) FROM e2) - (SELECT count(*) FROM b2) AS removed,
+           (SELECT count(*) FROM base) AS stored
+    FROM base""",
+)
+def q36(spark, sf):
+    """Two days through the whole run: the base and the report afterwards."""
+    out = f"{Staging(spark).folder}/acts"
+    doc = F.col("doc_id") % 10
+    daily_run.run(_act_pages(spark, sf, doc < 7), out, RUN_DATE, "day 1", strict=True)
+    second = daily_run.run(_act_pages(spark, sf, doc >= 5), out, RUN_DATE + dt.timedelta(days=1), "day 2", strict=True)
+    base = daily_run.current_base(spark, out)
+    if second is None:
+        second = daily_run.reports(spark, out)
+    return base.join(second.select("removed", "stored")).select(  # the report is one row
+        F.col("seq.run_id").cast("int").alias("day"), F.col("seq.page_id").alias("doc_id"),
+        "Ato", "Descrição", "UF", "Municipio", "removed", "stored",
+    )
+
+
+@query(
+    "q37_linked",
+    f"""
+    WITH s AS ({SECTION_ROWS_SQL}),
+    f AS (SELECT doc_id, {_norm("string_agg(" + _shown('x') + ", ' ' ORDER BY i)")} AS body FROM s GROUP BY doc_id)
+    SELECT concat('Doc ', doc_id) AS "Ato", coalesce(body, 'resumo') AS "Descrição" FROM documents LEFT JOIN f USING (doc_id)""",
+)
+def q37(spark, sf):
+    """Pages captured on one day, linked from listings captured on the next, with and without a fragment."""
+    out = f"{Staging(spark).folder}/acts"
+    articles = _doc_lines(spark, sf).select(
+        F.col("doc_id").alias("page_id"),
+        F.concat(F.lit("http://docs.example/d/"), "doc_id").alias("url"),
+        F.concat(F.lit("<article><h1>Doc "), "doc_id", F.lit("</h1>"), _paragraphs(), F.lit("</article>")).alias("html"),
+    )
+    daily_run.run(articles, out, RUN_DATE, "articles", strict=True)
+    place = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("#"), "source")).otherwise("")
+    card = F.concat(
+        F.lit('<tr><td><h3>ler</h3><p>resumo</p><a href="/d/'), "doc_id", place, F.lit('">ler</a></td></tr>')
+    )
+    listings = _page_of_twenty(_table(spark, sf, "documents"), "doc_id", card, "http://docs.example/")
+    daily_run.run(listings, out, RUN_DATE + dt.timedelta(days=1), "listings", strict=True)
+    return daily_run.current_base(spark, out).select("Ato", "Descrição")
+
+
+# --- the remaining rules of cards and page text ----------------------------
+
+
+def _rule_pages(spark: SparkSession, sf: str, html: Column) -> DataFrame:
+    url = F.concat(F.lit("http://docs.example/d/"), "doc_id")
+    return _doc_lines(spark, sf).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+@query(
+    "q38_table_cards",
+    f"""
+    SELECT doc_id AS page_id, 1 AS strategy, concat('Lei ', doc_id, '.', i) AS title, {_shown('x')} AS snippet,
+           CASE WHEN i % 5 = 0 THEN concat('http://abs.example/', i) WHEN i % 4 >= 2 THEN 'http://docs.example/t' END AS link
+    FROM ({SECTION_ROWS_SQL}) WHERE i % 4 >= 2 OR i % 3 <> 1 OR i % 5 = 0""",
+)
+def q38(spark, sf):
+    """Every line as a table row, with all title, snippet and link rules, empty first choices among them."""
+
+    def row(line, j):
+        i = j + 1
+        title = F.concat(F.lit("Lei "), F.col("doc_id"), F.lit("."), i)
+        shown = (
+            F.when(i % 4 == 0, F.concat(F.lit("<h2>"), title, F.lit("</h2>")))
+            .when(i % 4 == 1, F.concat(F.lit("<h1>"), title, F.lit("</h1>")))
+            .when(i % 4 == 2, F.concat(F.lit('<a class="x titulo" href="/t">'), title, F.lit("</a>")))
+            .otherwise(F.concat(F.lit('<h3> </h3><a href="/t">'), title, F.lit("</a>")))
+        )
+        snippet = (
+            F.when(i % 3 == 0, F.concat(F.lit("<p>"), _escape(line), F.lit("</p>")))
+            .when(i % 3 == 1, F.concat(F.lit('<div class="resumo">'), _escape(line), F.lit("</div>")))
+            .otherwise(F.concat(F.lit('<p></p><div class="a snippet">'), _escape(line), F.lit("</div>")))
+        )
+        more = F.when(i % 5 == 0, F.concat(F.lit('<a href="http://abs.example/'), i, F.lit('">z</a>'))).otherwise("")
+        return F.concat(F.lit("<tr><td>"), shown, snippet, more, F.lit("</td></tr>"))
+
+    html = F.concat(F.lit("<table>"), F.array_join(F.transform("lines", row), ""), F.lit("</table>"))
+    cards = card_plan.extract_cards(explode_nodes(_rule_pages(spark, sf, html), card_plan.REQUEST))
+    return cards.select("page_id", "strategy", "title", "snippet", "link")
+
+
+@query(
+    "q39_listing_articles",
+    f"""
+    SELECT doc_id AS page_id, 2 AS strategy, CASE WHEN i % 3 = 2 THEN '' ELSE concat('Lei ', i) END AS title,
+           {_shown('x')} AS snippet, CAST(NULL AS VARCHAR) AS link
+    FROM ({SECTION_ROWS_SQL})""",
+)
+def q39(spark, sf):
+    """Every line as an article of a listing; list items beside it do not count then."""
+
+    def article(line, j):
+        i = j + 1
+        title = (
+            F.when(i % 3 == 0, F.concat(F.lit("<h3>Lei "), i, F.lit("</h3><h2>no</h2>")))
+            .when(i % 3 == 1, F.concat(F.lit("<h3> </h3><h2>Lei "), i, F.lit("</h2>")))
+            .otherwise("")
+        )
+        return F.concat(F.lit("<article>"), title, F.lit("<p>"), _escape(line), F.lit("</p></article>"))
+
+    html = F.concat(
+        F.lit('<ul><li><a href="/x">x</a></li></ul><article class="lista principaisnormas">'),
+        F.array_join(F.transform("lines", article), ""), F.lit("</article>"),
+    )
+    pages = _rule_pages(spark, sf, html).join(
+        _doc_lines(spark, sf).where(F.size("lines") > 0).select(F.col("doc_id").alias("page_id")), "page_id", "left_semi"
+    )
+    cards = card_plan.extract_cards(explode_nodes(pages, card_plan.REQUEST))
+    return cards.select("page_id", "strategy", "title", "snippet", "link")
+
+
+@query(
+    "q40_page_text_rules",
+    f"""
+    WITH s AS ({SECTION_ROWS_SQL}),
+    f AS (SELECT doc_id, string_agg({_shown('x')}, chr(10) || chr(10) ORDER BY i) AS body FROM s GROUP BY doc_id)
+    SELECT doc_id AS page_id, CASE WHEN doc_id % 4 = 3 THEN '' ELSE concat('Doc ', doc_id) END AS title, body
+    FROM documents LEFT JOIN f USING (doc_id) WHERE doc_id % 5 <> 4""",
+)
+def q40(spark, sf):
+    """Titles from an article's h2, any h2, h1 or nothing; paragraphs of a block, a section, anywhere; pages not loaded."""
+    doc = F.col("doc_id")
+    name = F.concat(F.lit("Doc "), doc)
+    ps = F.when(F.size("lines") > 0, _paragraphs()).otherwise("")
+    outside = F.when(F.size("lines") > 0, "<p>fora</p>").otherwise("")
+    html = (
+        F.when(doc % 5 == 4, F.concat(F.lit("<span>"), ps, F.lit("</span>")))
+        .when(doc % 4 == 0, F.concat(F.lit("<article><h2>"), name, F.lit('</h2></article><h1></h1><div class="x conteudo">'), ps, F.lit("</div>"), outside))
+        .when(doc % 4 == 1, F.concat(F.lit("<h2>"), name, F.lit("</h2><section>"), ps, F.lit("</section>"), outside))
+        .when(doc % 4 == 2, F.concat(F.lit("<h1>"), name, F.lit("</h1>"), ps))
+        .otherwise(F.concat(F.lit("<article><p> </p></article><div class=texto>"), ps, F.lit("</div>"), outside))
+    )
+    found = page_plan.page_text(explode_nodes(_rule_pages(spark, sf, html), page_plan.REQUEST))
+    return found.select("page_id", "title", "body")
+
+
+@query(
+    "q41_lateral_nodes",
+    f"SELECT page_id, 'li' AS tag, unnest({LI_TEXTS_SQL}) AS text FROM pages",
+)
+def q41(spark, sf):
+    register_html_nodes(spark, NodeRequest(elements={"li": ()}, text={"li": ()}))
+    return spark.sql(
+        "SELECT n.page_id, n.tag, n.text FROM {pages} p, LATERAL html_nodes(p.page_id, p.url, p.html) n", pages=_pages(spark, sf)
+    )

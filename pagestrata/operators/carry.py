@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of one group that a single task handles at most.
-CHUNK_ROWS = 100_000
-
-
 def carry_in_page(rows: DataFrame, name: str, value: Column) -> DataFrame:
     """Last non-null ``value`` at or before each row of its page, in document order."""
     w = (
@@ -26,36 +24,37 @@ def carry(
     order: str,
     value: Column,
     name: str,
+    store: Callable[[DataFrame, str], DataFrame],
     backward: bool = False,
     include_current: bool = True,
-    chunk_rows: int = CHUNK_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Carry ``value`` along ``order`` within ``keys``, for groups of any size.
 
-    ``order`` is an integer that is unique within a group. A group is cut into
-    ranges of ``chunk_rows`` order values, so no task sees more rows of one
-    group than that. What enters a range from outside is found on a summary
-    with one row per range and joins the range as an extra first row; the rows
-    themselves are shuffled once.
+    ``order`` is unique within a group. Rows are cut into ranges of about equal
+    numbers of rows by keys and order, so a range holds its share of a large
+    group however its order values lie. The ranges are written with ``store``,
+    which fixes them. What enters a range from outside is found on a summary
+    with one row per group and range and joins the range as an extra first row.
     """
     position = F.col(order)
-    rows = df.select(
-        "*", value.alias("_value"), (position - F.pmod(position, F.lit(chunk_rows))).alias("_chunk")
-    )
+    by = [*[F.col(k) for k in keys], position]
+    cut = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    rows = store(cut.select("*", value.alias("_value"), F.spark_partition_id().alias("_part")), f"ranges_of_{name}")
     by_order = position.desc() if backward else position.asc()
-    by_chunk = F.col("_chunk").desc() if backward else F.col("_chunk").asc()
+    by_part = F.col("_part").desc() if backward else F.col("_part").asc()
 
     known = F.when(F.col("_value").isNotNull(), F.struct(position.alias("o"), F.col("_value").alias("v")))
-    before = Window.partitionBy(*keys).orderBy(by_chunk).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(by_part).rowsBetween(Window.unboundedPreceding, -1)
     entries = (
-        rows.groupBy(*keys, "_chunk")
+        rows.groupBy(*keys, "_part")
         .agg((F.min(known) if backward else F.max(known)).alias("_edge"))
-        .select(*keys, "_chunk", F.last("_edge", ignorenulls=True).over(before)["v"].alias("_value"))
+        .select(*keys, "_part", F.last("_edge", ignorenulls=True).over(before)["v"].alias("_value"))
         .where(F.col("_value").isNotNull())
         .withColumn("_entry", F.lit(True))
     )
     inside = (
-        Window.partitionBy(*keys, "_chunk")
+        Window.partitionBy(*keys, "_part")
         .orderBy(F.col("_entry").desc(), by_order)
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
@@ -64,5 +63,5 @@ def carry(
         .unionByName(entries, allowMissingColumns=True)
         .withColumn(name, F.last("_value", ignorenulls=True).over(inside))
         .where(~F.col("_entry"))
-        .drop("_value", "_chunk", "_entry")
+        .drop("_value", "_part", "_entry")
     )

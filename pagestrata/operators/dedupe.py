@@ -43,6 +43,16 @@ def keep_first(df: DataFrame, keys: list[str], order: Column | str = "seq") -> D
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def digest(keys: list[str], empty_is_null: bool = False) -> Column:
+    """32 bytes that tell any two different rows of key values apart; null is a value of its own."""
+    parts = []
+    for k in keys:
+        text = F.col(f"`{k}`").cast("string")
+        text = F.nullif(text, F.lit("")) if empty_is_null else text
+        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 def append(base: DataFrame, batch: DataFrame) -> DataFrame:
     """Bag union with the base in front: ``seq.src`` is 0 for base rows and 1 for new ones."""
     return base.withColumn("seq", F.col("seq").withField("src", F.lit(0))).unionByName(
@@ -71,13 +81,8 @@ def count_removed(df: DataFrame, keys: list[str]) -> DataFrame:
     Long keys are counted through a digest of an unambiguous encoding, so only
     32 bytes per distinct key are shuffled.
     """
-    parts = []
-    for k in keys:
-        text = F.col(f"`{k}`").cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
-    digest = F.unhex(F.sha2(F.concat(*parts), 256))
     return (
-        df.groupBy(digest.alias("k"))
+        df.groupBy(digest(keys).alias("k"))
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("before"),

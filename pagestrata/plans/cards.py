@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagestrata.functions.text import contains_any, first_truthy
-from pagestrata.operators.axes import by_ancestor, has_ancestor, is_tag
-from pagestrata.operators.pick import first_where
+from pagestrata.operators.axes import has_ancestor, is_tag, last_pre
 from pagestrata.sources.page_tree import NodeRequest
 
 # Class substrings and the text of each role.
@@ -16,10 +15,13 @@ TITLE_CLASSES = ("titulo", "title", "link")
 SNIPPET_CLASSES = ("resumo", "snippet")
 LISTING_CLASS = "principaisnormas"
 
+CONTAINERS = ("tr", "article", "li")
 REQUEST = NodeRequest(
-    elements={**dict.fromkeys(("tr", "article", "li", "h1", "h2", "h3", "a", "p"), ()), "div": SNIPPET_CLASSES},
+    elements={**dict.fromkeys((*CONTAINERS, "h1", "h2", "h3", "a", "p"), ()), "div": SNIPPET_CLASSES},
     text={**dict.fromkeys(("h1", "h2", "h3", "a", "p"), ()), "div": SNIPPET_CLASSES},
-    context=frozenset({"tr", "article", "li"}),
+    context={"article": (LISTING_CLASS,)},
+    paths=frozenset({"tr", "li"}),
+    attributes=frozenset({"href"}),
 )
 
 
@@ -27,9 +29,10 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
     """``cards(page_id, url, card_pre, strategy, title, snippet, link)``, empty cards dropped.
 
     Strategy 1 rows of a table body, 2 articles inside the listing article,
-    3 items of a list; a page uses the first one that gives it any card. All
-    elements of a page leave the reader together, so grouping by card combines
-    almost completely before its shuffle.
+    3 items of a list; a page uses the first one that gives it any card. The
+    first part of a kind inside a card is the next one in the page if it comes
+    before the card ends, so all parts of all cards come from one window, and
+    the plan has one shuffle and one sort.
     """
     tag, path = F.col("tag"), F.col("path")
     strategy = (
@@ -38,39 +41,47 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
         .when(path.endswith("/ul/li"), 3)
     )
     snippet_div = (tag == "div") & contains_any("class", SNIPPET_CLASSES)
-    nodes = nodes.where(tag.isin(*[t for t in REQUEST.elements if t != "div"]) | snippet_div)
-    parts = by_ancestor(
-        nodes.withColumn("strategy", strategy),
-        is_tag("tr", "article", "li"),
-        "card_pre",
-        or_self=tag.isin("tr", "article", "li"),
+    rows = nodes.where(tag.isin(*[t for t in REQUEST.elements if t != "div"]) | snippet_div).select(
+        "page_id",
+        "url",
+        "pre",
+        last_pre().alias("end"),
+        "tag",
+        strategy.alias("strategy"),
+        "text",
+        "href",
+        contains_any("class", TITLE_CLASSES).alias("titled"),
+        F.col("attrs")["href"].contains("http").alias("absolute"),
     )
-    inside = F.col("pre") != F.col("card_pre")
-    text = F.col("text")
+    rows = rows.where(~tag.isin(*CONTAINERS) | F.col("strategy").isNotNull())
+    # Descending order makes "next" a running frame, which is linear.
+    later = Window.partitionBy("page_id").orderBy(F.col("pre").desc()).rowsBetween(Window.unboundedPreceding, -1)
 
-    def first(cond, value=text):
-        return first_where(inside & cond, value)
+    def next_one(cond: Column, value: str = "text") -> Column:
+        return F.last(F.when(cond, F.struct("pre", F.col(value).alias("value"))), ignorenulls=True).over(later)
 
-    cards = parts.groupBy("page_id", "url", "card_pre").agg(
-        F.max(F.when(~inside, F.col("strategy"))).alias("strategy"),
-        F.max(inside & tag.isin("a", "h3", "p")).alias("has_part"),
-        first(tag == "h3").alias("t1"),
-        first(tag == "h2").alias("t2"),
-        first(tag == "h1").alias("t3"),
-        first((tag == "a") & contains_any("class", TITLE_CLASSES)).alias("t4"),
-        first(tag == "a").alias("t5"),
-        first(tag == "p").alias("s1"),
-        first(tag == "div").alias("s2"),
-        first((tag == "a") & F.col("attrs")["href"].contains("http"), F.col("href")).alias("l1"),
-        first(tag == "a", F.col("href")).alias("l2"),
-    )
-    cards = cards.where(F.col("strategy").isNotNull() & ((F.col("strategy") == 2) | F.col("has_part")))
+    is_a = tag == "a"
+    parts = {
+        "t1": next_one(tag == "h3"),
+        "t2": next_one(tag == "h2"),
+        "t3": next_one(tag == "h1"),
+        "t4": next_one(is_a & F.col("titled")),
+        "t5": next_one(is_a),
+        "s1": next_one(tag == "p"),
+        "s2": next_one(tag == "div"),
+        "l1": next_one(is_a & F.col("absolute"), "href"),
+        "l2": next_one(is_a, "href"),
+    }
+    inside = {c: F.when(F.col(c)["pre"] <= F.col("end"), F.col(c)["value"]) for c in parts}
+    cards = rows.withColumns(parts).where(F.col("strategy").isNotNull()).withColumns(inside)
+    has_part = F.coalesce("t1", "t5", "s1").isNotNull()
+    cards = cards.where((F.col("strategy") == 2) | has_part)
     page = Window.partitionBy("page_id")
     cards = cards.withColumn("best", F.min("strategy").over(page)).where(F.col("strategy") == F.col("best"))
     cards = cards.select(
         "page_id",
         "url",
-        "card_pre",
+        F.col("pre").alias("card_pre"),
         "strategy",
         first_truthy("t1", "t2", "t3", "t4", "t5").alias("title"),
         first_truthy("s1", "s2").alias("snippet"),

@@ -1,47 +1,62 @@
-"""One run: captured pages in, new version of the base and a report out.
-
-Folders under ``out_dir``, one sub-folder per run:
-
-* ``batch/run_id=X``         this run's records only
-* ``consolidated/run_id=X``  base plus batch after the exact pass (the backup)
-* ``base/run_id=X``          after the normalised pass
-* ``report/run_id=X``        the report row, written last: it makes the run count
-
-The path being read is never overwritten. The base of the next run is the one
-of the highest run id that has a report, so a run that died half-way is as if
-it had not happened and may simply be started again.
+"""One run: captured pages in, new rows of the base and a report out.
+
+Folders under ``out_dir``, one sub-folder per run, named by the run's number
+and a random part:
+
+* ``batch``         this run's records only
+* ``consolidated``  those of them that pass the exact pass, as they were read (the backup)
+* ``base``          those that pass the normalised pass too, normalised
+* ``digests``       digests of the keys of the rows in ``base``
+* ``removed``       order values of older rows that the exact pass removes
+* ``linked``        title and body of the captured pages, by address, also of runs without items
+* ``report``        the report row, written last: it makes the run count
+
+The base is all ``base`` rows of the finished runs without the ``removed`` ones.
+A run reads digests, never the texts of the base, and writes new rows only. A
+run that died half-way is as if it had not happened and may be started again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagestrata.operators.dedupe import align_columns, consolidate, dedupe_normalised
+from pagestrata.operators.dedupe import align_columns, digest, empty_as_null, keep_first, normalise_keys
 from pagestrata.plans import items as items_plan
-from pagestrata.plans.report import run_report
-from pagestrata.schema import COLUMNS, RECORDS, Labels
-from pagestrata.sources.nodes import explode_nodes
-from pagestrata.sources.tables import Staging, read_base, read_or_empty
+from pagestrata.plans.page_text import page_text, unique_by_url
+from pagestrata.plans.report import count_items, run_report
+from pagestrata.schema import COLUMNS, NORMALISED_KEYS, PRIMARY_KEYS, RECORDS, SEQ, Labels
+from pagestrata.sources.nodes import check_page_ids, explode_nodes
+from pagestrata.sources.tables import Staging, read_or_empty
 
 log = logging.getLogger(__name__)
 
 REPORT = T.StructType(
     [
+        T.StructField("run_number", T.LongType()),
         T.StructField("run_id", T.StringType()),
+        T.StructField("folder", T.StringType()),
         T.StructField("run_date", T.DateType()),
         T.StructField("items", T.LongType()),
         T.StructField("consolidated", T.LongType()),
         T.StructField("stored", T.LongType()),
         T.StructField("removed", T.LongType()),
+        T.StructField("unreadable_pages", T.LongType()),
+        T.StructField("items_by_source", T.MapType(T.StringType(), T.LongType())),
         T.StructField("subject", T.StringType()),
         T.StructField("body", T.StringType()),
     ]
 )
+DIGESTS = T.StructType(
+    [T.StructField(c, T.BinaryType()) for c in ("exact", "exact_null", "normal")] + [T.StructField("seq", SEQ)]
+)
+REMOVED = T.StructType([T.StructField("seq", SEQ)])
+LINKED = T.StructType([T.StructField(c, T.StringType()) for c in ("url", "title", "body", "run")])
 
 
 def reports(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -49,18 +64,55 @@ def reports(spark: SparkSession, out_dir: str) -> DataFrame:
     return read_or_empty(spark, f"{out_dir}/report", REPORT)
 
 
-def last_run(spark: SparkSession, out_dir: str, before: str | None = None) -> str | None:
-    """Highest finished run id, optionally only below ``before``."""
-    done = reports(spark, out_dir)
-    if before is not None:
-        done = done.where(F.col("run_id") < before)
-    return done.agg(F.max("run_id")).first()[0]
+def finished(spark: SparkSession, out_dir: str) -> list[tuple[int, str, str, int]]:
+    """``(number, run id, folder, rows of the base)`` of the finished runs, oldest first: a row for each run."""
+    rows = reports(spark, out_dir).select("run_number", "run_id", "folder", "stored").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def last_run(spark: SparkSession, out_dir: str) -> str | None:
+    """Id of the last finished run."""
+    runs = finished(spark, out_dir)
+    return runs[-1][1] if runs else None
+
+
+def _parts(spark: SparkSession, out_dir: str, kind: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{out_dir}/{kind}/{f}" for f in folders])
 
 
 def current_base(spark: SparkSession, out_dir: str, empty_is_null: bool = False) -> DataFrame:
-    """The base as the last finished run left it."""
-    run = last_run(spark, out_dir)
-    return read_base(spark, f"{out_dir}/base/run_id={run}" if run else None, empty_is_null)
+    """The base as the finished runs left it."""
+    folders = [f for _, _, f, _ in finished(spark, out_dir)]
+    base = _parts(spark, out_dir, "base", folders, RECORDS)
+    base = base.join(_parts(spark, out_dir, "removed", folders, REMOVED), "seq", "left_anti").select(*COLUMNS, "seq")
+    return empty_as_null(base) if empty_is_null else base
+
+
+def exact_pass(batch: DataFrame, live: DataFrame, empty_is_null: bool) -> DataFrame:
+    """The first batch row of each exact key that the base does not have."""
+    known = live.select(F.col("exact_null" if empty_is_null else "exact").alias("_exact"))
+    first = keep_first(batch.withColumn("_exact", digest(PRIMARY_KEYS)), ["_exact"])
+    return first.join(known, "_exact", "left_anti").drop("_exact")
+
+
+def normalised_pass(rows: DataFrame, live: DataFrame) -> DataFrame:
+    """Of rows that passed: the first of each normalised key that the base does not have, normalised."""
+    first = normalise_keys(rows).withColumn("_normal", digest(NORMALISED_KEYS))
+    first = keep_first(first, ["_normal"])
+    known = live.select(F.col("normal").alias("_normal"))
+    return first.join(known, "_normal", "left_anti").select(*COLUMNS, "seq")
+
+
+def overtaken(live: DataFrame, newest: DataFrame, empty_is_null: bool) -> DataFrame:
+    """``seq`` of the newest run's rows that, normalised, have the exact key of an earlier row.
+
+    Rows of older runs were held against each other by the runs after them.
+    """
+    key = "exact_null" if empty_is_null else "exact"
+    first = live.join(newest.select(key), key, "left_semi").groupBy(key).agg(F.min("seq").alias("first"))
+    return newest.join(first, key).where(F.col("seq") > F.col("first")).select("seq")
 
 
 def run(
@@ -75,37 +127,73 @@ def run(
 ) -> DataFrame | None:
     """Extract, consolidate, de-duplicate, report. Returns the report row, or None.
 
-    Run ids order the base: each must sort after those already finished. A run
-    id that is finished already is not run again. None means that nothing was
-    stored: no items, or storing failed; with ``strict`` a failure is raised.
+    Runs are numbered in the order in which they finish, and older rows win. A
+    run id that is finished already is not run again. A card's link leads to
+    the pages of this run, of ``linked`` and of all earlier runs, the newest
+    capture first; stored records are not changed when a page comes later. None
+    means that nothing was stored: no items, or storing failed; with ``strict``
+    a failure is raised. Two pages with one id, and another run that finishes
+    meanwhile, always raise.
     """
     spark = pages.sparkSession
     done = reports(spark, out_dir).where(F.col("run_id") == run_id)
     if not done.isEmpty():
         return done
-    latest = last_run(spark, out_dir)
-    if latest is not None and run_id < latest:
-        raise ValueError(f"run id {run_id!r} sorts before the finished run {latest!r}")
+    check_page_ids(pages)
+    with Staging(spark) as staging:
+        nodes = staging.store(explode_nodes(pages, items_plan.REQUEST), "nodes")
+        return run_nodes(nodes, out_dir, run_date, run_id, staging, linked, labels, empty_is_null, strict)
+
 
-    staging = Staging(spark)
-    nodes = staging.store(explode_nodes(pages, items_plan.REQUEST), "nodes")
-    records = items_plan.extract_items(nodes, run_date, run_id, linked, labels, staging.store)
+def run_nodes(
+    nodes: DataFrame,
+    out_dir: str,
+    run_date: dt.date,
+    run_id: str,
+    staging: Staging,
+    linked: DataFrame | None = None,
+    labels: Labels = Labels(),
+    empty_is_null: bool = True,
+    strict: bool = False,
+) -> DataFrame | None:
+    """``run`` on pages that are read already: a stored table of element rows."""
+    spark = nodes.sparkSession
+    runs = finished(spark, out_dir)
+    number, stored_before = (runs[-1][0] + 1, runs[-1][3]) if runs else (1, 0)
+    folders = [f for _, _, f, _ in runs]
+    folder = f"run={number:012d}-{uuid.uuid4().hex[:8]}"
+
+    captured = staging.store(unique_by_url(page_text(nodes)), "captured")
+    captured.write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
+
+    def known(links: DataFrame) -> DataFrame:
+        return _known_pages(spark, out_dir, links, linked)
+
+    records = items_plan.extract_items(nodes, run_date, f"{number:012d}", staging.store, known, labels)
     batch = staging.store(align_columns(records, COLUMNS, keep=("seq",)), "items")
-    n_items = batch.count()
+    by_source = {r["Fonte"]: r["items"] for r in count_items(batch).collect()}  # one row for each kind of source
+    n_items = sum(by_source.values())
+    unreadable = nodes.where(F.col("error").isNotNull()).select("page_id").distinct().count()
+    if unreadable:
+        log.warning("%d pages could not be read", unreadable)
     if n_items == 0:
         log.info("no items, nothing to store")
         return None
 
     try:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch/run_id={run_id}")
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch/{folder}")
     except Exception:
         log.exception("batch snapshot not written; going on")
 
-    consolidated_path = f"{out_dir}/consolidated/run_id={run_id}"
-    base_path = f"{out_dir}/base/run_id={run_id}"
     try:
-        base = read_base(spark, f"{out_dir}/base/run_id={latest}" if latest else None, empty_is_null)
-        consolidate(base, batch).write.mode("overwrite").parquet(consolidated_path)
+        digests = _parts(spark, out_dir, "digests", folders, DIGESTS)
+        gone = _parts(spark, out_dir, "removed", folders, REMOVED)
+        digests = digests.join(gone, "seq", "left_anti")
+        newest = _parts(spark, out_dir, "digests", folders[-1:], DIGESTS).join(gone, "seq", "left_anti")
+        overtaken(digests, newest, empty_is_null).write.mode("overwrite").parquet(f"{out_dir}/removed/{folder}")
+        more_gone = _parts(spark, out_dir, "removed", [folder], REMOVED)
+        live = digests.join(more_gone, "seq", "left_anti")
+        exact_pass(batch, live, empty_is_null).write.mode("overwrite").parquet(f"{out_dir}/consolidated/{folder}")
     except Exception:
         log.exception("consolidation failed; the base stays as it was")
         if strict:
@@ -113,24 +201,48 @@ def run(
         return None
 
     try:
-        consolidated = spark.read.schema(RECORDS).parquet(consolidated_path)
-        cleaned = consolidated if not empty_is_null else read_base(spark, consolidated_path)
-        dedupe_normalised(cleaned).select(*COLUMNS, "seq").write.mode("overwrite").parquet(base_path)
-        before, after = consolidated.count(), spark.read.schema(RECORDS).parquet(base_path).count()
+        passed = _parts(spark, out_dir, "consolidated", [folder], RECORDS)
+        normalised_pass(passed, live).write.mode("overwrite").parquet(f"{out_dir}/base/{folder}")
+        fresh = _parts(spark, out_dir, "base", [folder], RECORDS)
+        fresh.select(
+            digest(PRIMARY_KEYS).alias("exact"),
+            digest(PRIMARY_KEYS, empty_is_null=True).alias("exact_null"),
+            digest(NORMALISED_KEYS).alias("normal"),
+            "seq",
+        ).write.mode("overwrite").parquet(f"{out_dir}/digests/{folder}")
+        older = stored_before - more_gone.count()
+        n_passed, n_fresh = passed.count(), fresh.count()
         counts = spark.createDataFrame(
-            [(run_date, n_items, before, after, before - after)],
-            "run_date date, items bigint, consolidated bigint, stored bigint, removed bigint",
+            [(number, run_id, folder, run_date, n_items, older + n_passed, older + n_fresh, n_passed - n_fresh, unreadable, by_source)],
+            T.StructType(REPORT.fields[:-2]),
         )
-        report_path = f"{out_dir}/report/run_id={run_id}"
-        run_report(counts).coalesce(1).write.mode("overwrite").parquet(report_path)
-    except Exception:
+        report = run_report(counts)
+        if [f for _, _, f, _ in finished(spark, out_dir)] != folders:
+            raise RuntimeError(f"another run finished while {run_id!r} was at work; start it again")
+        # The folder's name has the number only, so of two runs that get here together one fails.
+        report.drop("run_number").coalesce(1).write.mode("errorifexists").parquet(f"{out_dir}/report/run_number={number}")
+    except Exception as e:
         log.exception("post-processing failed; the base stays as it was")
-        if strict:
+        if strict or isinstance(e, RuntimeError) and "another run" in str(e):
             raise
         return None
     return reports(spark, out_dir).where(F.col("run_id") == run_id)
 
 
+def _known_pages(spark: SparkSession, out_dir: str, links: DataFrame, given: DataFrame | None) -> DataFrame:
+    """Pages behind ``links(url)``, one row for each: from the newest run that captured it, else as given.
+
+    Captured pages are known whether or not their run stored anything. Only the
+    few addresses asked for are taken from the store.
+    """
+    stored = read_or_empty(spark, f"{out_dir}/linked", LINKED).select("url", F.struct("title", "body").alias("shown"), "run")
+    if given is not None:
+        given = unique_by_url(given.withColumn("page_id", F.lit(0)) if "page_id" not in given.columns else given)
+        stored = stored.unionByName(given.select("url", F.struct("title", "body").alias("shown"), F.lit("").alias("run")))
+    asked = stored.join(links, "url", "left_semi")
+    return asked.groupBy("url").agg(F.max_by("shown", "run").alias("shown")).select("url", "shown.title", "shown.body")
+
+
 def export_csv(spark: SparkSession, out_dir: str, target: str) -> None:
     """The current base without its hidden order column, as CSV files with a header."""
     current_base(spark, out_dir).select(*COLUMNS).write.mode("errorifexists").csv(

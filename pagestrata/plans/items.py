@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from pagestrata.functions.dates import extraction_date
 from pagestrata.functions.text import first_truthy, pub_date_from_tail, trim_all
-from pagestrata.operators.joins import salted_join
 from pagestrata.plans import cards, page_text, sections
 from pagestrata.plans.cards import extract_cards
+from pagestrata.plans.page_text import link_key
 from pagestrata.plans.sections import extract_sections
 from pagestrata.schema import Labels
 
@@ -62,37 +62,41 @@ def card_records(enriched: DataFrame, run_date: dt.date, run_id: str, labels: La
     )
 
 
-def enrich(card_rows: DataFrame, linked: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def enrich(card_rows: DataFrame, linked: DataFrame) -> DataFrame:
     """Add ``full_title`` and ``full_body`` of the page behind each card's link.
 
-    Cards without a known page keep nulls there. Many cards may share one link,
-    so the join deals hot links over several tasks.
+    A link to a place in a page leads to that page. Cards without a known page
+    keep nulls there. Many cards may share one link, or have none: adaptive
+    execution splits such partitions of the cards.
     """
     full = linked.select(
-        F.col("url").alias("link"), F.col("title").alias("full_title"), F.col("body").alias("full_body")
+        link_key("url").alias("_key"), F.col("title").alias("full_title"), F.col("body").alias("full_body")
     )
-    return salted_join(card_rows, full, "link", "left", ["page_id", "card_pre"], hot_rows)
+    return card_rows.withColumn("_key", link_key("link")).join(full, "_key", "left").drop("_key")
 
 
 def extract_items(
     nodes: DataFrame,
     run_date: dt.date,
     run_id: str,
-    linked: DataFrame | None = None,
+    store: Callable[[DataFrame, str], DataFrame],
+    linked: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     labels: Labels = Labels(),
-    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Records of all pages. A page gives its section items, or its cards when it has none.
 
-    ``nodes`` is read several times: pass a stored table. ``linked`` defaults
-    to the pages themselves. ``store`` may write a table that is used twice
-    and hand back the stored copy.
+    ``nodes`` is read several times: pass a stored table. ``store`` writes a
+    table that is used twice and hands back the stored copy. ``linked`` defaults
+    to the pages themselves; it may be another table with one row for each
+    address, or a function that gives the rows for a table of addresses.
     """
     items = store(extract_sections(nodes), "section_items")
     if linked is None:
         linked = page_text.unique_by_url(page_text.page_text(nodes))
     generic = extract_cards(nodes).join(items.select("page_id").distinct(), "page_id", "left_anti")
     generic = store(generic, "cards")
+    if callable(linked):
+        linked = linked(generic.where("link IS NOT NULL").select(link_key("link").alias("url")).distinct())
     return section_records(items, run_date, run_id, labels).unionByName(
         card_records(enrich(generic, linked), run_date, run_id, labels)
     )

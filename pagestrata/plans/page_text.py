@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagestrata.functions.text import first_truthy
 from pagestrata.operators.axes import has_ancestor, is_tag
-from pagestrata.operators.pick import first_where
-from pagestrata.sources.page_tree import NodeRequest
+from pagestrata.sources.page_tree import PAGE, NodeRequest
 
 # Class substrings of a content block.
 BODY_CLASSES = ("conteudo", "content", "texto")
 
 REQUEST = NodeRequest(
-    elements=dict.fromkeys(("h1", "h2", "p", "article", "div"), ()),
+    elements=dict.fromkeys(("h1", "h2", "p"), ()),
     text=dict.fromkeys(("h1", "h2", "p"), ()),
-    context=frozenset({"article", "section", "div"}),
+    context={"article": (), "section": (), "div": BODY_CLASSES},
+    presence=frozenset({"h1", "h2", "article", "div"}),
 )
 
 
@@ -27,7 +27,8 @@ def page_text(nodes: DataFrame) -> DataFrame:
     first ``h2``; an empty one passes to the next rule. Body: paragraphs in an
     article, in a content block, in a section, or any; the first rule with a
     non-empty paragraph gives all of its paragraphs. A page without ``h1``,
-    ``h2``, ``article`` or ``div`` counts as not loaded and gives no row.
+    ``h2``, ``article`` or ``div`` counts as not loaded and gives no row. Pages
+    that share a number and differ in their address are told apart.
     """
     tag, text = F.col("tag"), F.col("text")
     in_article = has_ancestor(is_tag("article"))
@@ -37,41 +38,46 @@ def page_text(nodes: DataFrame) -> DataFrame:
         .when(has_ancestor(is_tag("section")), 3)
         .otherwise(4)
     )
-    rows = nodes.where(tag.isin(*REQUEST.elements)).select(
-        "page_id",
-        "url",
-        "pre",
-        "tag",
-        "text",
-        in_article.alias("in_article"),
-        F.when((tag == "p") & (text != ""), rule).alias("rule"),
+    # Titles are numbered so that the order of rules is the order of numbers.
+    title = F.when(tag == "h1", F.when(in_article, 1).otherwise(2)).when(tag == "h2", F.when(in_article, 3).otherwise(4))
+    part = F.struct(
+        F.when(tag == "p", F.when(text != "", rule)).alias("rule"), title.alias("title"), "pre", "text"
     )
-    is_h1, is_h2 = F.col("tag") == "h1", F.col("tag") == "h2"
-    paragraph = F.struct("rule", "pre", "text")
-    pages = rows.groupBy("page_id", "url").agg(
-        F.max(F.col("tag") != "p").alias("loaded"),
-        first_where(is_h1 & F.col("in_article"), F.col("text")).alias("t1"),
-        first_where(is_h1, F.col("text")).alias("t2"),
-        first_where(is_h2 & F.col("in_article"), F.col("text")).alias("t3"),
-        first_where(is_h2, F.col("text")).alias("t4"),
-        F.min("rule").alias("best"),
-        # The paragraphs of one page, together no longer than the page itself.
-        F.collect_list(F.when(F.col("rule").isNotNull(), paragraph)).alias("paragraphs"),
+    wanted = (tag != "p") | (text != "")
+    # The titles and paragraphs of one page, together no longer than the page itself.
+    pages = (
+        nodes.where(tag.isin(*REQUEST.elements, PAGE) & F.coalesce(wanted, F.lit(True)))
+        .groupBy("page_id", "url")
+        .agg(F.max(tag == PAGE).alias("loaded"), F.collect_list(F.when(tag != PAGE, part)).alias("parts"))
+        .where("loaded")
     )
-    chosen = F.array_sort(F.filter("paragraphs", lambda p: p["rule"] == F.col("best")))
+
+    def first_title(*ranks: int) -> Column:
+        found = F.filter("parts", lambda p: p["title"].isin(*ranks))
+        first = F.array_min(F.transform(found, lambda p: F.struct(p["pre"], p["text"])))
+        return first["text"]
+
+    best = F.array_min(F.transform("parts", lambda p: p["rule"]))
+    chosen = F.filter("parts", lambda p: p["rule"] == best)
+    chosen = F.array_sort(F.transform(chosen, lambda p: F.struct(p["pre"], p["text"])))
     body = F.array_join(F.transform(chosen, lambda p: p["text"]), "\n\n")
-    return pages.where("loaded").select(
+    return pages.select(
         "page_id",
         "url",
-        first_truthy("t1", "t2", "t3", "t4").alias("title"),
-        F.when(F.col("best").isNotNull(), body).alias("body"),
+        first_truthy(first_title(1), first_title(1, 2), first_title(3), first_title(3, 4)).alias("title"),
+        F.when(best.isNotNull(), body).alias("body"),
     )
 
 
+def link_key(url: Column | str) -> Column:
+    """An address without its fragment, which only names a place in the page."""
+    return F.regexp_replace(url, "#.*$", "")
+
+
 def unique_by_url(linked: DataFrame) -> DataFrame:
-    """One row per URL, that of the lowest page id."""
+    """One row per address without fragment, that of the lowest page id."""
     return (
-        linked.groupBy("url")
+        linked.groupBy(link_key("url").alias("url"))
         .agg(F.min_by(F.struct("title", "body"), "page_id").alias("first"))
         .select("url", "first.title", "first.body")
     )

@@ -35,7 +35,7 @@ def request(item_tag: str = ITEM_TAG, cell_class: str = CELL_CLASS) -> NodeReque
         elements={item_tag: (), "tr": (), "td": (cell_class,)},
         text={item_tag: (), "td": (cell_class,)},
         inner_html={"td": (cell_class,)},
-        context=frozenset({"td", "tr"}),
+        context={"td": (cell_class,), "tr": ()},
     )
 
 

@@ -20,12 +20,14 @@ ALERT_REQUEST = NodeRequest(
     elements=dict.fromkeys(("tr", "td", "img", "a"), ()),
     text=dict.fromkeys(("tr", "td"), ()),
     value={"td": ()},
-    context=frozenset({"tr", "a"}),
+    context={"tr": (), "a": ()},
+    attributes=frozenset({"src", "alt"}),
 )
 HISTORY_REQUEST = NodeRequest(
     elements=dict.fromkeys(("tr", "div", "img", "input", "a"), ()),
     value=dict.fromkeys(("div", "a"), ()),
-    context=frozenset({"tr", "a"}),
+    context={"tr": (), "a": ()},
+    attributes=frozenset({"src", "align"}),
 )
 
 

@@ -1,7 +1,8 @@
 """One page's markup to element tuples: the only Python code in the data path.
 
 ``page_elements`` reads one HTML string and returns one tuple per requested
-element. It numbers elements in document order (``pre``) and closing order
+element, in time that grows with the page and with what is emitted, however
+deeply it is nested. It numbers elements in document order (``pre``) and closing order
 (``post``), so that ``post + depth`` is the ``pre`` of the last descendant.
 Everything that relates elements to each other is done by Spark afterwards.
 
@@ -14,9 +15,11 @@ table content in front of the table.
 
 from __future__ import annotations
 
+import codecs
 import html as html_lib
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import urljoin
 
@@ -59,12 +62,11 @@ _MARKUP = re.compile(
 _ATTRS = re.compile(
     r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)?))?"""
 )
-# Deeper elements become siblings, as in browsers; it also bounds paths and ancestor lists.
-MAX_DEPTH = 512
 _SOURCE_SPACE = re.compile(r"[ \t\r\n\f]{2,}|[\t\r\n\f]")
-_SPACES = re.compile(" {2,}")
-# In rendered pieces "\n" is a forced line break and "\r" a block edge.
+# In the text of a page "\n" is a forced line break and "\r" a block edge.
 _BREAK, _EDGE = "\n", "\r"
+#: Tag of the row that tells that a page has any of the elements asked for in ``presence``.
+PAGE = "#page"
 
 
 def _any_class(cls: str, words: tuple[str, ...]) -> bool:
@@ -78,32 +80,84 @@ def _merge(a: dict, b: dict) -> dict:
 
 @dataclass(frozen=True)
 class NodeRequest:
-    """What to emit. Each map goes from tag to class substrings (none: every class)."""
+    """What to emit. Each map goes from tag to class substrings (none: every class).
+
+    ``context`` are the enclosing elements that ``anc`` lists, ``paths`` the tags
+    whose ``path`` is given, ``attributes`` the attributes kept (None: all), and
+    ``presence`` tags of which any gives the page a row with the tag PAGE.
+    """
 
     elements: dict[str, tuple[str, ...]]
     text: dict[str, tuple[str, ...]] = field(default_factory=dict)
     value: dict[str, tuple[str, ...]] = field(default_factory=dict)
     inner_html: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    context: frozenset[str] = frozenset()
+    context: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    paths: frozenset[str] = frozenset()
+    attributes: frozenset[str] | None = frozenset()
+    presence: frozenset[str] = frozenset()
 
     def __or__(self, other: NodeRequest) -> NodeRequest:
+        every = self.attributes is None or other.attributes is None
         return NodeRequest(
             _merge(self.elements, other.elements),
             _merge(self.text, other.text),
             _merge(self.value, other.value),
             _merge(self.inner_html, other.inner_html),
-            self.context | other.context,
+            _merge(self.context, other.context),
+            self.paths | other.paths,
+            None if every else self.attributes | other.attributes,
+            self.presence | other.presence,
         )
 
 
-def render(pieces: list[str]) -> str:
-    """Visible text: spaces collapsed, lines kept, no-break space shown as space."""
-    lines = _SPACES.sub(" ", "".join(pieces))
-    if _EDGE in lines or _BREAK in lines:
-        lines = re.sub(f" ?([{_EDGE}{_BREAK}]) ?", r"\1", lines)
-        lines = re.sub(f"{_BREAK}{_EDGE}+", _BREAK, re.sub(f"{_EDGE}+", _EDGE, lines))
-        lines = lines.strip(" \r\n").replace(_EDGE, "\n")
-    return lines.replace("\xa0", " ").strip()
+class _Text:
+    """The visible text of a page, kept as it is shown: spaces collapsed, none beside line ends.
+
+    An element's text is a span of it, so nested elements cost no more than
+    the text they give.
+    """
+
+    def __init__(self):
+        self.pieces: list[str] = []
+        self.length = 0
+        self.last = _EDGE
+        self.space = False  # a space that counts only if text follows
+
+    def add(self, piece: str) -> None:
+        if not piece:
+            return
+        if piece[0] == " ":
+            self.space = True
+            piece = piece.lstrip(" ")
+            if not piece:
+                return
+        if self.space and self.last not in (_BREAK, _EDGE):
+            self.pieces.append(" ")
+            self.length += 1
+        self.space = piece[-1] == " "
+        piece = piece.rstrip(" ")
+        self.pieces.append(piece)
+        self.length += len(piece)
+        self.last = piece[-1]
+
+    def edge(self) -> None:
+        self.space = False
+        if self.last not in (_BREAK, _EDGE):
+            self._end(_EDGE)
+
+    def line_break(self) -> None:
+        self.space = False
+        self._end(_BREAK)
+
+    def _end(self, char: str) -> None:
+        self.pieces.append(char)
+        self.length += 1
+        self.last = char
+
+
+def shown(text: str) -> str:
+    """A span of a page's text as the element shows it."""
+    return text.strip(" \r\n").replace(_EDGE, "\n").replace("\xa0", " ").strip()
 
 
 def _escape(text: str) -> str:
@@ -111,7 +165,15 @@ def _escape(text: str) -> str:
 
 
 class _Open:
-    __slots__ = ("pre", "tag", "cls", "attrs", "parent", "path", "anc", "marks", "html")
+    __slots__ = ("pre", "tag", "cls", "attrs", "parent", "context", "marks", "html")
+
+    def chain(self, link: str) -> list[_Open]:
+        """The enclosing elements along ``parent`` or ``context``, outermost first."""
+        out, at = [], getattr(self, link)
+        while at is not None:
+            out.append(at)
+            at = getattr(at, link)
+        return out[::-1]
 
 
 class _Page:
@@ -119,87 +181,102 @@ class _Page:
         self.request, self.base = request, url
         self.stack: list[_Open] = []
         self.rows: list[tuple] = []
-        self.text: list[str] = []
+        self.text = _Text()
         self.value: list[str] = []
         self.html: list[str] = []
         self.pre = self.post = self.unseen = self.html_open = 0
+        self.value_length = self.html_length = 0
+        self.present = self.based = False
         self.open_tags: dict[str, int] = defaultdict(int)
 
+    def add_html(self, piece: str) -> None:
+        self.html.append(piece)
+        self.html_length += len(piece)
+
     def add_text(self, text: str, raw: bool = False) -> None:
         data = text if raw or "&" not in text else html_lib.unescape(text)
         if self.html_open:
-            self.html.append(data if raw else _escape(data))
+            self.add_html(data if raw else _escape(data))
         if self.request.value:
             self.value.append(data)
+            self.value_length += len(data)
         if not self.unseen:
-            self.text.append(_SOURCE_SPACE.sub(" ", data))
+            self.text.add(_SOURCE_SPACE.sub(" ", data))
 
     def push(self, tag: str, attrs: dict[str, str]) -> None:
         want = self.request
-        if len(self.stack) >= MAX_DEPTH:
-            self.pop()
         if self.html_open:
-            shown = "".join(
+            as_written = "".join(
                 ' %s="%s"' % (k, v.replace("&", "&amp;").replace("\xa0", "&nbsp;").replace('"', "&quot;"))
                 for k, v in attrs.items()
             )
-            self.html.append(f"<{tag}{shown}>")
+            self.add_html(f"<{tag}{as_written}>")
         up = self.stack[-1] if self.stack else None
         el = _Open()
-        el.pre, el.tag, el.attrs = self.pre, tag, attrs
+        el.pre, el.tag, el.attrs, el.parent = self.pre, tag, attrs, up
         el.cls = attrs.get("class", "")
-        el.parent = up.pre if up else -1
-        el.path = (up.path if up else "") + "/" + tag
-        el.anc = ()
+        el.context = None
         if up:
-            el.anc = up.anc + ((up.pre, up.tag, up.cls),) if up.tag in want.context else up.anc
+            listed = up.tag in want.context and _any_class(up.cls, want.context[up.tag])
+            el.context = up if listed else up.context
         self.pre += 1
         if tag == "br":
-            self.text.append(_BREAK)
+            self.text.line_break()
         elif tag in BLOCKS:
-            self.text.append(_EDGE)
+            self.text.edge()
         el.html = tag in want.inner_html and _any_class(el.cls, want.inner_html[tag])
         self.html_open += el.html
-        el.marks = (len(self.text), len(self.value), len(self.html))
+        el.marks = (self.text.length, self.value_length, self.html_length)
         self.unseen += tag in UNSEEN
+        self.present = self.present or tag in want.presence
         self.open_tags[tag] += 1
         self.stack.append(el)
 
     def pop(self) -> None:
         el, want = self.stack.pop(), self.request
-        text_at, value_at, html_at = el.marks
         tag = el.tag
         if tag in want.elements and _any_class(el.cls, want.elements[tag]):
-            href = el.attrs.get("href")
-            shown = tag in want.text and _any_class(el.cls, want.text[tag])
-            valued = tag in want.value and _any_class(el.cls, want.value[tag])
-            self.rows.append(
-                (
-                    el.pre,
-                    self.post,
-                    len(self.stack),
-                    el.parent,
-                    tag,
-                    el.cls,
-                    el.path,
-                    list(el.attrs.items()),
-                    self.link(href) if href is not None else None,
-                    list(el.anc),
-                    render(self.text[text_at:]) if shown else None,
-                    "".join(self.value[value_at:]) if valued else None,
-                    "".join(self.html[html_at:]) if el.html else None,
-                )
-            )
+            ends = (self.text.length, self.value_length, self.html_length)
+            spans = [slice(a, b) for a, b in zip(el.marks, ends)]
+            asked = (want.text, want.value)
+            given = [tag in a and _any_class(el.cls, a[tag]) for a in asked] + [el.html]
+            self.rows.append((el, self.post, len(self.stack), [s if g else None for s, g in zip(spans, given)]))
         self.post += 1
         self.unseen -= tag in UNSEEN
         self.open_tags[tag] -= 1
         self.html_open -= el.html
         if self.html_open and tag not in VOID:
-            self.html.append(f"</{tag}>")
+            self.add_html(f"</{tag}>")
         if tag == "td":
-            self.text.append(" ")
+            self.text.add(" ")
         elif tag in BLOCKS:
-            self.text.append(_EDGE)
+            self.text.edge()
+
+    def finished(self) -> Iterator[tuple]:
+        """Rows of the elements, in closing order, made one at a time."""
+        want = self.request
+        whole = ["".join(x) for x in (self.text.pieces, self.value, self.html)]
+        for el, post, depth, spans in self.rows:
+            text, value, html = (None if s is None else w[s] for w, s in zip(whole, spans))
+            href = el.attrs.get("href")
+            kept = want.attributes
+            yield (
+                el.pre,
+                post,
+                depth,
+                el.parent.pre if el.parent else -1,
+                el.tag,
+                el.cls,
+                "/" + "/".join([*(e.tag for e in el.chain("parent")), el.tag]) if el.tag in want.paths else None,
+                [(k, v) for k, v in el.attrs.items() if kept is None or k in kept],
+                self.link(href) if href is not None else None,
+                [(e.pre, e.tag, e.cls) for e in el.chain("context")],
+                None if text is None else shown(text),
+                value,
+                html,
+            )
+        if self.present:
+            yield (-1, -1, -1, -1, PAGE, "", None, [], None, [], None, None, None)
 
     def link(self, href: str) -> str:
         try:
@@ -238,8 +315,8 @@ class _Page:
             top = "tbody"
         if tag in ("td", "th") and top in ("tbody", "thead", "tfoot"):
             self.push("tr", {})
-        if tag == "base" and "href" in attrs:
-            self.base = self.link(attrs["href"])
+        if tag == "base" and "href" in attrs and not self.based:  # the first one counts, for all links
+            self.base, self.based = self.link(attrs["href"]), True
         self.push(tag, attrs)
         if tag in VOID:
             self.pop()
@@ -262,7 +339,7 @@ class _Page:
             elif other in SCOPES or (tag not in BLOCKS and other in BLOCKS):
                 return
 
-    def read(self, html: str) -> list[tuple]:
+    def read(self, html: str) -> Iterator[tuple]:
         pos, size, search = 0, len(html), _MARKUP.search
         while pos < size:
             m = search(html, pos)
@@ -275,7 +352,7 @@ class _Page:
             comment, end, tag, attrs, closed = m.groups()
             if tag is None:
                 if self.html_open and comment is not None:
-                    self.html.append(f"<!--{comment}-->")
+                    self.add_html(f"<!--{comment}-->")
                 continue
             if not closed:
                 break
@@ -291,9 +368,33 @@ class _Page:
                 pos = stop
         while self.stack:
             self.pop()
-        return self.rows
+        return self.finished()
 
 
-def page_elements(html: str, url: str, request: NodeRequest) -> list[tuple]:
-    """Requested elements of one page, in closing order."""
+def page_elements(html: str, url: str, request: NodeRequest) -> Iterator[tuple]:
+    """Requested elements of one page, in closing order. The page is read before the first row comes."""
     return _Page(request, url).read(html)
+
+
+_DECLARED = re.compile(rb"<meta[^>]+charset\s*=\s*[\"']?\s*([a-zA-Z0-9_-]+)", re.I)
+_MARKS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
+
+
+def decode(page: bytes, charset: str | None = None) -> str:
+    """Markup as text: by byte order mark, given or declared charset, UTF-8, else windows-1252.
+
+    Browsers read the Latin-1 names as windows-1252; bytes without a meaning
+    there become replacement characters, so every page can be read.
+    """
+    for mark, name in _MARKS:
+        if page.startswith(mark):
+            return page[len(mark) :].decode(name, "replace")
+    declared = _DECLARED.search(page, 0, 2048)
+    for name in (charset, declared and declared[1].decode(), "utf-8"):
+        if name:
+            name = "cp1252" if name.lower() in ("iso-8859-1", "latin1", "latin-1", "us-ascii", "ascii") else name
+            try:
+                return page.decode(name)
+            except (LookupError, UnicodeDecodeError, ValueError):
+                continue
+    return page.decode("cp1252", "replace")

@@ -11,37 +11,38 @@ from pyspark.sql import types as T
 
 from pagestrata.operators.dedupe import align_columns, empty_as_null
 from pagestrata.schema import COLUMNS, PAGES, RECORDS
+from pagestrata.sources.nodes import numbered
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
+#: Session setting: number of partitions over which scans of whole texts are dealt. Unset: as the files are split.
+SCAN_PARTITIONS = "spark.pagestrata.scan.partitions"
 
-    A large input has far more splits than cores and is returned as it is, so
-    nothing is shuffled. For plain scans only: asking a shuffled result for its
-    partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+def dealt(scan: DataFrame) -> DataFrame:
+    """A scan over as many partitions as SCAN_PARTITIONS says, for inputs of a few unsplittable files."""
+    parts = scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan.repartition(int(parts)) if parts else scan
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table ``pages(page_id, url, html)``, spread over the cores."""
-    return spread(spark.read.schema(PAGES).parquet(path), "page_id")
+    """A parquet table ``pages(page_id, url, html)``.
+
+    Reading markup is bound by CPU: small splits (``spark.sql.files.maxPartitionBytes``
+    of 16 to 32 MB, and row groups no larger) keep all cores at work.
+    """
+    return dealt(spark.read.schema(PAGES).parquet(path))
 
 
 def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
-    """A folder of HTML files as ``pages``; the file path is the URL.
+    """A folder of HTML files as ``pages``, as the bytes they are; the file path is the URL.
 
-    Page ids come from split and position, so they are unique (a hash of the
-    path would not be, over billions of files) and the same when a task is
-    repeated. A new scan may number differently: store the result to keep ids.
+    Page ids come from split and position, so they are unique in this scan (a
+    hash of the path would not be, over billions of files) and the same when a
+    task is repeated. A new scan may number differently: store the result to
+    keep ids, and number the union of two scans anew.
     """
-    files = spark.read.text(folder, wholetext=True)
-    return files.select(
-        F.monotonically_increasing_id().alias("page_id"),
-        F.col("_metadata.file_path").alias("url"),
-        F.col("value").alias("html"),
-    )
+    files = spark.read.format("binaryFile").load(folder)
+    return numbered(files.select(F.col("path").alias("url"), F.col("content").alias("html"))).select("page_id", "url", "html")
 
 
 def read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:

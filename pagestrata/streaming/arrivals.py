@@ -1,15 +1,23 @@
-"""Run the daily job on pages as they arrive in a folder."""
+"""Run the job on pages as they arrive in a folder."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql import functions as F
 
-from pagestrata.plans import daily_run
+from pagestrata.plans import daily_run, items
 from pagestrata.schema import PAGES, Labels
+from pagestrata.sources.nodes import NODES, check_page_ids, explode_nodes
+from pagestrata.sources.tables import Staging, read_or_empty
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that a stream keeps in its checkpoint; a new checkpoint is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def follow_pages(
@@ -20,23 +28,44 @@ def follow_pages(
     run_date: Callable[[], dt.date] = dt.date.today,
     labels: Labels = Labels(),
     max_files: int = 1000,
-) -> StreamingQuery:
-    """Process every new parquet file of ``source`` and stop when none is left.
+) -> DataFrame | None:
+    """Take in every new parquet file of ``source``, then run the job once on what arrived.
 
-    The base is the only state, so there is no watermark. A batch that is
-    replayed has the same run id and is recognised as done; one that fails
-    stops the stream and is replayed on the next start.
+    Micro-batches only read the pages and keep their elements under
+    ``landed/stream=X/batch=N``; a batch that is replayed overwrites itself.
+    The run covers all landed batches that no finished run of this stream has,
+    so its result does not depend on how the files were cut into batches, and
+    a card finds a page of another batch. A run that fails is made up for by the
+    next call. Returns the report row, or None when there was nothing to store.
     """
 
-    def handle(pages: DataFrame, batch_id: int) -> None:
-        daily_run.run(pages, out_dir, run_date(), f"{batch_id:012d}", labels=labels, strict=True)
+    def land(pages: DataFrame, batch_id: int) -> None:
+        batch = f"stream={stream_id(spark, checkpoint)}/batch={batch_id:012d}"
+        pages.select("page_id").write.mode("overwrite").parquet(f"{out_dir}/landed_ids/{batch}")
+        explode_nodes(pages, items.REQUEST).write.mode("overwrite").parquet(f"{out_dir}/landed/{batch}")
 
-    return (
+    query = (
         spark.readStream.schema(PAGES)
         .option("maxFilesPerTrigger", max_files)
         .parquet(source)
-        .writeStream.foreachBatch(handle)
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+
+    stream = stream_id(spark, checkpoint)
+    prefix = f"stream {stream} up to batch "
+    done = [r for _, r, _, _ in daily_run.finished(spark, out_dir) if r.startswith(prefix)]
+    last_done = max((int(r.removeprefix(prefix)) for r in done), default=-1)
+    is_fresh = F.col("batch").cast("bigint") > last_done
+    fresh = read_or_empty(spark, f"{out_dir}/landed/stream={stream}", f"{NODES}, batch string").where(is_fresh)
+    ids = read_or_empty(spark, f"{out_dir}/landed_ids/stream={stream}", "page_id bigint, batch string").where(is_fresh)
+    last = ids.agg(F.max(F.col("batch").cast("bigint"))).first()[0]
+    if last is None:
+        return None
+    check_page_ids(ids)
+    with Staging(spark) as staging:
+        run_id = f"{prefix}{last:012d}"
+        return daily_run.run_nodes(fresh.drop("batch"), out_dir, run_date(), run_id, staging, labels=labels, strict=True)

@@ -106,7 +106,7 @@ def test_items_fall_back_per_page_and_use_linked_text(spark, pages_of):
     )
     staging = Staging(spark)
     nodes = staging.store(explode_nodes(pages, items.REQUEST), "nodes")
-    out = items.extract_items(nodes, DAY, "r1", store=staging.store)
+    out = items.extract_items(nodes, DAY, "r1", staging.store)
     assert out.columns == [*COLUMNS, "seq"]
     rows = [tuple(r)[:9] for r in out.orderBy("seq").collect()]
     assert rows == [
@@ -125,7 +125,24 @@ def test_enrich_with_a_hot_link(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("u"), "id")).alias("link"),
     )
     linked = spark.createDataFrame([("hot", "T", "B"), ("u1", "t1", "b1")], "url string, title string, body string")
-    out = items.enrich(cards_df, linked, hot_rows=50)
+    out = items.enrich(cards_df, linked)
     assert out.count() == n
     titles = {r.full_title: r.n for r in out.groupBy("full_title").agg(F.count("*").alias("n")).collect()}
     assert titles == {"T": 100, "t1": 1, None: 199}
+
+
+def test_a_link_to_a_place_leads_to_its_page(spark):
+    rows = spark.createDataFrame([(1, 0, "u#a"), (2, 0, "u"), (3, 0, "v#u"), (4, 0, "#")], "page_id bigint, card_pre int, link string")
+    linked = spark.createDataFrame([("u#top", "T", "B")], "url string, title string, body string")
+    out = {r.page_id: (r.link, r.full_title) for r in items.enrich(rows, linked).collect()}
+    assert out == {1: ("u#a", "T"), 2: ("u", "T"), 3: ("v#u", None), 4: ("#", None)}
+
+
+def test_cards_take_one_shuffle_and_one_sort(spark, pages_of):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = cards.extract_cards(explode_nodes(pages_of(*["<ul><li><a href=/x>a</a></ul>"] * 9).coalesce(8), cards.REQUEST))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning(page_id") == 1 and plan.count("Sort [") == 1

@@ -1,10 +1,14 @@
 import datetime as dt
+import os
+import random
 from functools import partial
 
 import pytest
 
 from pagestrata.plans import daily_run
 from pagestrata.schema import COLUMNS, PAGES
+from pagestrata.sources import nodes
+from pagestrata.sources.page_tree import page_elements
 from pagestrata.streaming.arrivals import follow_pages
 
 DAY1, DAY2 = dt.date(2025, 11, 5), dt.date(2025, 11, 6)
@@ -51,14 +55,12 @@ def test_two_days(spark, pages_of, tmp_path):
     assert second.run_date == DAY2 and "removidos: 2" in second.subject
     assert stored(spark, out) == [*day1, ("Lei 4 01/02/2025", "nova", "Um", "2025-06-11")]
 
-    # a finished run is not repeated, and run ids only move forward
+    # a finished run is not repeated, and runs are numbered as they finish, whatever their ids
     assert daily_run.run(pages_of(page(("Lei 9", "x"))), out, DAY2, "0002").first().stored == 4
-    with pytest.raises(ValueError):
-        daily_run.run(pages_of(page(("Lei 9", "x"))), out, DAY2, "0001b")
 
     # nothing found, nothing stored
     assert daily_run.run(pages_of("<p>vazio"), out, DAY2, "0003") is None
-    assert daily_run.last_run(spark, out) == "0002" and not (tmp_path / "out/batch/run_id=0003").exists()
+    assert daily_run.last_run(spark, out) == "0002" and len(list((tmp_path / "out/batch").iterdir())) == 2
 
     daily_run.export_csv(spark, out, str(tmp_path / "csv"))
     exported = spark.read.csv(str(tmp_path / "csv"), header=True, escape='"', multiLine=True)
@@ -76,7 +78,7 @@ def test_failures_are_staged(spark, pages_of, tmp_path, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("disk full")
 
-    for step in ("consolidate", "dedupe_normalised", "run_report"):
+    for step in ("overtaken", "exact_pass", "normalised_pass", "run_report"):
         with monkeypatch.context() as m:
             m.setattr(daily_run, step, fail)
             assert run(pages_of(page(("Lei 2", "y"))), run_id="2") is None
@@ -88,18 +90,166 @@ def test_failures_are_staged(spark, pages_of, tmp_path, monkeypatch):
     assert run(pages_of(page(("Lei 2", "y"))), run_id="2").first().stored == 2
 
 
-def test_stream_of_arrivals(spark, pages_of, tmp_path):
-    source, out, checkpoint = (str(tmp_path / d) for d in ("pages", "out", "cp"))
-    pages_of(page(("Lei 1", "a"))).write.parquet(source)
+def test_an_older_row_goes_when_it_is_overtaken(spark, pages_of, tmp_path):
+    """Several lines in two cities: only once normalised do they have one exact key, so the next run removes one."""
+    out = str(tmp_path / "out")
+    run = partial(daily_run.run, out_dir=out, run_date=DAY1, strict=True)
+    act = ("Lei 1", "a<br>b")
+    first = run(pages_of(page(act), page(("Lei 1", "a b"), city="Dois")), run_id="a").first()
+    assert (first.consolidated, first.stored, first.removed) == (2, 2, 0)
+    second = run(pages_of(page(("Lei 2", "c"))), run_id="b").first()
+    assert (second.consolidated, second.stored, second.removed) == (2, 2, 0)
+    assert [r[:3] for r in stored(spark, out)] == [("Lei 1", "a b", "Um"), ("Lei 2", "c", "Um")]
+    # The removed row no longer stands in the way of its like.
+    third = run(pages_of(page(act, city="Dois")), run_id="c").first()
+    assert (third.consolidated, third.stored, third.removed) == (3, 3, 0)
+    fourth = run(pages_of(page(("Lei 3", "d"))), run_id="d").first()
+    assert (fourth.consolidated, fourth.stored) == (3, 3)
+
+
+def reference(days):
+    """Both passes over whole bases, as the rules say: rows are (title, description, city)."""
+    base, counts = [], []
+    for rows in days:
+        seen, kept = set(), []
+        for r in base + rows:
+            if (r[0], r[1] or None) not in seen:
+                seen.add((r[0], r[1] or None))
+                kept.append(r)
+        normal, base = set(), []
+        for a, d, c in kept:
+            r = (" ".join(a.split()), " ".join(d.split()), c)
+            if r not in normal:
+                normal.add(r)
+                base.append(r)
+        counts.append((len(kept), len(base), len(kept) - len(base)))
+    return base, counts
+
+
+def test_many_days_equal_whole_passes(spark, pages_of, tmp_path):
+    rng = random.Random(2)
+    days = [
+        [(f"Lei {rng.randint(1, 4)}", rng.choice(["a b", "a\nb", "c", "c\nd", "c d"]), rng.choice(["Um", "Dois"])) for _ in range(9)]
+        for _ in range(4)
+    ]
+    counts = []
+    for n, rows in enumerate(days):
+        pages = [page((t, d.replace("\n", "<br>")), city=c) for t, d, c in rows]
+        r = daily_run.run(pages_of(*pages), str(tmp_path), DAY1, f"run {9 - n}", strict=True).first()
+        counts.append((r.consolidated, r.stored, r.removed))
+    base, expected = reference(days)
+    assert counts == expected and [r[:3] for r in stored(spark, str(tmp_path))] == base
+
+
+def test_a_run_does_not_read_the_texts_of_the_base(spark, pages_of, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    daily_run.run(pages_of(page(("Lei 1", "a"))), out, DAY1, "1", strict=True)
+    read = []
+    parts = daily_run._parts
+    monkeypatch.setattr(daily_run, "_parts", lambda s, o, kind, folders, schema: read.append((kind, tuple(folders))) or parts(s, o, kind, folders, schema))
+    daily_run.run(pages_of(page(("Lei 2", "b"))), out, DAY2, "2", strict=True)
+    old = daily_run.finished(spark, out)[0][2]
+    assert {k for k, f in read if old in f} == {"digests", "removed"}
+
+
+def test_report_counts_sources_and_bad_pages(spark, pages_of, tmp_path, monkeypatch):
+    def broken(html, url, request):
+        if "quebrada" in html:
+            raise RuntimeError("no")
+        return page_elements(html, url, request)
+
+    monkeypatch.setattr(nodes, "page_elements", broken)
+    pages = pages_of(page(("Lei 1", "a"), ("Lei 2", "b")), "<ul><li><a href=/x>um</a></ul>", "<p>quebrada")
+    r = daily_run.run(pages, str(tmp_path), DAY1, "1", strict=True).first()
+    assert r.unreadable_pages == 1 and r.items_by_source == {"PORTAL - MUNICIPAL": 2, "PORTAL - FEDERAL": 1}
+
+
+def test_repeated_page_ids_end_the_run(spark, pages_of, tmp_path):
+    pages = pages_of(page(("Lei 1", "a"))).unionByName(pages_of(page(("Lei 2", "b"), city="Dois")))
+    with pytest.raises(ValueError, match="page id 0"):
+        daily_run.run(pages, str(tmp_path), DAY1, "1")
+    assert daily_run.last_run(spark, str(tmp_path)) is None
+
+
+def test_a_run_that_would_hide_another_fails(spark, pages_of, tmp_path, monkeypatch):
+    out, inner = str(tmp_path), daily_run.run_report
+
+    def meanwhile(counts):
+        monkeypatch.setattr(daily_run, "run_report", inner)
+        daily_run.run(pages_of(page(("Lei 1", "a"))), out, DAY1, "other", strict=True)
+        return inner(counts)
+
+    monkeypatch.setattr(daily_run, "run_report", meanwhile)
+    with pytest.raises(RuntimeError, match="another run finished"):
+        daily_run.run(pages_of(page(("Lei 2", "b"))), out, DAY1, "this")
+    assert [r[0] for r in stored(spark, out)] == ["Lei 1"]
+    daily_run.run(pages_of(page(("Lei 2", "b"))), out, DAY1, "this", strict=True)
+    assert [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 2"]
 
-    def follow():
-        follow_pages(spark, source, out, checkpoint, run_date=lambda: DAY1).awaitTermination(300)
 
-    follow()
+def test_links_to_pages_of_other_days(spark, pages_of, tmp_path):
+    out = str(tmp_path)
+    article = "<article><h1>Título</h1><p>corpo</p></article>"
+    assert daily_run.run(pages_of(article, url="http://h.example/d/{}"), out, DAY1, "1") is None
+    card = "<ul><li><a href='http://h.example/d/0#x'>curto</a><p>resumo</p></li></ul>"
+    daily_run.run(pages_of(card), out, DAY2, "2", strict=True)
+    assert [r[:2] for r in stored(spark, out)] == [("Título", "corpo")]
+
+
+def test_staged_tables_go(spark, pages_of, tmp_path, monkeypatch):
+    folders = []
+    init = daily_run.Staging.__init__
+    monkeypatch.setattr(daily_run.Staging, "__init__", lambda self, s: init(self, s) or folders.append(self.folder))
+    daily_run.run(pages_of(page(("Lei 1", "a"))), str(tmp_path), DAY1, "1", strict=True)
+    assert folders and not any(os.path.exists(f.removeprefix("file:")) for f in folders)
+
+
+@pytest.fixture
+def follow(spark, tmp_path):
+    def run(checkpoint="cp", out="out", max_files=1000):
+        where = [str(tmp_path / d) for d in ("pages", out, checkpoint)]
+        return follow_pages(spark, *where, run_date=lambda: DAY1, max_files=max_files)
+
+    return run
+
+
+def test_stream_of_arrivals(spark, pages_of, tmp_path, follow):
+    source, out = (str(tmp_path / d) for d in ("pages", "out"))
+    pages_of(page(("Lei 1", "a"))).write.parquet(source)
+    assert follow().first().stored == 1
     assert [r[0] for r in stored(spark, out)] == ["Lei 1"]
     pages_of(page(("Lei 1", "a"), ("Lei 2", "b"))).write.mode("append").parquet(source)
     follow()
-    follow()
+    assert follow() is None
     assert [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 2"]
     assert daily_run.reports(spark, out).count() == 2
     assert [f.name for f in PAGES] == ["page_id", "url", "html"]
+
+
+def test_a_new_checkpoint_loses_nothing(spark, pages_of, tmp_path, follow):
+    source, out = (str(tmp_path / d) for d in ("pages", "out"))
+    daily_run.run(pages_of(page(("Lei 0", "z"))), out, DAY1, "20251105")
+    pages_of(page(("Lei 1", "a"))).write.parquet(source)
+    follow()
+    pages_of(page(("Lei 9", "b"))).write.mode("overwrite").parquet(source)
+    follow(checkpoint="another")
+    assert [r[0] for r in stored(spark, out)] == ["Lei 0", "Lei 1", "Lei 9"]
+
+
+def test_batches_do_not_change_the_base(spark, pages_of, tmp_path, follow):
+    card = "<ul><li><a href='http://host.example/dir/{}'>um</a><p>resumo</p></li></ul>"
+    htmls = [card.format(1), "<article><h1>T1</h1><p>corpo</p></article>", page(("Lei 1", "a")), card.format(3)]
+    pages_of(*htmls).repartition(4).write.parquet(str(tmp_path / "pages"))
+    for n in (1, 1000):
+        follow(checkpoint=f"cp{n}", out=f"out{n}", max_files=n)
+    bases = [stored(spark, str(tmp_path / f"out{n}")) for n in (1, 1000)]
+    assert bases[0] == bases[1] and {r[:2] for r in bases[0]} == {("T1", "corpo"), ("Lei 1", "a"), ("um", "resumo")}
+
+
+def test_a_failed_run_of_a_stream_is_made_up_for(spark, pages_of, tmp_path, follow, monkeypatch):
+    pages_of(page(("Lei 1", "a"))).write.parquet(str(tmp_path / "pages"))
+    with monkeypatch.context() as m:
+        m.setattr(daily_run, "run_report", lambda counts: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            follow()
+    assert follow().first().stored == 1

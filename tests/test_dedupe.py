@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagestrata.operators import dedupe
-from pagestrata.operators.joins import MAX_HOT_KEYS, hot_keys, salted_join
 from pagestrata.plans.report import run_report
 from pagestrata.schema import COLUMNS
 
@@ -46,23 +45,29 @@ def test_count_removed_tells_keys_apart(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
-def test_salted_join_equals_a_plain_join(spark, how):
-    left = spark.range(1000).select(
-        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 != 0, F.col("id") % 50).alias("k")
-    )
-    right = spark.createDataFrame([(k, f"v{k}") for k in [*range(0, 50, 2), 7, 7]], "k bigint, v string")
-    salted = salted_join(left, right, "k", how, ["id"], rows_per_slot=100)
-    plain = left.join(right, "k", how)
-    assert salted.columns == plain.columns
-    assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
-
-
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(3 * MAX_HOT_KEYS).selectExpr("id % 2500 AS k")
-    assert hot_keys(df, "k", 1).count() == 3 * MAX_HOT_KEYS - 2500
-    assert hot_keys(df, "k", 0.5).count() == MAX_HOT_KEYS
-    assert hot_keys(df, "k", 2).count() == 0
-    assert hot_keys(spark.range(250).selectExpr("0 AS k"), "k", 100).first() == (0, 3)
+def test_skewed_joins_are_split(spark, how):
+    """A plain join: adaptive execution splits the partition of a hot key."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    left = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), F.uuid().alias("v"))
+    right = spark.range(60_000).select(F.col("id").alias("k"), F.uuid().alias("w"))
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        out = left.repartition(6).join(right, "k", how)
+        n = {"left_anti": 0}.get(how, 60_000)
+        assert out.agg(F.count("*")).first()[0] == n
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in low:
+            spark.conf.unset(k)
+    assert "skewed" in plan
 
 
 def test_report_wording(spark):

@@ -1,9 +1,13 @@
+import codecs
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from pagestrata.sources.nodes import explode_nodes, register_html_nodes
-from pagestrata.sources.page_tree import NodeRequest, page_elements
+from pagestrata.plans.sections import extract_sections, request
+from pagestrata.sources import nodes
+from pagestrata.sources.nodes import check_page_ids, explode_nodes, numbered, page_outcomes, register_html_nodes
+from pagestrata.sources.page_tree import NodeRequest, decode, page_elements
 from pagestrata.sources.tables import read_page_files
 
 TAGS = "html body table tbody thead tr td th p div ul li a b i strong h1 h2 span br img article option dd dt".split()
@@ -12,7 +16,9 @@ ALL = NodeRequest(
     text=dict.fromkeys(TAGS, ()),
     value=dict.fromkeys(TAGS, ()),
     inner_html=dict.fromkeys(TAGS, ()),
-    context=frozenset(TAGS),
+    context=dict.fromkeys(TAGS, ()),
+    paths=frozenset(TAGS),
+    attributes=None,
 )
 PATH, ATTRS, HREF, ANC, TEXT, VALUE, INNER = 6, 7, 8, 9, 10, 11, 12
 
@@ -108,30 +114,75 @@ def test_nothing_to_find(html):
 
 @pytest.mark.parametrize("unit", ['<a b="', "<", "<!--", "<p>", "&", "<a ", "</", "<a b=", '"', "<td>", "<b></i>"])
 def test_hostile_markup_stays_linear(unit):
+    # Paths and ancestors of everything would be as long as the page is deep, for each element.
+    lean = NodeRequest(elements=dict.fromkeys(TAGS, ()), text=dict.fromkeys(("td", "p"), ()), context={"tr": ()})
     start = time.perf_counter()
-    tree(unit * 50_000)
+    assert sum(1 for _ in page_elements(unit * 50_000, "", lean)) <= 50_000
     assert time.perf_counter() - start < 10
 
 
-def test_depth_is_bounded():
+def test_deep_pages_are_read_whole():
     rows = tree("<div>" * 3_000 + "x")
-    assert len(rows) == 3_000 and max(r[2] for r in rows) == 511
-    assert rows[-1][TEXT] == "x"
+    assert len(rows) == 3_000 and max(r[2] for r in rows) == 2_999
+    assert rows[-1][TEXT] == rows[0][TEXT] == "x" and rows[-1][PATH] == "/div" * 3_000
+
+
+def test_inner_titles_of_a_deep_page_keep_text_and_cell(spark, pages_of):
+    section = "<table><tr><td><strong>ISSQN - SP - Um</strong></td></tr><tr><td class=txt_cinza>{}</td></tr></table>"
+    act = "<strong>Lei<b> 1</b> de</strong><br>corpo<b>x</b>tail"
+    shallow, deep = section.format(act), "<div>" * 3_000 + section.format("<div>" * 600 + act)
+    rows = extract_sections(explode_nodes(pages_of(shallow, deep), request())).orderBy("page_id").collect()
+    assert [(r.ato, r.step, r.uf) for r in rows] == [("Lei 1 de", 1, "SP")] * 2
+    assert rows[0].descricao == "corpoxtail" and rows[1].descricao.endswith("corpoxtail")
+
+
+def test_depth_costs_linear_time():
+    # Nothing that is asked for is inside of itself, so what is emitted grows with the page.
+    lean = NodeRequest(elements={"b": ()}, text={"b": ()}, context={"tr": ()})
+    start = time.perf_counter()
+    rows = list(page_elements("<div>" * 200_000 + "<b>x</b>" * 1000, "", lean))
+    assert len(rows) == 1000 and time.perf_counter() - start < 10
+
+
+def test_presence_and_attributes():
+    lean = NodeRequest(elements={"a": ()}, attributes=frozenset({"href"}), presence=frozenset({"div", "h1"}))
+    rows = list(page_elements("<div><a href=x class=y id=z>q</a>", "http://h.example/", lean))
+    assert [(r[4], r[PATH], r[ATTRS]) for r in rows] == [("a", None, [("href", "x")]), ("#page", None, [])]
+    assert [r[4] for r in page_elements("<p><a>q</a>", "", lean)] == ["a"]
+
+
+@pytest.mark.parametrize(
+    "raw, charset, expected",
+    [
+        ("ação".encode(), None, "ação"),
+        (codecs.BOM_UTF8 + "ação".encode(), "iso-8859-1", "ação"),
+        (codecs.BOM_UTF16_LE + "ação".encode("utf-16-le"), None, "ação"),
+        ("ação".encode("latin-1"), None, "ação"),
+        ("ação".encode("latin-1"), "ISO-8859-1", "ação"),
+        ("“ação”".encode("cp1252"), "latin1", "“ação”"),
+        (b"<meta charset=koi8-r>" + "да".encode("koi8-r"), None, "<meta charset=koi8-r>да"),
+        (b"<meta charset='no-such'>" + "é".encode(), None, "<meta charset='no-such'>é"),
+        (b"\x81\xff", "utf-8", "\ufffdÿ"),
+        (b"", None, ""),
+    ],
+)
+def test_decode(raw, charset, expected):
+    assert decode(raw, charset) == expected
 
 
 def test_request_limits_output():
-    request = NodeRequest(elements={"td": ("grey",)}, text={"td": ("grey",)}, context=frozenset({"tr"}))
-    rows = page_elements("<table><tr><td class=darkgrey>a<td>b<td class=x>c</table>", "", request)
+    request = NodeRequest(elements={"td": ("grey",)}, text={"td": ("grey",)}, context={"tr": ()})
+    rows = list(page_elements("<table><tr><td class=darkgrey>a<td>b<td class=x>c</table>", "", request))
     assert [(r[4], r[5], r[TEXT], r[VALUE], r[INNER]) for r in rows] == [("td", "darkgrey", "a", None, None)]
     assert rows[0][ANC] == [(2, "tr", "")]
 
 
 def test_requests_merge():
     a = NodeRequest(elements={"td": ("x",), "p": ()}, text={"td": ("x",)})
-    b = NodeRequest(elements={"td": ("y",), "p": ("z",)}, context=frozenset({"tr"}))
+    b = NodeRequest(elements={"td": ("y",), "p": ("z",)}, context={"tr": ()})
     merged = a | b
     assert merged.elements == {"td": ("x", "y"), "p": ()}
-    assert merged.text == {"td": ("x",)} and merged.context == {"tr"}
+    assert merged.text == {"td": ("x",)} and merged.context == {"tr": ()}
 
 
 def test_bad_page_gives_an_error_row(spark, pages_of, monkeypatch):
@@ -160,9 +211,50 @@ def test_sql_table_function_gives_the_same_rows(spark, pages_of):
 
 
 def test_page_files(spark, tmp_path):
-    for name in ("a", "b"):
-        (tmp_path / f"{name}.html").write_text(f"<p>{name}\nx</p>")
+    for name, charset in (("a", "utf-8"), ("b", "latin-1")):
+        (tmp_path / f"{name}.html").write_bytes(f"<p>{name}\nação</p>".encode(charset))
+    (tmp_path / "c.html").write_bytes(b"")
     pages = read_page_files(spark, str(tmp_path))
     rows = explode_nodes(pages, NodeRequest(elements={"p": ()}, text={"p": ()})).collect()
-    assert sorted((r.url[-6:], r.text) for r in rows) == [("a.html", "a x"), ("b.html", "b x")]
+    assert sorted((r.url[-6:], r.text, r.error) for r in rows) == [("a.html", "a ação", None), ("b.html", "b ação", None)]
     assert len({r.page_id for r in rows}) == 2
+
+
+def test_repeated_page_ids_are_found(spark, pages_of):
+    pages = pages_of("a", "b")
+    check_page_ids(pages)
+    with pytest.raises(ValueError, match="page id 1 is given to 2"):
+        check_page_ids(pages.unionByName(pages.where("page_id = 1")))
+    with pytest.raises(ValueError):
+        check_page_ids(pages.withColumn("page_id", F.lit(None).cast("bigint")).limit(1))
+    again = numbered(pages.unionByName(pages))
+    check_page_ids(again)
+    assert again.columns == ["page_id", "url", "html"]
+
+
+def test_a_failing_page_leaves_the_others(spark, pages_of, monkeypatch):
+    pages = pages_of("<p>a", "<p>b", "<p>c").coalesce(1)
+
+    def broken(html, url, request):
+        if "b" in html:
+            raise RuntimeError("no")
+        return page_elements(html, url, request)
+
+    monkeypatch.setattr(nodes, "page_elements", broken)
+    rows = explode_nodes(pages, NodeRequest(elements={"p": ()}, text={"p": ()})).orderBy("page_id").collect()
+    assert [(r.page_id, r.text, r.error) for r in rows] == [(0, "a", None), (1, None, "RuntimeError: no"), (2, "c", None)]
+    found = page_outcomes(pages, explode_nodes(pages, NodeRequest(elements={"p": ()}))).collect()
+    assert {r.outcome: r.pages for r in found} == {"read": 2, "error": 1}
+
+
+def test_rows_that_arrow_refuses_stop_no_other():
+    good = (1, "u", 0, 0, 0, -1, "p", "", None, [], None, [], "t", None, None, None)
+    bad = (2, "u", "no number", *good[3:])
+    out = [r for b in nodes._to_batches([good, bad, good]) for r in b.to_pylist()]
+    assert [(r["page_id"], r["error"] is None) for r in out] == [(1, True), (2, False), (1, True)]
+
+
+def test_a_large_page_leaves_in_several_batches(spark, pages_of, monkeypatch):
+    monkeypatch.setattr(nodes, "_FLUSH_CHARS", 1000)
+    rows = explode_nodes(pages_of("<p>x</p>" * 500), NodeRequest(elements={"p": ()}, text={"p": ()}))
+    assert rows.count() == 500

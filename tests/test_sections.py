@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pagestrata.operators.carry import carry, carry_in_page
 from pagestrata.plans.sections import extract_sections, request
 from pagestrata.sources.nodes import explode_nodes
+from pagestrata.sources.tables import Staging
 
 HEADER = "<tr><td><strong>ISSQN - sp - Cidade Um</strong></td></tr>"
 FIRST_THREE = f"""<table><tbody>
@@ -128,7 +129,8 @@ def test_carry_equals_a_loop(spark, backward, include_current):
         for i in rng.sample(range(-50, 400), 60)
     ]
     df = spark.createDataFrame(rows, "g int, i int, v string").repartition(5)
-    got = carry(df, ["g"], "i", F.col("v"), "c", backward, include_current, chunk_rows=16)
+    with Staging(spark) as staging:
+        got = carry(df, ["g"], "i", F.col("v"), "c", staging.store, backward, include_current, parts=9).collect()
     expected = {}
     for g in [*range(5), None]:
         last = None
@@ -137,7 +139,23 @@ def test_carry_equals_a_loop(spark, backward, include_current):
                 last = v or last
             expected[g, i] = last
             last = v or last
-    assert {(r.g, r.i): r.c for r in got.collect()} == expected
+    assert {(r.g, r.i): r.c for r in got} == expected
+
+
+def test_carry_cuts_a_sparse_group_evenly(spark):
+    """One group whose order values lie far apart: no window partition holds more than its share."""
+    df = spark.range(20_000).select(F.lit(1).alias("g"), (F.col("id") * 1_000_000).alias("i"), F.when(F.col("id") == 3, "v").alias("v"))
+    stored = {}
+    with Staging(spark) as staging:
+
+        def store(rows, name):
+            stored[name] = staging.store(rows, name)
+            return stored[name]
+
+        out = carry(df, ["g"], "i", F.col("v"), "c", store, parts=10)
+        assert out.where("c = 'v'").count() == 19_997
+        sizes = [r["count"] for r in stored["ranges_of_c"].groupBy("_part").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
 
 
 def test_carry_in_page_keeps_state_per_page(spark):
