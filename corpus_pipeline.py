@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagestrata.llm import rule_list, token_mix
-from pagestrata.llm.flow_shards import reshard, write_shards
+from pagestrata.llm.flow_shards import free_name, reshard, write_shards
 from pagestrata.llm.positional_index import decontaminate
 from pagestrata.llm.simhash_pivots import near_duplicates
 from pagestrata.sources.tables import Staging
@@ -59,7 +59,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     plan, placed = reshard(docs, staging, old_shards=5, new_shards=8)
     written = write_shards(plan, placed, f"{staging.folder}/shards")
-    return written.withColumnRenamed("_size", "size").withColumnRenamed("_slot", "slot")
+    own = [F.col(c).alias(free_name(c, docs.columns)) for c in ("size", "shard", "slot")]
+    return written.select("row.*", *own)
 
 
 STAGES = [

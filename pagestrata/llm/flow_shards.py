@@ -15,6 +15,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagestrata.sources.tables import Staging
 
@@ -189,10 +190,26 @@ def reshard(
     return plan, placed.select("row", "size", "shard", slot)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores in front while another column has it (letter case does not tell columns apart)."""
+    while name.lower() in {c.lower() for c in taken}:
+        name = "_" + name
+    return name
+
+
 def write_shards(plan: Plan, placed: DataFrame, folder: str) -> DataFrame:
-    """Write the shards whose rows changed as ``folder/shard=k``; the folders of the others stay as they are."""
+    """Write the shards whose rows changed as ``folder/shard=k``; the folders of the others stay as they are.
+
+    Returns ``(row, size, shard, slot)`` as read back from the files of all
+    shards. Where the documents have a column of such a name, the file's own
+    one begins with an underscore.
+    """
+    fields = placed.schema["row"].dataType
+    size, slot, shard = (free_name(n, fields.names) for n in ("size", "slot", "shard"))
     changed = placed.where(F.col("shard").isin(sorted(plan.touched))) if plan.touched else placed.limit(0)
-    changed.select("row.*", F.col("size").alias("_size"), F.col("slot").alias("_slot"), "shard").write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
-    return placed.sparkSession.read.parquet(folder)
+    changed = changed.select("row.*", F.col("size").alias(size), F.col("slot").alias(slot), F.col("shard").alias(shard))
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(folder)
+    schema = T.StructType([*fields, T.StructField(size, T.LongType()), T.StructField(slot, T.LongType()), T.StructField(shard, T.IntegerType())])
+    written = placed.sparkSession.read.schema(schema).parquet(folder)
+    row = F.struct(*[F.col(f"`{c}`") for c in fields.names]).alias("row")
+    return written.select(row, F.col(size).alias("size"), F.col(shard).alias("shard"), F.col(slot).alias("slot"))

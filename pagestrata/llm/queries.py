@@ -76,12 +76,12 @@ def op3_flow_shards(spark: SparkSession, sf: str) -> DataFrame:
     plan, placed = reshard(table(spark, sf, "documents"), staging, old_shards=5, new_shards=8)
     written = write_shards(plan, placed, f"{staging.folder}/shards")
     return written.select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        F.col("row.doc_id").alias("doc_id"),
+        "size",
+        F.crc32(F.coalesce(F.col("row.text"), F.lit(""))).alias("text_crc32"),
         F.lit("bytes").alias("law"),
-        F.col("shard").cast("int").alias("shard"),
-        F.col("_slot").alias("slot"),
+        "shard",
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

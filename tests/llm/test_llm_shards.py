@@ -102,7 +102,7 @@ def test_only_affected_shards_are_written(spark, tmp_path):
         plan, placed = fs.reshard(docs, staging, old_shards=5)
         written = fs.write_shards(plan, placed, folder)
         assert plan.touched == set(range(8))
-        assert sorted((zlib.crc32((r["text"] or "").encode()), r["shard"], r["_slot"]) for r in written.collect()) == sorted(
+        assert sorted((zlib.crc32((r["row"]["text"] or "").encode()), r["shard"], r["slot"]) for r in written.collect()) == sorted(
             (zlib.crc32((r["row"]["text"] or "").encode()), r["shard"], r["slot"]) for r in placed.collect()
         )
         before = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "shards").glob("shard=*")}
