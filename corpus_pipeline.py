@@ -31,10 +31,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates, once."""
-    staging = Staging(spark)
     docs = _with_id(docs)
-    found = near_duplicates(docs, staging, id_col=ID)
-    first = staging.store(found.where("id = component_id").select(F.col("id").alias(ID)).distinct(), "first")
+    with Staging(spark) as work:
+        found = near_duplicates(docs, work, id_col=ID)
+        first = Staging(spark).store(found.where("id = component_id").select(F.col("id").alias(ID)).distinct(), "first")
     kept = docs.join(first, ID, "left_semi")
     once = F.row_number().over(Window.partitionBy(ID).orderBy(F.xxhash64("text")))
     return kept.withColumn("_once", once).where("_once = 1").drop("_once", ID)
@@ -42,10 +42,10 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any word in a window of a benchmark item."""
-    staging = Staging(spark)
     docs = _with_id(docs)
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), staging, id_col=ID)
-    hit = staging.store(found.where("n_hit > 0").select(F.col("id").alias(ID)).distinct(), "hit")
+    with Staging(spark) as work:  # the index goes when the documents that match are known
+        found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), work, id_col=ID)
+        hit = Staging(spark).store(found.where("n_hit > 0").select(F.col("id").alias(ID)).distinct(), "hit")
     return docs.join(hit, ID, "left_anti").drop(ID)
 
 
@@ -56,9 +56,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in eight shards of equal bytes, moved from five, read back from the written files."""
-    staging = Staging(spark)
-    plan, placed = reshard(docs, staging, old_shards=5, new_shards=8)
-    written = write_shards(plan, placed, f"{staging.folder}/shards")
+    with Staging(spark) as work:
+        plan, placed = reshard(docs, work, old_shards=5, new_shards=8)
+        written = write_shards(plan, placed, f"{Staging(spark).folder}/shards")
     own = [F.col(c).alias(free_name(c, docs.columns)) for c in ("size", "shard", "slot")]
     return written.select("row.*", *own)
 
