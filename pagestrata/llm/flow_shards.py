@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from pagestrata.sources.tables import Staging
 
-#: Blocks by group, and the part of all bytes from which a block is split. Both bound what the driver sees.
-BLOCKS, FINE = 1024, 2048
+#: Blocks by group, the part of all bytes from which a block is split by more bits of the group, and the part
+#: from which a group is split by row. All bound what the driver sees.
+BLOCKS, FINE, COARSE = 1024, 2048, 64
 #: Text bytes in one written file.
 FILE_BYTES = 64 << 20
 
@@ -87,10 +88,6 @@ def keyed(docs: DataFrame, group: Column, row: Column) -> DataFrame:
     )
 
 
-def _split(sums: list, limit: int) -> list[tuple]:
-    return [(*k, -(-size // limit)) for k, size in sums if size > limit]
-
-
 class Plan:
     """Block of every row and new shard of every block."""
 
@@ -98,11 +95,11 @@ class Plan:
         """``slim(g, r, size)``; ``old`` is the old shard as a function of ``g``; ``capacity`` are shares."""
         self.spark, self.staging = slim.sparkSession, staging
         total = slim.agg(F.sum("size")).first()[0] or 0
-        limit = max(1, total // FINE)
         self.cuts: list[DataFrame] = []
-        for bits in ("g", "r"):
+        for bits, parts in (("g", FINE), ("r", COARSE)):
+            limit = max(1, total // parts)
             sums = self.blocks(slim).groupBy(*self._names()).agg(F.sum("size").alias("size"))
-            found = sums.where(F.col("size") > limit).collect()  # fewer than FINE rows
+            found = sums.where(F.col("size") > limit).collect()  # fewer rows than ``parts``
             names = self._names()
             rows = [(*[x[c] for c in names], -(-x["size"] // limit)) for x in found]
             types = ", ".join([f"x_{c} int" for c in names] + [f"parts_{bits} int"])
@@ -110,7 +107,7 @@ class Plan:
         sums = self.blocks(slim).groupBy(*self._names()).agg(
             F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min(old).alias("old")
         )
-        # At most BLOCKS + 2 * FINE blocks and the parts of the split ones, 2 * FINE in all.
+        # At most BLOCKS blocks and the parts of those that were split, 2 * FINE and 2 * COARSE.
         found = [(tuple(x[c] for c in self._names()), x["old"], x["size"], x["n"]) for x in sums.collect()]
         supply = [0] * max(n_old, 1)
         for _, o, size, _ in found:
@@ -169,9 +166,9 @@ def reshard(
 
     The old shard is the group's hash by ``old_shards``, groups are equal texts
     (null is one more), and new shards get equal shares of the bytes unless
-    ``capacity`` says otherwise. Sizes are near equal: blocks weigh at most about
-    1/2048 of all bytes, or one document. A group stays in one shard unless it
-    weighs more than that. Slots count the rows of a shard from 0. Repeated rows
+    ``capacity`` says otherwise. A group stays in one shard unless it weighs more
+    than 1/64 of all bytes. Sizes are near equal: heavy blocks are dealt out
+    first, and the many light ones, about 1/2048 of all bytes, even them out. Slots count the rows of a shard from 0. Repeated rows
     each have a slot; empty tables have none.
     """
     rows = keyed(docs, F.col(text), F.coalesce(F.col(id_col), F.lit(0)))

@@ -48,6 +48,7 @@ def documents(n=900):
     rows = [(None, None), (None, "x"), (1, None), (2, ""), (2, "")]
     rows += [(k, "copy of one text " * 6) for k in range(1000, 1250)]  # one large group
     rows += [(k, "tiny group") for k in range(2000, 2004)]
+    rows += [(k, "group of some weight " * 4) for k in range(3000, 3040)]
     rows += [(k, f"é{k} " * rng.randint(1, 200)) for k in range(3, n)]
     return [(*r, "clash", 0) for r in rows]
 
@@ -63,6 +64,7 @@ def test_bytes_are_near_equal_and_slots_gapless(spark):
         slots = sorted(r[4] for r in out if r[3] == j)
         assert slots == list(range(len(slots)))
     assert len({r[3] for r in out if r[1] == "tiny group"}) == 1
+    assert len({r[3] for r in out if r[1] and r[1].startswith("group of")}) == 1
     least = sum(max(0, s - f[i] - 0) for i, (s, f) in enumerate(zip(map(sum, plan.flow), plan.flow)))
     assert plan.moved <= least * 1.05 + 8 * 2000
 
@@ -71,6 +73,7 @@ def test_parts_of_a_block_keep_slots_gapless(spark, monkeypatch):
     monkeypatch.setattr(fs, "FILE_BYTES", 300)
     monkeypatch.setattr(fs, "BLOCKS", 16)
     monkeypatch.setattr(fs, "FINE", 32)
+    monkeypatch.setattr(fs, "COARSE", 16)
     _, out = run(spark, documents(400))
     for j in range(8):
         slots = sorted(r[4] for r in out if r[3] == j)
