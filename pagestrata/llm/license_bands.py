@@ -30,6 +30,8 @@ BANDS = 40
 SHINGLE, THRESHOLD = 5, 0.8
 #: Words searched together.
 TOGETHER = 100_000
+#: Size of the tables that tell at a glance which MinHashes no template has; a power of two.
+BITMAP = 1 << 14
 
 # Notices by which texts state their license.
 TEMPLATES = {
@@ -104,8 +106,8 @@ class Library:
                 for n, t in enumerate(self.templates):
                     if t.block == size:
                         of.setdefault(int(_min_hash(t.shingles, self.a[k], self.b[k]).min()), []).append(n)
-                bitmap = np.zeros(1 << 16, bool)
-                bitmap[[v & 0xFFFF for v in of]] = True
+                bitmap = np.zeros(BITMAP, bool)
+                bitmap[[v % BITMAP for v in of]] = True
                 self.bits[size, k], self.values[size, k] = bitmap, of
 
     def candidates(self, h: np.ndarray) -> set[tuple[int, int, int]]:
@@ -120,7 +122,7 @@ class Library:
                     for lag in (1, 2):
                         if n > lag:
                             least[: n - lag] = np.minimum(least[: n - lag], low[lag:])
-                    for w in np.flatnonzero(self.bits[block, k][least & np.uint32(0xFFFF)]):
+                    for w in np.flatnonzero(self.bits[block, k][least & np.uint32(BITMAP - 1)]):
                         for t in self.values[block, k].get(int(least[w]), ()):
                             out.add((t, int(w) * block, min(len(h), (int(w) + 3) * block)))
                 if block >= self.sizes[-1]:
@@ -172,12 +174,11 @@ def scan_licenses(
     texts match nothing. A text or template of fewer than five words is one
     shingle. Repeated rows agree; an empty table gives no rows.
     """
-    library = Library(templates, bands, threshold)
     match = pa.struct([("license", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("containment", pa.float64())])
     names = [f.name for f in match]
 
     def make():
-        cache = WordHashes()
+        library, cache = Library(templates, bands, threshold), WordHashes()
 
         def of(texts):
             words = [cache.of(alnum_words(t)) for t in texts]
