@@ -91,9 +91,10 @@ def keyed(docs: DataFrame, group: Column, row: Column) -> DataFrame:
 class Plan:
     """Block of every row and new shard of every block."""
 
-    def __init__(self, slim: DataFrame, old: Column, n_old: int, capacity: list[float], staging: Staging):
-        """``slim(g, r, size)``; ``old`` is the old shard as a function of ``g``; ``capacity`` are shares."""
+    def __init__(self, slim: DataFrame, n_old: int, capacity: list[float], staging: Staging):
+        """``slim(old, g, r, size)``: old shard, hashes of group and row, bytes; ``capacity`` are shares."""
         self.spark, self.staging = slim.sparkSession, staging
+        self.per_shard = max(1, BLOCKS // max(1, n_old))
         total = slim.agg(F.sum("size")).first()[0] or 0
         self.cuts: list[DataFrame] = []
         for bits, parts in (("g", FINE), ("r", COARSE)):
@@ -104,27 +105,25 @@ class Plan:
             rows = [(*[x[c] for c in names], -(-x["size"] // limit)) for x in found]
             types = ", ".join([f"x_{c} int" for c in names] + [f"parts_{bits} int"])
             self.cuts.append(self.spark.createDataFrame(rows, types))
-        sums = self.blocks(slim).groupBy(*self._names()).agg(
-            F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min(old).alias("old")
-        )
+        sums = self.blocks(slim).groupBy(*self._names()).agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
         # At most BLOCKS blocks and the parts of those that were split, 2 * FINE and 2 * COARSE.
-        found = [(tuple(x[c] for c in self._names()), x["old"], x["size"], x["n"]) for x in sums.collect()]
+        found = [(tuple(x[c] for c in self._names()), x["size"], x["n"]) for x in sums.collect()]
         supply = [0] * max(n_old, 1)
-        for _, o, size, _ in found:
-            supply[o] += size
+        for key, size, _ in found:
+            supply[key[0]] += size
         share = sum(capacity)
-        room = [int(total * c / share) + 1 for c in capacity]
-        cost = [[0 if i == j else 1 for j in range(len(room))] for i in range(len(supply))]
-        self.flow = min_cost_flow(supply, room, cost)
-        shard = deal_blocks([(k, o, size) for k, o, size, _ in found], self.flow)
+        self.room = [int(total * c / share) + 1 for c in capacity]
+        cost = [[0 if i == j else 1 for j in range(len(self.room))] for i in range(len(supply))]
+        self.flow = min_cost_flow(supply, self.room, cost)
+        shard = deal_blocks([(key, key[0], size) for key, size, _ in found], self.flow)
         next_slot: dict[int, int] = defaultdict(int)
         rows = []
         self.touched: set[int] = set()
         self.moved = 0
-        for key, o, size, n in sorted(found):
-            j = shard[key]
-            if j != o:
-                self.touched |= {j, o}
+        for key, size, n in sorted(found):
+            old, j = key[0], shard[key]
+            if j != old:
+                self.touched |= {j, old}
                 self.moved += size
             rows.append((*key, j, next_slot[j], max(1, -(-size // FILE_BYTES))))
             next_slot[j] += n
@@ -132,13 +131,13 @@ class Plan:
         self.dealt = self.spark.createDataFrame(rows, types)
 
     def _names(self) -> list[str]:
-        return ["b0", "b1", "b2"][: len(self.cuts) + 1]
+        return ["old", "b0", "b1", "b2"][: len(self.cuts) + 2]
 
     def blocks(self, rows: DataFrame) -> DataFrame:
         """Adds the block's numbers; small tables of bounded size are all that is joined."""
-        rows = rows.withColumn("b0", F.pmod("g", F.lit(BLOCKS)).cast("int"))
+        rows = rows.withColumn("b0", F.pmod("g", F.lit(self.per_shard)).cast("int"))
         for k, cuts in enumerate(self.cuts):
-            names, bits = ["b0", "b1"][: k + 1], "gr"[k]
+            names, bits = ["old", "b0", "b1"][: k + 2], "gr"[k]
             on = [F.col(c) == F.col(f"x_{c}") for c in names]
             rows = rows.join(F.broadcast(cuts), on, "left").drop(*[f"x_{c}" for c in names])
             by = F.shiftrightunsigned("g", 20) if bits == "g" else F.col("r")
@@ -162,7 +161,7 @@ def reshard(
     id_col: str = "doc_id",
     text: str = "text",
 ) -> tuple[Plan, DataFrame]:
-    """The plan and ``(row, size, shard, slot)`` of every document.
+    """The plan and ``(row, size, old, shard, slot)`` of every document.
 
     The old shard is the group's hash by ``old_shards``, groups are equal texts
     (null is one more), and new shards get equal shares of the bytes unless
@@ -172,9 +171,10 @@ def reshard(
     each have a slot; empty tables have none.
     """
     rows = keyed(docs, F.col(text), F.coalesce(F.col(id_col), F.lit(0)))
-    rows = rows.withColumn("size", text_bytes(f"row.{text}"))
-    slim = staging.store(rows.select("g", "r", "size"), "sizes")
-    plan = Plan(slim, F.pmod(F.shiftrightunsigned("g", 40), F.lit(old_shards)).cast("int"), old_shards, capacity or [1.0] * new_shards, staging)
+    old = F.pmod(F.shiftrightunsigned("g", 40), F.lit(old_shards)).cast("int")
+    rows = rows.withColumn("size", text_bytes(f"row.{text}")).withColumn("old", old)
+    slim = staging.store(rows.select("old", "g", "r", "size"), "sizes")
+    plan = Plan(slim, old_shards, capacity or [1.0] * new_shards, staging)
     block = [*plan._names(), "file"]
     # Slots within a block go by part; the parts' counts come from the slim table.
     parts = plan.place(slim).groupBy(*block).agg(F.count(F.lit(1)).alias("n"))
@@ -184,7 +184,7 @@ def reshard(
     placed = plan.place(rows).join(parts, block)
     own = Window.partitionBy("shard", *block).orderBy(F.col(f"row.{id_col}"), "r", "g")
     slot = (F.col("first") + F.col("before") + F.row_number().over(own) - 1).alias("slot")
-    return plan, placed.select("row", "size", "shard", slot)
+    return plan, placed.select("row", "size", "old", "shard", slot)
 
 
 def free_name(name: str, taken: list[str]) -> str:

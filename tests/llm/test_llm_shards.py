@@ -40,7 +40,7 @@ def run(spark, rows, new=8, **kw):
     docs = spark.createDataFrame(rows, "doc_id long, text string, size string, slot int")
     with Staging(spark) as staging:
         plan, placed = fs.reshard(docs, staging, old_shards=5, new_shards=new, **kw)
-        return plan, [(r["row"]["doc_id"], r["row"]["text"], r["size"], r["shard"], r["slot"]) for r in placed.collect()]
+        return plan, [(r["row"]["doc_id"], r["row"]["text"], r["size"], r["shard"], r["slot"], r["old"]) for r in placed.collect()]
 
 
 def documents(n=900):
@@ -65,8 +65,10 @@ def test_bytes_are_near_equal_and_slots_gapless(spark):
         assert slots == list(range(len(slots)))
     assert len({r[3] for r in out if r[1] == "tiny group"}) == 1
     assert len({r[3] for r in out if r[1] and r[1].startswith("group of")}) == 1
-    least = sum(max(0, s - f[i] - 0) for i, (s, f) in enumerate(zip(map(sum, plan.flow), plan.flow)))
-    assert plan.moved <= least * 1.05 + 8 * 2000
+    old = [sum(r[2] for r in out if r[5] == i) for i in range(5)]
+    least = sum(max(0, size - room) for size, room in zip(old, plan.room))
+    moved = sum(r[2] for r in out if r[3] != r[5])
+    assert moved == plan.moved and least <= moved + 100 and moved <= least * 1.03
 
 
 def test_parts_of_a_block_keep_slots_gapless(spark, monkeypatch):
