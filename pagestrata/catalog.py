@@ -206,6 +206,14 @@ def q07(spark, sf):
     return _table(spark, sf, "orders").select("o_orderkey", dates.extraction_date("o_orderdate").alias("day"))
 
 
+@query(
+    "q42_date_in_zone",
+    "SELECT event_id, CAST(ts - INTERVAL 3 HOUR AS DATE) AS day FROM events",  # the zone's offset since 2019
+)
+def q42(spark, sf):
+    return _table(spark, sf, "events").select("event_id", dates.date_in_zone("ts").alias("day"))
+
+
 # --- order and choice ------------------------------------------------------
 
 

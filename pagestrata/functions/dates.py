@@ -31,6 +31,11 @@ def extraction_date(c: Column | str) -> Column:
     return F.date_format(_col(c).cast("date"), "yyyy-dd-MM")
 
 
+def date_in_zone(instant: Column | str, zone: str = DEFAULT_ZONE) -> Column:
+    """The day that an instant (in UTC) falls on in ``zone``."""
+    return F.from_utc_timestamp(_col(instant).cast("timestamp"), zone).cast("date")
+
+
 def resolve_run_date(
     test_date: str | None = None,
     days_offset: int = 0,

@@ -20,7 +20,7 @@ BLANKS = (
 )
 WHITESPACE = BLANKS + LINE_BREAKS
 
-#: Word that opens a section header, ``WORD - UF - city``.
+#: Fixed value: the word that opens a section header, ``WORD - UF - city``.
 HEADER_WORD = "ISSQN"
 
 # The same sets as Java classes. Spelled out character by character they cost a
@@ -126,6 +126,7 @@ def drop_title_from_clean(desc: Column | str, title: Column | str) -> Column:
 
 def parse_header(c: Column | str, word: str = HEADER_WORD) -> Column:
     """``WORD - UF - city`` to ``struct(uf, municipio)``; null when the text is no header."""
+    # Fixed value: the pattern of a header.
     rx = (
         rf"(?idU)^{re.escape(word)}[\s\x1c-\x1f]*-[\s\x1c-\x1f]*([A-Z]{{2}})"
         r"[\s\x1c-\x1f]*-[\s\x1c-\x1f]*(.+?)[\s\x1c-\x1f]*$"

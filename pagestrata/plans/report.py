@@ -20,21 +20,23 @@ def subject(run_date: Column | str, removed: Column | str, system: str = SYSTEM)
     )
 
 
-def body(run_date: Column | str, removed: Column | str, system: str = SYSTEM) -> Column:
+def body(
+    run_date: Column | str, removed: Column | str, system: str = SYSTEM, enclosed: str = "Segue a planilha em anexo."
+) -> Column:
     return F.format_string(
         "Olá,\n\n"
         "A base de atos foi gerada e deduplicada com sucesso em %s.\n"
         "Registros duplicados removidos (ignorando 'Data de extração'): %d.\n\n"
-        f"Segue a planilha em anexo.\n\nAtt.,\nRobô {system}",
+        f"{enclosed.replace('%', '%%')}\n\nAtt.,\nRobô {system}",
         _day(run_date),
         removed,
     )
 
 
-def run_report(counts: DataFrame, system: str = SYSTEM) -> DataFrame:
-    """``counts(run_date, removed, ...)`` with ``subject`` and ``body`` added."""
+def run_report(counts: DataFrame, system: str = SYSTEM, enclosed: str = "Segue a planilha em anexo.") -> DataFrame:
+    """``counts(run_date, removed, ...)`` with ``subject`` and ``body`` added; ``enclosed`` says what comes with it."""
     return counts.withColumns(
-        {"subject": subject("run_date", "removed", system), "body": body("run_date", "removed", system)}
+        {"subject": subject("run_date", "removed", system), "body": body("run_date", "removed", system, enclosed)}
     )
 
 

@@ -76,3 +76,5 @@ def test_report_wording(spark):
     assert row.subject == "[X] Base extraída (2025-11-05) - Duplicados removidos: 3"
     assert row.body.startswith("Olá,\n\nA base de atos foi gerada e deduplicada com sucesso em 2025-11-05.\n")
     assert "(ignorando 'Data de extração'): 3.\n" in row.body and row.body.endswith("Att.,\nRobô X")
+    other = run_report(counts, "X", enclosed="100 % em anexo.").first()
+    assert "\n\n100 % em anexo.\n\nAtt.," in other.body
