@@ -10,7 +10,7 @@ texts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +127,11 @@ def grow(x: np.ndarray, bad: np.ndarray, names: list[str], cuts: int, most: int)
                         best, gain = Condition(name, above, float(t)), g
         if best is None:
             break
+        # Half-way to the next value: the same rows here, and as far as can be from either side.
+        value = x[inside, (COUNTS + RATES).index(best.measure)]
+        beyond = value[value > best.threshold]
+        if len(beyond):
+            best = replace(best, threshold=float((best.threshold + beyond.min()) / 2))
         rule.append(best)
         inside &= best.holds(x)
     return tuple(rule)

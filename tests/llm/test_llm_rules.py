@@ -60,6 +60,13 @@ def test_learned_rules_hold_on_other_documents():
     assert (caught == bad).mean() > 0.98 and not (caught & ~bad).mean() > 0.01
 
 
+def test_thresholds_lie_between_the_classes():
+    x = np.zeros((90, len(rl.COUNTS + rl.RATES)))
+    x[:30, 6] = 0.5  # symbols
+    (rule,) = rl.learn(x[np.random.default_rng(1).permutation(90)], x[np.random.default_rng(1).permutation(90), 6] > 0)
+    assert [str(c) for c in rule] == ["symbols > 0.25"]
+
+
 def test_nothing_to_learn():
     x = np.random.default_rng(1).random((300, len(rl.COUNTS + rl.RATES)))
     labels = np.random.default_rng(2).random(300) < 0.2
