@@ -6,7 +6,7 @@ block too heavy for an even result is split by more bits of the group, and a
 group that is too heavy by itself is split by row. A flow from old shards to
 new ones (staying is free, moving a byte costs one) says how many bytes go
 where; blocks are dealt out to meet it. Files of a shard that neither loses nor
-gains a block are left alone; all others are written anew.
+gains a block are left alone where they are there; all others are written anew.
 """
 
 from __future__ import annotations
@@ -116,6 +116,7 @@ class Plan:
         cost = [[0 if i == j else 1 for j in range(len(self.room))] for i in range(len(supply))]
         self.flow = min_cost_flow(supply, self.room, cost)
         shard = deal_blocks([(key, key[0], size) for key, size, _ in found], self.flow)
+        self.filled = set(shard.values())
         next_slot: dict[int, int] = defaultdict(int)
         rows = []
         self.touched: set[int] = set()
@@ -197,15 +198,21 @@ def free_name(name: str, taken: list[str]) -> str:
 def write_shards(plan: Plan, placed: DataFrame, folder: str) -> DataFrame:
     """Write the shards whose rows changed as ``folder/shard=k``; the folders of the others stay as they are.
 
+    A shard that has rows and no folder yet is written too, and the folder of one
+    that has lost all its rows goes, so the folder may hold the old shards or be new.
     Returns ``(row, size, shard, slot)`` as read back from the files of all
     shards. Where the documents have a column of such a name, the file's own
     one begins with an underscore.
     """
     fields = placed.schema["row"].dataType
     size, slot, shard = (free_name(n, fields.names) for n in ("size", "slot", "shard"))
-    changed = placed.where(F.col("shard").isin(sorted(plan.touched))) if plan.touched else placed.limit(0)
+    at = {k: plan.staging._path(f"{folder}/{shard}={k}") for k in plan.touched | plan.filled}
+    due = plan.touched | {k for k in plan.filled if not at[k][1].exists(at[k][0])}
+    changed = placed.where(F.col("shard").isin(sorted(due))) if due else placed.limit(0)
     changed = changed.select("row.*", F.col("size").alias(size), F.col("slot").alias(slot), F.col("shard").alias(shard))
     changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(shard).parquet(folder)
+    for path, fs in (at[k] for k in plan.touched - plan.filled):
+        fs.delete(path, True)
     schema = T.StructType([*fields, T.StructField(size, T.LongType()), T.StructField(slot, T.LongType()), T.StructField(shard, T.IntegerType())])
     written = placed.sparkSession.read.schema(schema).parquet(folder)
     row = F.struct(*[F.col(f"`{c}`") for c in fields.names]).alias("row")

@@ -115,3 +115,25 @@ def test_only_affected_shards_are_written(spark, tmp_path):
         fs.write_shards(plan, placed, folder)
         after = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "shards").glob("shard=*")}
     assert {k for k in before if before[k] != after[k]} == {"shard=2"}
+
+
+def content(rows):
+    return sorted((str(r["row"]["doc_id"]), str(r["row"]["text"]), r["size"], r["shard"], r["slot"]) for r in rows)
+
+
+@pytest.mark.parametrize("n", range(1, 11))
+def test_few_documents_are_all_read_back(spark, tmp_path, n):
+    docs = spark.createDataFrame([(k, f"{k}" * 100) for k in range(n)], "doc_id long, text string")
+    with Staging(spark) as staging:
+        plan, placed = fs.reshard(docs, staging, old_shards=5)
+        written = content(fs.write_shards(plan, placed, str(tmp_path / "shards")).collect())
+        assert written == content(placed.collect()) and [r[0] for r in written] == [str(k) for k in range(n)]
+
+
+def test_old_shards_are_replaced(spark, tmp_path):
+    docs = spark.createDataFrame(documents(300), "doc_id long, text string, other string, more int")
+    folder = str(tmp_path / "shards")
+    with Staging(spark) as staging:
+        plan, placed = fs.reshard(docs, staging, old_shards=5, new_shards=2)
+        placed.select("row.*", "size", "slot", placed["old"].alias("shard")).write.partitionBy("shard").parquet(folder)
+        assert content(fs.write_shards(plan, placed, folder).collect()) == content(placed.collect())
