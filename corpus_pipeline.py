@@ -44,7 +44,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents without any word in a window of a benchmark item."""
     docs = _with_id(docs)
     with Staging(spark) as work:  # the index goes when the documents that match are known
-        found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), work, id_col=ID)
+        items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+        found = decontaminate(docs, items, work, id_col=ID, nameless=True)
         hit = Staging(spark).store(found.where("n_hit > 0").select(F.col("id").alias(ID)).distinct(), "hit")
     return docs.join(hit, ID, "left_anti").drop(ID)
 

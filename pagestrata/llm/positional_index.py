@@ -113,14 +113,14 @@ class Block:
 class Windows:
     """Windows of test items: each is ``size`` consecutive words, or a shorter item whole."""
 
-    def __init__(self, items: list[tuple[int, bytes]], size: int):
+    def __init__(self, items: list[tuple[int | None, bytes]], size: int):
         cache, spans, owner = WordHashes(), [], []
         for item, text in items:
             words = cache.of(alnum_words(text))
             for k in range(max(1, len(words) - size + 1) if len(words) else 0):
                 spans.append(words[k : k + size])
                 owner.append(item)
-        self.owner, self.length = np.array(owner, np.int64), np.array([len(s) for s in spans], np.int64)
+        self.owner, self.length = owner, np.array([len(s) for s in spans], np.int64)
         flat = np.concatenate(spans) if spans else np.array([], np.uint64)
         self.terms, at = np.unique(flat, return_inverse=True)
         self.of = np.full((len(spans), size), -1)  # the window's words as numbers of terms, -1 after its end
@@ -192,7 +192,7 @@ def _searcher(w: Windows, slop: int):
                 found = [[[] for _ in range(n)] for _ in "en"]
                 for rows, matches in zip(found, (exact, near)):
                     for k, x, d in matches:
-                        rows[d].append((int(w.owner[k]), x - int(block.starts[d]), int(w.length[k])))
+                        rows[d].append((w.owner[k], x - int(block.starts[d]), int(w.length[k])))
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("length", pa.int32())]))
                 names = ("item_id", "start", "length")
                 as_rows = [pa.array([[dict(zip(names, m)) for m in r] for r in rows], kind) for rows in found]
@@ -222,7 +222,7 @@ def _counter(terms: np.ndarray):
     return run
 
 
-def search(index: DataFrame, items: list[tuple[int, bytes]], size: int, slop: int) -> DataFrame:
+def search(index: DataFrame, items: list[tuple[int | None, bytes]], size: int, slop: int) -> DataFrame:
     """Matches of the windows of some items, one row for each indexed document."""
     w = Windows(items, size)
     count = np.zeros(len(w.terms), np.int64)
@@ -254,6 +254,7 @@ def decontaminate(
     text: str = "text",
     item_col: str = "item_id",
     item_text: str = "text",
+    nameless: bool = False,
 ) -> DataFrame:
     """``(id, n_words, n_hit, exact, near)`` of every document.
 
@@ -262,13 +263,14 @@ def decontaminate(
     digits, letters and non-ASCII characters. Null and empty texts have none and
     match nothing; so do items without words. An item shorter than ``size`` is
     one window. Repeated documents have a row each; repeated items match each.
-    Items without id are left out, documents without id are not. The test items
+    Items without id are left out unless ``nameless`` asks for them: then they match
+    like others, with a null item. Documents without id are not left out. The test items
     are read by the driver in slices of at most SLICE_WINDOWS windows, however
     many there are, and the index is searched once for each slice.
     """
     index = staging.store(build_index(docs, id_col, text), "index", **{"parquet.block.size": ROW_GROUP})
     slim = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text).alias("text"))
-    slim = slim.where(F.col("item").isNotNull())
+    slim = slim if nameless else slim.where(F.col("item").isNotNull())
     slim = slim.withColumn("n", F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))
     slim = slim.where("n > 0")
     n_slices = max(1, -(-(slim.agg(F.sum("n")).first()[0] or 0) // SLICE_WINDOWS))

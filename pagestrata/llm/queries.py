@@ -167,7 +167,7 @@ def op6_license_bands(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def op7_positional_index(spark: SparkSession, sf: str) -> DataFrame:
-    out = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), Staging(spark))
+    out = decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"), Staging(spark), nameless=True)
     items = F.array_sort(F.transform(F.array_distinct(F.transform("exact", lambda m: m["item_id"])), lambda i: i.cast("string")))
     out = out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", items.alias("items"))
     return out.select(

@@ -121,3 +121,25 @@ def test_pipeline_stages(spark):
 
 def staging_of(spark):
     return Staging(spark)
+
+
+@pytest.fixture(scope="module")
+def nameless(tmp_path_factory):
+    """The small tables, where half of the benchmark's items have no id."""
+    folder = tmp_path_factory.mktemp("nameless")
+    for t in TABLES:
+        rows = pq.read_table(f"{SF}/{t}.parquet")
+        if t == "benchmark":
+            ids = [None if k % 2 else i for k, i in enumerate(rows["item_id"].to_pylist())]
+            rows = rows.set_column(rows.schema.get_field_index("item_id"), rows.schema.field("item_id"), [ids])
+        pq.write_table(rows, folder / f"{t}.parquet")
+    return str(folder)
+
+
+def test_items_without_id_are_searched(spark, nameless):
+    name = "op7_positional_index"
+    ours, theirs, differences = compare(QUERIES[name](spark, nameless), connect(nameless), ORACLE[name])
+    assert differences == [] and ours == theirs > 0
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = dict(corpus_pipeline.STAGES)["benchmark passages"]
+    assert ids(clean(spark, docs, nameless)) == ids(clean(spark, docs, SF)) != ids(docs)
