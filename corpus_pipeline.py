@@ -15,12 +15,14 @@ from pagestrata.llm.positional_index import decontaminate
 from pagestrata.llm.simhash_pivots import near_duplicates
 from pagestrata.sources.tables import Staging
 
-#: Name of the id that stages 2 and 3 go by: doc_id, or a hash of the text for a document without one.
+#: Name of the id that stages 2 and 3 go by: doc_id, or a hash of the text for a document without one, then a
+#: hash of the text, as different texts may have one doc_id.
 ID = "_pipeline_id"
 
 
 def _with_id(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ID, F.coalesce("doc_id", F.xxhash64("text")))
+    text = F.xxhash64("text")
+    return docs.withColumn(ID, F.struct(F.coalesce("doc_id", text).alias("id"), text.alias("text")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any word in a window of a benchmark item."""
-    docs = _with_id(docs)
+    docs = _with_id(docs).withColumn(ID, F.xxhash64(ID))
     with Staging(spark) as work:  # the index goes when the documents that match are known
         items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
         found = decontaminate(docs, items, work, id_col=ID, nameless=True)

@@ -143,3 +143,19 @@ def test_items_without_id_are_searched(spark, nameless):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     clean = dict(corpus_pipeline.STAGES)["benchmark passages"]
     assert ids(clean(spark, docs, nameless)) == ids(clean(spark, docs, SF)) != ids(docs)
+
+
+def test_texts_that_share_an_id_are_kept_apart(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    texts = {k: " ".join(f"{k}{n}" for n in range(60)) for k in "abcdefgh"}
+    passage = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    said = {k: f"{t} {passage}" if k in "gh" else t for k, t in texts.items()}
+
+    def kept(stage, rows):
+        docs = spark.createDataFrame([(i, said[k], k) for i, k in rows], "doc_id long, text string, k string")
+        return sorted((r["doc_id"], r["k"]) for r in stages[stage](spark, docs, SF).select("doc_id", "k").collect())
+
+    # Every text also stands under 5, where another group has its first document or is the only one.
+    rows = [(5, k) for k in "abcdef"] + [(5, "a"), (3, "b"), (3, "c"), (4, "d"), (9, "e")]
+    assert kept("near-duplicates", rows) == [(3, "b"), (3, "c"), (4, "d"), (5, "a"), (5, "e"), (5, "f")]
+    assert kept("benchmark passages", [(7, "a"), (7, "g"), (7, "b"), (8, "h"), (9, "c")]) == [(7, "a"), (7, "b"), (9, "c")]
