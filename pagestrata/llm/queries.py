@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagestrata.llm import chat_parts, rule_list, token_mix
+from pagestrata.llm import block_max, chat_parts, merkle_midstates, rule_list, token_mix
+from pagestrata.llm.bwt_merge import remove_repeats
 from pagestrata.llm.co_training import co_train
 from pagestrata.llm.flow_shards import reshard, write_shards
 from pagestrata.llm.license_bands import scan_licenses
@@ -208,3 +209,145 @@ def op10_simhash_pivots(spark: SparkSession, sf: str) -> DataFrame:
     out = near_duplicates(table(spark, sf, "documents"), Staging(spark))
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return out.select(F.col("id").alias("doc_id"), fingerprint, "component_id")
+
+
+@query(
+    "op11_bwt_merge",
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+    ), windows AS (
+        SELECT r, doc_id, k, substr(h, 2 * k + 1, 100) AS s
+        FROM (SELECT *, unnest(range(0, greatest(0, len(h) // 2 - 49))) AS k FROM texts WHERE doc_id IS NOT NULL)
+    ), firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s
+    ), hits AS (
+        SELECT r, k, coalesce(k - lag(k) OVER (PARTITION BY r ORDER BY k) > 50, true)::INT AS new
+        FROM windows JOIN firsts USING (s) WHERE first < doc_id
+    ), spans AS (
+        SELECT r, min(k) AS a, max(k) + 50 AS b
+        FROM (SELECT r, k, sum(new) OVER (PARTITION BY r ORDER BY k) AS span FROM hits) GROUP BY r, span
+    ), pieces AS (
+        SELECT r, a, b, substr(h, 2 * before + 1, 2 * (a - before)) AS piece
+        FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans) JOIN texts USING (r)
+    ), cut AS (
+        SELECT r, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS tail, string_agg(piece, '' ORDER BY a) AS kept
+        FROM pieces GROUP BY r
+    )
+    SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+    FROM texts LEFT JOIN cut USING (r)
+    """,
+)
+def op11_bwt_merge(spark: SparkSession, sf: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf, "documents").select("doc_id", "text"), Staging(spark), digests=True)
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.lower(F.hex("kept")).alias("kept_sha256"),
+    )
+
+
+@query(
+    "op12_merkle_midstates",
+    r"""
+    WITH RECURSIVE fields AS (
+        SELECT row_number() OVER () AS rn, doc_id, source, text,
+            coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id, '-')
+            || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+            || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-')
+            || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars, '-') AS head,
+            replace(text, chr(10), '') AS cut,
+            xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: xor(c // 2, (c % 2) * 3988292384)))) AS crc
+        FROM documents
+    ), leaves AS (
+        SELECT rn, doc_id, source, sha256(head || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+            sha256(head || coalesce(CASE WHEN crc % 2 = 0 THEN strlen(cut)::VARCHAR || ':' || cut
+                                    ELSE strlen(text)::VARCHAR || ':' || text END, '-')) AS other
+        FROM fields
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves
+    ), up AS (
+        SELECT source, 0 AS lvl, list(leaf ORDER BY p) AS l FROM placed GROUP BY source
+        UNION ALL
+        SELECT source, lvl + 1, list_transform(range(0, len(l), 3), lambda i: sha256(array_to_string(l[i + 1 : i + 3], '')))
+        FROM up WHERE len(l) > 1
+    ), tops AS (
+        SELECT source, l[1] AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS p FROM up WHERE len(l) = 1
+    ), high AS (
+        SELECT 0 AS lvl, list(top ORDER BY p) AS l FROM tops
+        UNION ALL
+        SELECT lvl + 1, list_transform(range(0, len(l), 3), lambda i: sha256(array_to_string(l[i + 1 : i + 3], '')))
+        FROM high WHERE len(l) > 1
+    ), fold AS (
+        SELECT rn, source, p, 0 AS lvl, other AS now, '' AS sibs FROM placed
+        UNION ALL
+        SELECT rn, f.source, p // 3, f.lvl + 1,
+            sha256(array_to_string(list_transform(l[p - p % 3 + 1 : p - p % 3 + 3], lambda x, i: CASE WHEN i = p % 3 + 1 THEN now ELSE x END), '')),
+            sibs || array_to_string(list_filter(l[p - p % 3 + 1 : p - p % 3 + 3], lambda x, i: i <> p % 3 + 1), '')
+        FROM fold f JOIN up u ON f.source IS NOT DISTINCT FROM u.source AND f.lvl = u.lvl WHERE len(l) > 1
+    ), met AS (
+        SELECT rn, t.p, now, sibs, top FROM fold f
+        JOIN up u ON f.source IS NOT DISTINCT FROM u.source AND f.lvl = u.lvl AND len(u.l) = 1
+        JOIN tops t ON f.source IS NOT DISTINCT FROM t.source
+    ), fold_high AS (
+        SELECT rn, p, 0 AS lvl, now, sibs, top FROM met
+        UNION ALL
+        SELECT rn, p // 3, f.lvl + 1,
+            sha256(array_to_string(list_transform(l[p - p % 3 + 1 : p - p % 3 + 3], lambda x, i: CASE WHEN i = p % 3 + 1 THEN now ELSE x END), '')),
+            sibs || array_to_string(list_filter(l[p - p % 3 + 1 : p - p % 3 + 3], lambda x, i: i <> p % 3 + 1), ''), top
+        FROM fold_high f JOIN high h ON f.lvl = h.lvl WHERE len(l) > 1
+    )
+    SELECT doc_id, leaf, top AS subroot, l[1] AS root, sha256(sibs) AS proof_sha256, now AS folded_root, now = l[1] AS verified
+    FROM fold_high f JOIN high h ON f.lvl = h.lvl AND len(h.l) = 1 JOIN leaves USING (rn)
+    """,
+)
+def op12_merkle_midstates(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose id has an even CRC-32 are held against their text without line ends."""
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    out = merkle_midstates.audit(table(spark, sf, "documents"), Staging(spark), {"text": tampered})
+    return out.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+@query(
+    "op13_block_max",
+    r"""
+    WITH words AS (
+        SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+    ), totals AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM words WHERE len(w) > 0
+    ), items AS (
+        SELECT q, item_id, unnest(list_distinct(w)) AS term FROM (
+            SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark)
+    ), tfs AS (
+        SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM words)
+        WHERE term IN (SELECT term FROM items) GROUP BY d, term
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+        FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals
+    ), lengths AS (
+        SELECT d, doc_id, 100 - 90 + (90 * len(w) * n_docs) // n_terms AS m FROM words, totals WHERE len(w) > 0
+    ), scored AS (
+        SELECT q, item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (d) GROUP BY q, item_id, d, doc_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op13_block_max(spark: SparkSession, sf: str) -> DataFrame:
+    out = block_max.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"), Staging(spark), most=10)
+    return out.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
