@@ -46,10 +46,12 @@ ANCHOR = 18
 LEFT = LENGTH - ANCHOR
 COLUMNS = LEFT + LENGTH
 #: Bytes of text of a shard, about; small inputs have smaller ones, so that there is work for all tasks.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 SMALL_SHARD = 1 << 20
 #: Windows hashed at a time, contexts cut out at a time.
 PIECE, ROWS = 1 << 20, 1 << 15
+#: Shards for each bucket of anchors and for each cell of contexts.
+SHARDS_A_BUCKET, SHARDS_A_CELL = 4, 2
 #: Buckets and cells are numbered in 16 bits, files of the stored shards are bounded too.
 MOST_BUCKETS = 1 << 16
 MOST_FILES = 20_000
@@ -203,7 +205,7 @@ def transform(rows: np.ndarray, cell: np.ndarray) -> np.ndarray:
 CELLS = "part int, cell int, start int, n int, columns binary, ids binary, extent binary"
 
 
-def _cell_rows(buckets: int):
+def _cell_rows(buckets: int, cells: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         part = key[0].as_py()
         table, data, ends = _texts(left)
@@ -222,12 +224,12 @@ def _cell_rows(buckets: int):
         _, at, inverse = np.unique(rows.view(f"S{COLUMNS + 2}").ravel(), return_index=True, return_inverse=True)
         least = np.full(len(at), FAR)
         np.minimum.at(least, inverse, ids)
-        rows, cell = rows[at], (hashes[at] >> np.uint64(16) & np.uint64(0xFFFF)) % np.uint64(buckets)
+        rows, cell = rows[at], (hashes[at] >> np.uint64(16) & np.uint64(0xFFFF)) % np.uint64(cells)
         by_cell = np.argsort(cell.astype(np.uint16), kind="stable")
         columns = transform(rows[:, 2:], cell)
         number = np.empty(len(at), np.int64)
         number[by_cell] = np.arange(len(at))
-        sizes = np.bincount(cell.astype(np.int64), minlength=buckets)
+        sizes = np.bincount(cell.astype(np.int64), minlength=cells)
         stops = np.cumsum(sizes)
         some = np.flatnonzero(sizes)
         least, extent = least[by_cell], rows[by_cell, :2]
@@ -425,7 +427,8 @@ def remove_repeats(
         parts = max(-(-total // SHARD_BYTES), min(tasks, -(-total // SMALL_SHARD)), 1)
     else:
         parts = max(1, -(-total // shard_bytes))
-    buckets, files = min(parts, MOST_BUCKETS), min(parts, MOST_FILES)
+    buckets, n_cells = (min(-(-parts // n), MOST_BUCKETS) for n in (SHARDS_A_BUCKET, SHARDS_A_CELL))
+    files = min(parts, MOST_FILES)
     numbered = _order_of_ids(packed, "named", staging).withColumn("rid", F.monotonically_increasing_id())
     numbered = numbered.withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int"))
     name = f"repeats_{uuid.uuid4().hex}"
@@ -437,7 +440,7 @@ def remove_repeats(
         slim = shards.select("part", "rid", "id", "text")
         anchors = slim.groupBy("part").applyInArrow(_anchor_rows(buckets), "bucket int, part int, keys binary")
         bits = anchors.groupBy("bucket").applyInArrow(_met_elsewhere, "part int, bucket int, bits binary")
-        cells = staging.store(slim.groupBy("part").cogroup(bits.groupBy("part")).applyInArrow(_cell_rows(buckets), CELLS), "cells")
+        cells = staging.store(slim.groupBy("part").cogroup(bits.groupBy("part")).applyInArrow(_cell_rows(buckets, n_cells), CELLS), "cells")
         found = cells.where("cell >= 0").groupBy("cell").applyInArrow(_merged, FOUND)
         own = cells.where("cell = -1").select("part", "start", F.lit(None).cast("binary").alias("least"), "columns", "ids", "extent")
         marks = found.unionByName(own, allowMissingColumns=True)
