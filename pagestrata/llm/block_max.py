@@ -18,7 +18,6 @@ threshold is rejected, and only blocks with a candidate left are unpacked. Heaps
 from __future__ import annotations
 
 import math
-import zlib
 from functools import reduce
 
 import numpy as np
@@ -40,8 +39,8 @@ ROW_GROUP = 8 << 20
 SLICE_TERMS = 200_000
 #: Pattern of a term, for Spark's own functions.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Of a block: last document, most occurrences, shortest document, end of its bytes.
-BLOCK_HEAD = np.dtype([("last", "<u4"), ("tf", "<u4"), ("size", "<u4"), ("end", "<u4")])
+#: Of a block: last document, most occurrences, shortest document, end of its bytes, bytes of a gap.
+BLOCK_HEAD = np.dtype([("last", "<u4"), ("tf", "<u4"), ("size", "<u4"), ("end", "<u4"), ("width", "u1")])
 
 
 def weight(n_docs: int, df: int) -> int:
@@ -57,25 +56,35 @@ def gain(w: int, tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return w * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
 
 
-def _pack(docs: np.ndarray, tfs: np.ndarray) -> bytes:
-    """A block of postings: gaps between documents and occurrences, in as few bytes as they need."""
-    gaps = np.diff(docs, prepend=docs[0])
-    out = []
-    for values in (gaps, tfs):
-        kind = "<u1" if values.max() < 256 else "<u2" if values.max() < 65536 else "<u4"
-        out.append(np.dtype(kind).itemsize.to_bytes(1, "little") + values.astype(kind).tobytes())
-    packed = b"".join(out)
-    return zlib.compress(packed, 1) if len(packed) > 64 else packed
-
-
-def _unpack(raw: bytes, last: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if raw[0] > 4:  # a width is 1, 2 or 4; zlib streams begin otherwise
-        raw = zlib.decompress(raw)
-    width = raw[0]
-    gaps = np.frombuffer(raw, f"<u{width}", n, 1).astype(np.int64)
-    at = 1 + n * width
-    tfs = np.frombuffer(raw, f"<u{raw[at]}", n, at + 1).astype(np.int64)
-    docs = np.cumsum(gaps)
+def _bytes_needed(most: np.ndarray) -> np.ndarray:
+    return np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, 4))
+
+
+def _pack(first: np.ndarray, stop: np.ndarray, docs: np.ndarray, tfs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks of postings, all at once: gaps between documents, then occurrences, each in as few bytes as the block needs.
+
+    Gives the bytes, where each block ends, and how wide gaps and occurrences are.
+    """
+    sizes = stop - first
+    gaps = np.diff(docs, prepend=0)
+    gaps[first] = 0  # a block's last document is in its head
+    widths = np.stack([_bytes_needed(np.maximum.reduceat(v, first)) for v in (gaps, tfs)], axis=1)
+    ends = np.cumsum(sizes * widths.sum(axis=1))
+    out = np.zeros(int(ends[-1]), np.uint8)
+    begins = ends - sizes * widths.sum(axis=1)
+    within = np.arange(len(docs)) - np.repeat(first, sizes)
+    for values, width, at in ((gaps, widths[:, 0], begins), (tfs, widths[:, 1], begins + sizes * widths[:, 0])):
+        wide = np.repeat(width, sizes)
+        place = np.repeat(at, sizes) + within * wide
+        for k in range(4):
+            some = wide > k
+            out[place[some] + k] = values[some] >> (8 * k) & 0xFF
+    return out, ends, widths
+
+
+def _unpack(raw: bytes, last: int, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    docs = np.cumsum(np.frombuffer(raw, f"<u{width}", n), dtype=np.int64)
+    tfs = np.frombuffer(raw, f"<u{len(raw) // n - width}", n, n * width).astype(np.int64)
     return docs + (last - docs[-1]), tfs
 
 
@@ -100,9 +109,10 @@ def _shard(ids: list, hashes: list[np.ndarray], kind: pa.DataType) -> pa.RecordB
     if len(first):
         heads["last"], heads["tf"] = docs[stop - 1], np.maximum.reduceat(tf, first)
         heads["size"] = np.minimum.reduceat(sizes[docs], first)
-    packed = [_pack(docs[a:b], tf[a:b]) for a, b in zip(first.tolist(), stop.tolist())]
-    heads["end"] = np.cumsum([len(p) for p in packed]) if packed else 0
-    values = [ids, sizes.astype(np.uint32).tobytes(), words[lists].tobytes(), df.astype(np.uint32).tobytes(), heads.tobytes(), b"".join(packed)]
+        packed, heads["end"], widths = _pack(first, stop, docs, tf)
+        heads["width"] = widths[:, 0]
+    blocks = packed.tobytes() if len(first) else b""
+    values = [ids, sizes.astype(np.uint32).tobytes(), words[lists].tobytes(), df.astype(np.uint32).tobytes(), heads.tobytes(), blocks]
     kinds = [pa.list_(kind), *[pa.binary()] * 5]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=["ids", "sizes", "terms", "df", "heads", "blocks"])
 
@@ -158,7 +168,7 @@ class Shard:
         for b in which.tolist():
             start = int(self.heads["end"][b - 1]) if b else 0
             n = POSTINGS if b < self.stop[k] - 1 else int(self.df[k]) - POSTINGS * int(self.stop[k] - 1 - self.first[k])
-            d, t = _unpack(self.blocks[start : int(self.heads["end"][b])], int(self.heads["last"][b]), n)
+            d, t = _unpack(self.blocks[start : int(self.heads["end"][b])], int(self.heads["last"][b]), n, int(self.heads["width"][b]))
             docs.append(d)
             tfs.append(t)
             self.unpacked += 1

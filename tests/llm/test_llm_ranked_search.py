@@ -100,8 +100,11 @@ def test_most_blocks_are_rejected_packed(monkeypatch):
 
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
-    for n in (1, 2, 64):
-        docs = np.cumsum(rng.integers(1, 70000, n))
-        tfs = rng.integers(1, 300, n)
-        got = bm._unpack(bm._pack(docs, tfs), int(docs[-1]), n)
-        assert (got[0] == docs).all() and (got[1] == tfs).all()
+    sizes = np.array([1, 2, 64, 1, 64])
+    docs = np.concatenate([np.cumsum(rng.integers(1, wide, n)) for n, wide in zip(sizes, (9, 300, 70000, 9, 3))])
+    tfs = np.concatenate([rng.integers(1, wide, n) for n, wide in zip(sizes, (9, 300, 9, 70000, 3))])
+    stop = np.cumsum(sizes)
+    raw, ends, widths = bm._pack(stop - sizes, stop, docs, tfs)
+    for k, (a, b) in enumerate(zip(stop - sizes, stop)):
+        got = bm._unpack(raw[ends[k - 1] if k else 0 : ends[k]].tobytes(), int(docs[b - 1]), b - a, int(widths[k, 0]))
+        assert (got[0] == docs[a:b]).all() and (got[1] == tfs[a:b]).all()
