@@ -25,14 +25,19 @@ REQUEST = NodeRequest(
 )
 
 
+#: What a card may show, in the order in which it is tried.
+ROLES = {"title": ("t1", "t2", "t3", "t4", "t5"), "snippet": ("s1", "s2"), "link": ("l1", "l2")}
+
+
 def extract_cards(nodes: DataFrame) -> DataFrame:
     """``cards(page_id, url, card_pre, strategy, title, snippet, link)``, empty cards dropped.
 
     Strategy 1 rows of a table body, 2 articles inside the listing article,
     3 items of a list; a page uses the first one that gives it any card. The
     first part of a kind inside a card is the next one in the page if it comes
-    before the card ends, so all parts of all cards come from one window, and
-    the plan has one shuffle and one sort.
+    before the card ends, so all parts of all cards come from one window. It
+    carries places, and whether there is anything to show, but no texts: those
+    of the parts that a card shows in the end are looked up once. The plan has one shuffle.
     """
     tag, path = F.col("tag"), F.col("path")
     strategy = (
@@ -58,7 +63,8 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
     later = Window.partitionBy("page_id").orderBy(F.col("pre").desc()).rowsBetween(Window.unboundedPreceding, -1)
 
     def next_one(cond: Column, value: str = "text") -> Column:
-        return F.last(F.when(cond, F.struct("pre", F.col(value).alias("value"))), ignorenulls=True).over(later)
+        said = F.coalesce(F.col(value) != "", F.lit(False))
+        return F.last(F.when(cond, F.struct("pre", said.alias("said"))), ignorenulls=True).over(later)
 
     is_a = tag == "a"
     parts = {
@@ -72,22 +78,36 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
         "l1": next_one(is_a & F.col("absolute"), "href"),
         "l2": next_one(is_a, "href"),
     }
-    inside = {c: F.when(F.col(c)["pre"] <= F.col("end"), F.col(c)["value"]) for c in parts}
-    cards = rows.withColumns(parts).where(F.col("strategy").isNotNull()).withColumns(inside)
+    inside = {c: F.when(F.col(c)["pre"] <= F.col("end"), F.col(c)) for c in parts}
+    rows = rows.withColumns(parts).withColumns(inside)
     has_part = F.coalesce("t1", "t5", "s1").isNotNull()
-    cards = cards.where((F.col("strategy") == 2) | has_part)
-    page = Window.partitionBy("page_id")
-    cards = cards.withColumn("best", F.min("strategy").over(page)).where(F.col("strategy") == F.col("best"))
-    cards = cards.select(
-        "page_id",
-        "url",
-        F.col("pre").alias("card_pre"),
-        "strategy",
-        first_truthy("t1", "t2", "t3", "t4", "t5").alias("title"),
-        first_truthy("s1", "s2").alias("snippet"),
-        F.nullif(first_truthy("l1", "l2"), F.lit("")).alias("link"),
+    is_card = F.col("strategy").isNotNull() & ((F.col("strategy") == 2) | has_part)
+    best = F.min(F.when(is_card, F.col("strategy"))).over(Window.partitionBy("page_id"))
+    rows = rows.withColumn("best", best).withColumn("shows", is_card & (F.col("strategy") == F.col("best")))
+
+    # Every part once under its own place, and what a card shows under the places where it is.
+    def entry(slot: Column, role: Column, text: Column, href: Column) -> Column:
+        return F.struct(slot.alias("slot"), role.alias("role"), text.alias("text"), href.alias("href"))
+
+    none = F.lit(None).cast("string")
+    own = F.array(entry(F.col("pre"), none, F.col("text"), F.col("href")))
+    asked = []
+    for role, kinds in ROLES.items():
+        where = F.coalesce(*[F.when(F.col(k)["said"], F.col(k)["pre"]) for k in kinds], -1 - F.col("pre"))
+        asked.append(entry(where, F.lit(role), none, none))
+    entries = F.when(F.col("shows"), F.array(*asked)).when(~tag.isin(*CONTAINERS), own)
+    rows = rows.select("page_id", "url", F.col("pre").alias("card_pre"), "strategy", F.explode(entries).alias("e"))
+    rows = rows.select("page_id", "url", "card_pre", "strategy", "e.*")
+    at = Window.partitionBy("page_id", "slot").orderBy(F.col("role").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shown = F.when(F.col("role") == "link", F.first("href").over(at)).otherwise(F.first("text").over(at))
+    cards = rows.withColumn("shown", shown).where(F.col("role").isNotNull()).groupBy("page_id", "card_pre")
+    cards = cards.agg(
+        F.first("url").alias("url"),
+        F.first("strategy").alias("strategy"),
+        *[F.max(F.when(F.col("role") == r, F.col("shown"))).alias(r) for r in ROLES],
     )
-    return drop_empty(cards, "title", "snippet")
+    title, snippet = (F.coalesce(c, F.lit("")).alias(c) for c in ("title", "snippet"))
+    return drop_empty(cards.select("page_id", "url", "card_pre", "strategy", title, snippet, "link"), "title", "snippet")
 
 
 def drop_empty(df: DataFrame, *columns: str) -> DataFrame:

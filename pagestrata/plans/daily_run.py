@@ -6,14 +6,18 @@ and a random part:
 * ``batch``         this run's records only
 * ``consolidated``  those of them that pass the exact pass, as they were read (the backup)
 * ``base``          those that pass the normalised pass too, normalised
-* ``digests``       digests of the keys of the rows in ``base``
+* ``keys``          digests of the keys of the rows in ``base``, bucketed by digest
+* ``newest``        the same for this run alone, not bucketed
 * ``removed``       order values of older rows that the exact pass removes
 * ``linked``        title and body of the captured pages, by address, also of runs without items
-* ``report``        the report row, written last: it makes the run count
-
-The base is all ``base`` rows of the finished runs without the ``removed`` ones.
-A run reads digests, never the texts of the base, and writes new rows only. A
-run that died half-way is as if it had not happened and may be started again.
+* ``versions``      which folders make up the dataset; a run counts once its version, with its report, is written
+
+The base is all ``base`` rows of a version without the ``removed`` ones. A run
+holds its rows against bucketed digests, of which it shuffles nothing, and writes
+new rows only. A run that died half-way is as if it had not happened and may be
+started again. ``compact`` merges folders of one level into one of the next;
+runs do so by themselves, so a version has few folders however many runs there
+were. ``vacuum`` removes folders that only old versions list.
 """
 
 from __future__ import annotations
@@ -21,21 +25,29 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagestrata.operators.dedupe import align_columns, digest, empty_as_null, keep_first, normalise_keys
+from pagestrata.operators.key_levels import KEYS, KeyLevels, merged, write_bucketed
 from pagestrata.plans import items as items_plan
 from pagestrata.plans.page_text import page_text, unique_by_url
 from pagestrata.plans.report import count_items, run_report
 from pagestrata.schema import COLUMNS, NORMALISED_KEYS, PRIMARY_KEYS, RECORDS, SEQ, Labels
 from pagestrata.sources.nodes import check_page_ids, explode_nodes
-from pagestrata.sources.tables import Staging, read_or_empty
+from pagestrata.sources.snapshots import Conflict, Part, Snapshots, Version
+from pagestrata.sources.tables import Staging
 
 log = logging.getLogger(__name__)
 
+#: Folders of one level that are merged into one of the next.
+FANOUT = 8
+#: Largest part of a merged base or link folder, in rows a file.
+ROWS_PER_FILE = 2_000_000
+
 REPORT = T.StructType(
     [
         T.StructField("run_number", T.LongType()),
@@ -52,16 +64,23 @@ REPORT = T.StructType(
         T.StructField("body", T.StringType()),
     ]
 )
-DIGESTS = T.StructType(
+NEWEST = T.StructType(
     [T.StructField(c, T.BinaryType()) for c in ("exact", "exact_null", "normal")] + [T.StructField("seq", SEQ)]
 )
 REMOVED = T.StructType([T.StructField("seq", SEQ)])
 LINKED = T.StructType([T.StructField(c, T.StringType()) for c in ("url", "title", "body", "run")])
+VERSIONS = T.StructType([T.StructField("number", T.LongType()), T.StructField("report", REPORT)])
+#: Kinds of folders that a version lists, and those that are kept for the user.
+KINDS, BACKUPS = ["base", "keys", "newest", "removed", "linked"], ["batch", "consolidated"]
 
 
 def reports(spark: SparkSession, out_dir: str) -> DataFrame:
     """All report rows so far."""
-    return read_or_empty(spark, f"{out_dir}/report", REPORT)
+    snapshots = Snapshots(spark, out_dir)
+    if not snapshots.numbers():
+        return spark.createDataFrame([], REPORT)
+    found = spark.read.schema(VERSIONS).json(snapshots.folder, pathGlobFilter="*.json").where(F.col("report").isNotNull())
+    return found.select("report.*")
 
 
 def finished(spark: SparkSession, out_dir: str) -> list[tuple[int, str, str, int]]:
@@ -82,37 +101,53 @@ def _parts(spark: SparkSession, out_dir: str, kind: str, folders: list[str], sch
     return spark.read.schema(schema).parquet(*[f"{out_dir}/{kind}/{f}" for f in folders])
 
 
-def current_base(spark: SparkSession, out_dir: str, empty_is_null: bool = False) -> DataFrame:
-    """The base as the finished runs left it."""
-    folders = [f for _, _, f, _ in finished(spark, out_dir)]
-    base = _parts(spark, out_dir, "base", folders, RECORDS)
-    base = base.join(_parts(spark, out_dir, "removed", folders, REMOVED), "seq", "left_anti").select(*COLUMNS, "seq")
+def _of(spark: SparkSession, out_dir: str, version: Version, kind: str, schema: T.StructType) -> DataFrame:
+    return _parts(spark, out_dir, kind, [p.folder for p in version.of(kind)], schema)
+
+
+def current_base(spark: SparkSession, out_dir: str, empty_is_null: bool = False, version: int | None = None) -> DataFrame:
+    """The base as the finished runs left it, or as an earlier version has it.
+
+    The table keeps to its version, whatever is run, compacted or vacuumed within its time meanwhile.
+    """
+    snapshots = Snapshots(spark, out_dir)
+    v = snapshots.latest() if version is None else snapshots.read(version)
+    base = _of(spark, out_dir, v, "base", RECORDS)
+    if v.of("removed"):
+        base = base.join(_of(spark, out_dir, v, "removed", REMOVED), "seq", "left_anti")
+    base = base.select(*COLUMNS, "seq")
     return empty_as_null(base) if empty_is_null else base
 
 
-def exact_pass(batch: DataFrame, live: DataFrame, empty_is_null: bool) -> DataFrame:
-    """The first batch row of each exact key that the base does not have."""
-    known = live.select(F.col("exact_null" if empty_is_null else "exact").alias("_exact"))
-    first = keep_first(batch.withColumn("_exact", digest(PRIMARY_KEYS)), ["_exact"])
-    return first.join(known, "_exact", "left_anti").drop("_exact")
+def exact_pass(batch: DataFrame, levels: KeyLevels, gone: DataFrame, empty_is_null: bool) -> DataFrame:
+    """The first batch row of each exact key that the base, without the rows in ``gone``, does not have."""
+    keyed = batch.withColumn("key", digest(PRIMARY_KEYS))
+    known = levels.having(keyed, "exact_null" if empty_is_null else "exact").join(gone, "seq", "left_anti")
+    return keep_first(keyed, ["key"]).join(known, "key", "left_anti").drop("key")
 
 
-def normalised_pass(rows: DataFrame, live: DataFrame) -> DataFrame:
+def normalised_pass(rows: DataFrame, levels: KeyLevels, gone: DataFrame) -> DataFrame:
     """Of rows that passed: the first of each normalised key that the base does not have, normalised."""
-    first = normalise_keys(rows).withColumn("_normal", digest(NORMALISED_KEYS))
-    first = keep_first(first, ["_normal"])
-    known = live.select(F.col("normal").alias("_normal"))
-    return first.join(known, "_normal", "left_anti").select(*COLUMNS, "seq")
+    keyed = normalise_keys(rows).withColumn("key", digest(NORMALISED_KEYS))
+    known = levels.having(keyed, "normal").join(gone, "seq", "left_anti")
+    return keep_first(keyed, ["key"]).join(known, "key", "left_anti").select(*COLUMNS, "seq")
 
 
-def overtaken(live: DataFrame, newest: DataFrame, empty_is_null: bool) -> DataFrame:
-    """``seq`` of the newest run's rows that, normalised, have the exact key of an earlier row.
+def overtaken(levels: KeyLevels, newest: DataFrame, empty_is_null: bool) -> DataFrame:
+    """Keys and ``seq`` of the newest run's rows that, normalised, have the exact key of an earlier row.
 
     Rows of older runs were held against each other by the runs after them.
     """
-    key = "exact_null" if empty_is_null else "exact"
-    first = live.join(newest.select(key), key, "left_semi").groupBy(key).agg(F.min("seq").alias("first"))
-    return newest.join(first, key).where(F.col("seq") > F.col("first")).select("seq")
+    kind = "exact_null" if empty_is_null else "exact"
+    asked = newest.withColumn("key", F.col(kind))
+    first = levels.having(asked, kind).groupBy("key").agg(F.min("seq").alias("first"))
+    return asked.join(first, "key").where(F.col("seq") > F.col("first")).drop("key", "first")
+
+
+def _keys(rows: DataFrame, gone: bool) -> DataFrame:
+    """``exact, exact_null, normal, seq`` as rows of KEYS."""
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("exact", "exact_null", "normal")])
+    return rows.select(F.explode(kinds).alias("k"), "seq").select("k.kind", "k.key", "seq", F.lit(gone).alias("gone"))
 
 
 def run(
@@ -158,16 +193,22 @@ def run_nodes(
 ) -> DataFrame | None:
     """``run`` on pages that are read already: a stored table of element rows."""
     spark = nodes.sparkSession
-    runs = finished(spark, out_dir)
-    number, stored_before = (runs[-1][0] + 1, runs[-1][3]) if runs else (1, 0)
-    folders = [f for _, _, f, _ in runs]
+    snapshots = Snapshots(spark, out_dir)
+    version = snapshots.latest()
+    number = version.runs + 1
+    buckets = version.settings.get("buckets") or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = f"run={number:012d}-{uuid.uuid4().hex[:8]}"
 
     captured = staging.store(unique_by_url(page_text(nodes)), "captured")
-    captured.write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
+    # Named by version, as runs that store nothing use no number up: later ones compare as larger.
+    captured.select("url", "title", "body", F.lit(f"{version.number + 1:012d}-{folder}").alias("run")).write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
+    links = Part("linked", folder, 0, number, number)
+
+    def known(asked: DataFrame) -> DataFrame:
+        return _known_pages(spark, out_dir, replace(version, parts=(*version.parts, links)), asked, linked)
 
-    def known(links: DataFrame) -> DataFrame:
-        return _known_pages(spark, out_dir, links, linked)
+    def nothing_stored() -> None:
+        _commit(snapshots, version, [links], None, {"buckets": buckets})
 
     records = items_plan.extract_items(nodes, run_date, f"{number:012d}", staging.store, known, labels)
     batch = staging.store(align_columns(records, COLUMNS, keep=("seq",)), "items")
@@ -178,6 +219,7 @@ def run_nodes(
         log.warning("%d pages could not be read", unreadable)
     if n_items == 0:
         log.info("no items, nothing to store")
+        nothing_stored()
         return None
 
     try:
@@ -185,57 +227,147 @@ def run_nodes(
     except Exception:
         log.exception("batch snapshot not written; going on")
 
-    try:
-        digests = _parts(spark, out_dir, "digests", folders, DIGESTS)
-        gone = _parts(spark, out_dir, "removed", folders, REMOVED)
-        digests = digests.join(gone, "seq", "left_anti")
-        newest = _parts(spark, out_dir, "digests", folders[-1:], DIGESTS).join(gone, "seq", "left_anti")
-        overtaken(digests, newest, empty_is_null).write.mode("overwrite").parquet(f"{out_dir}/removed/{folder}")
-        more_gone = _parts(spark, out_dir, "removed", [folder], REMOVED)
-        live = digests.join(more_gone, "seq", "left_anti")
-        exact_pass(batch, live, empty_is_null).write.mode("overwrite").parquet(f"{out_dir}/consolidated/{folder}")
-    except Exception:
-        log.exception("consolidation failed; the base stays as it was")
-        if strict:
-            raise
-        return None
-
-    try:
-        passed = _parts(spark, out_dir, "consolidated", [folder], RECORDS)
-        normalised_pass(passed, live).write.mode("overwrite").parquet(f"{out_dir}/base/{folder}")
-        fresh = _parts(spark, out_dir, "base", [folder], RECORDS)
-        fresh.select(
-            digest(PRIMARY_KEYS).alias("exact"),
-            digest(PRIMARY_KEYS, empty_is_null=True).alias("exact_null"),
-            digest(NORMALISED_KEYS).alias("normal"),
-            "seq",
-        ).write.mode("overwrite").parquet(f"{out_dir}/digests/{folder}")
-        older = stored_before - more_gone.count()
-        n_passed, n_fresh = passed.count(), fresh.count()
-        counts = spark.createDataFrame(
-            [(number, run_id, folder, run_date, n_items, older + n_passed, older + n_fresh, n_passed - n_fresh, unreadable, by_source)],
-            T.StructType(REPORT.fields[:-2]),
-        )
-        report = run_report(counts)
-        if [f for _, _, f, _ in finished(spark, out_dir)] != folders:
-            raise RuntimeError(f"another run finished while {run_id!r} was at work; start it again")
-        # The folder's name has the number only, so of two runs that get here together one fails.
-        report.drop("run_number").coalesce(1).write.mode("errorifexists").parquet(f"{out_dir}/report/run_number={number}")
-    except Exception as e:
-        log.exception("post-processing failed; the base stays as it was")
-        if strict or isinstance(e, RuntimeError) and "another run" in str(e):
-            raise
-        return None
+    with KeyLevels(spark, snapshots.paths(version.of("keys")), buckets) as levels:
+        try:
+            newest = _of(spark, out_dir, version, "newest", NEWEST)
+            gone = staging.store(overtaken(levels, newest, empty_is_null), "gone")
+            exact_pass(batch, levels, gone, empty_is_null).write.mode("overwrite").parquet(f"{out_dir}/consolidated/{folder}")
+        except Exception:
+            log.exception("consolidation failed; the base stays as it was")
+            if strict:
+                raise
+            nothing_stored()
+            return None
+
+        try:
+            passed = _parts(spark, out_dir, "consolidated", [folder], RECORDS)
+            normalised_pass(passed, levels, gone).write.mode("overwrite").parquet(f"{out_dir}/base/{folder}")
+            fresh = _parts(spark, out_dir, "base", [folder], RECORDS)
+            fresh.select(
+                digest(PRIMARY_KEYS).alias("exact"),
+                digest(PRIMARY_KEYS, empty_is_null=True).alias("exact_null"),
+                digest(NORMALISED_KEYS).alias("normal"),
+                "seq",
+            ).write.mode("overwrite").parquet(f"{out_dir}/newest/{folder}")
+            mine = _parts(spark, out_dir, "newest", [folder], NEWEST)
+            write_bucketed(_keys(mine, False).unionByName(_keys(gone, True)), f"{out_dir}/keys/{folder}", "key", buckets)
+            parts = [links] + [Part(k, folder, 0, number, number) for k in ("base", "keys", "newest")]
+            n_gone = gone.count()
+            if n_gone:
+                gone.select("seq").write.mode("overwrite").parquet(f"{out_dir}/removed/{folder}")
+                parts.append(Part("removed", folder, 0, number, number))
+            older = version.settings.get("stored", 0) - n_gone
+            n_passed, n_fresh = passed.count(), fresh.count()
+            counts = spark.createDataFrame(
+                [(number, run_id, folder, run_date, n_items, older + n_passed, older + n_fresh, n_passed - n_fresh, unreadable, by_source)],
+                T.StructType(REPORT.fields[:-2]),
+            )
+            report = run_report(counts).first().asDict()
+            _commit(snapshots, version, parts, report, {"buckets": buckets, "stored": older + n_fresh})
+        except Exception as e:
+            log.exception("post-processing failed; the base stays as it was")
+            if strict or isinstance(e, Conflict):
+                raise
+            nothing_stored()
+            return None
+    compact(spark, out_dir)
     return reports(spark, out_dir).where(F.col("run_id") == run_id)
 
 
-def _known_pages(spark: SparkSession, out_dir: str, links: DataFrame, given: DataFrame | None) -> DataFrame:
+def _commit(snapshots: Snapshots, seen: Version, parts: list[Part], report: dict | None, settings: dict) -> None:
+    """A new version with ``parts``. Merges and links that came since ``seen`` are no obstacle to it, runs are to a run."""
+    if report is not None:
+        report = report | {"run_date": report["run_date"].isoformat()}
+    while True:
+        now = snapshots.latest()
+        if report is not None and now.runs != seen.runs:
+            raise Conflict(f"another run finished while {report['run_id']!r} was at work; start it again")
+        others = [p for p in now.parts if report is None or p.kind != "newest"]  # there is one newest run
+        try:
+            snapshots.commit(now, [*others, *parts], now.runs + (report is not None), report, now.settings | settings if report else settings | now.settings)
+            return
+        except Conflict:
+            log.info("another version was written meanwhile; looking again")
+
+
+def _large_files(rows: DataFrame, order: str, target: str) -> None:
+    """Write rows in ranges of ``order``, in files of up to ROWS_PER_FILE rows."""
+    rows.repartitionByRange(order).sortWithinPartitions(order).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target)
+
+
+def _merge(spark: SparkSession, snapshots: Snapshots, version: Version, kind: str, some: list[Part], target: str) -> None:
+    """One folder in place of some of one kind."""
+    if kind == "keys":
+        write_bucketed(merged(spark, snapshots.paths(some)), target, "key", version.settings["buckets"])
+        return
+    schema = {"base": RECORDS, "linked": LINKED, "removed": REMOVED}[kind]
+    rows = spark.read.schema(schema).parquet(*snapshots.paths(some))
+    if kind == "base" and version.of("removed"):
+        rows = rows.join(_of(spark, snapshots.out_dir, version, "removed", REMOVED), "seq", "left_anti")
+    if kind == "linked":  # the newest capture of an address is what is read
+        rows = rows.groupBy("url").agg(F.max_by(F.struct("title", "body"), "run").alias("shown"), F.max("run").alias("run"))
+        rows = rows.select("url", "shown.title", "shown.body", "run")
+    _large_files(rows.select(*schema.names), "url" if kind == "linked" else "seq", target)
+
+
+def compact(spark: SparkSession, out_dir: str, fanout: int | None = None) -> Version:
+    """Merge folders: ``fanout`` of one level become one of the next; removed rows go from the base where it is merged.
+
+    Readers of older versions are not disturbed, as nothing is changed or
+    deleted. A run that finishes meanwhile is no obstacle: it adds folders, and the
+    merged ones replace those they were made of.
+    """
+    fanout = fanout or FANOUT
+    snapshots = Snapshots(spark, out_dir)
+    while True:
+        version = snapshots.latest()
+        due = None
+        for kind in ("base", "keys", "linked", "removed"):
+            for level in sorted({p.level for p in version.of(kind)}):
+                some = [p for p in version.of(kind) if p.level == level]
+                if len(some) >= fanout:
+                    due = due or (kind, level, some)
+        if due is None:
+            return version
+        kind, level, some = due
+        part = Part(kind, f"merged={uuid.uuid4().hex}", level + 1, min(p.first for p in some), max(p.last for p in some))
+        _merge(spark, snapshots, version, kind, some, snapshots.path(part))
+        _replace(snapshots, version, some, part)
+
+
+def _replace(snapshots: Snapshots, seen: Version, some: list[Part], part: Part) -> None:
+    """A new version in which ``part``, made from ``seen``, stands for ``some``; if those are gone, another merge was faster."""
+    while True:
+        now = snapshots.latest()
+        if not set(some) <= set(now.parts):
+            return
+        rest = [p for p in now.parts if p not in some]
+        if part.kind == "base":
+            # A run removes rows of the run before it: its marks are spent once those rows are merged without them.
+            spent = [p for p in seen.of("removed") if part.first <= p.first - 1 and p.last - 1 <= part.last]
+            rest = [p for p in rest if p not in spent]
+        try:
+            snapshots.commit(now, [*rest, part], now.runs, None)
+            return
+        except Conflict:
+            log.info("another version was written meanwhile; looking again")
+
+
+def vacuum(spark: SparkSession, out_dir: str, keep: dt.timedelta = dt.timedelta(days=7), backups: bool = False) -> list[str]:
+    """Remove the folders that only versions older than ``keep`` list, and what runs that died have left.
+
+    Readers have so long to finish. With ``backups``, the batches and backups of runs older than that go too.
+    """
+    return Snapshots(spark, out_dir).vacuum([*KINDS, *(BACKUPS if backups else [])], keep)
+
+
+def _known_pages(spark: SparkSession, out_dir: str, version: Version, links: DataFrame, given: DataFrame | None) -> DataFrame:
     """Pages behind ``links(url)``, one row for each: from the newest run that captured it, else as given.
 
     Captured pages are known whether or not their run stored anything. Only the
     few addresses asked for are taken from the store.
     """
-    stored = read_or_empty(spark, f"{out_dir}/linked", LINKED).select("url", F.struct("title", "body").alias("shown"), "run")
+    stored = _of(spark, out_dir, version, "linked", LINKED).select("url", F.struct("title", "body").alias("shown"), "run")
     if given is not None:
         given = unique_by_url(given.withColumn("page_id", F.lit(0)) if "page_id" not in given.columns else given)
         stored = stored.unionByName(given.select("url", F.struct("title", "body").alias("shown"), F.lit("").alias("run")))

@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import html as html_lib
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +38,7 @@ BLOCKS = HEADINGS | frozenset(
 )
 SCOPES = frozenset("table td th caption html template".split())
 # Start tag -> (open elements it ends, elements that stop the search).
+_TABLE = frozenset(["table"])
 _ROWS = frozenset("tr td th".split())
 _GROUPS = frozenset("thead tbody tfoot caption colgroup".split())
 IMPLIED_END = {
@@ -187,7 +189,9 @@ class _Page:
         self.pre = self.post = self.unseen = self.html_open = 0
         self.value_length = self.html_length = 0
         self.present = self.based = False
-        self.open_tags: dict[str, int] = defaultdict(int)
+        #: Where in the stack the elements of a tag are, and where blocks are: innermost last.
+        self.open_at: dict[str, list[int]] = defaultdict(list)
+        self.blocks_at: list[int] = []
 
     def add_html(self, piece: str) -> None:
         self.html.append(piece)
@@ -229,7 +233,9 @@ class _Page:
         el.marks = (self.text.length, self.value_length, self.html_length)
         self.unseen += tag in UNSEEN
         self.present = self.present or tag in want.presence
-        self.open_tags[tag] += 1
+        self.open_at[tag].append(len(self.stack))
+        if tag in BLOCKS:
+            self.blocks_at.append(len(self.stack))
         self.stack.append(el)
 
     def pop(self) -> None:
@@ -243,7 +249,9 @@ class _Page:
             self.rows.append((el, self.post, len(self.stack), [s if g else None for s, g in zip(spans, given)]))
         self.post += 1
         self.unseen -= tag in UNSEEN
-        self.open_tags[tag] -= 1
+        self.open_at[tag].pop()
+        if tag in BLOCKS:
+            self.blocks_at.pop()
         self.html_open -= el.html
         if self.html_open and tag not in VOID:
             self.add_html(f"</{tag}>")
@@ -286,24 +294,30 @@ class _Page:
 
     def end_open(self, tags: frozenset, barriers: frozenset) -> None:
         """Close the outermost of ``tags`` that is open inside the nearest barrier."""
-        found = None
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag in barriers:
-                break
-            if self.stack[i].tag in tags:
-                found = i
-        if found is not None:
-            while len(self.stack) > found:
-                self.pop()
+        barrier = self.innermost(barriers)
+        found = len(self.stack)
+        for tag in tags:
+            at = self.open_at[tag]
+            if at and at[-1] > barrier:
+                found = min(found, at[bisect_right(at, barrier)])
+        self.close_down_to(found)
+
+    def innermost(self, tags: frozenset) -> int:
+        """Where in the stack the innermost of some tags is, -1 if none is open."""
+        return max((at[-1] for tag in tags if (at := self.open_at[tag])), default=-1)
+
+    def close_down_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.pop()
 
     def start(self, tag: str, source: str) -> None:
-        if tag in TABLE_PARTS and not self.open_tags["table"]:
+        if tag in TABLE_PARTS and not self.open_at["table"]:
             return
         attrs: dict[str, str] = {}
         if source:
             for name, double, single, bare in _ATTRS.findall(source):
                 attrs.setdefault(name.lower(), html_lib.unescape(double or single or bare))
-        if tag in P_ENDERS and self.open_tags["p"]:
+        if tag in P_ENDERS and self.open_at["p"]:
             self.end_open(frozenset(["p"]), SCOPES)
         if tag in IMPLIED_END:
             self.end_open(*IMPLIED_END[tag])
@@ -325,19 +339,17 @@ class _Page:
         if tag == "br":
             self.start("br", "")
             return
-        if tag in ("body", "html") or not self.open_tags[tag]:
+        if tag in ("body", "html") or not self.open_at[tag]:
             return
-        for i in range(len(self.stack) - 1, -1, -1):
-            other = self.stack[i].tag
-            if other == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if tag in TABLE_PARTS or tag == "table":
-                if other == "table":
-                    return
-            elif other in SCOPES or (tag not in BLOCKS and other in BLOCKS):
-                return
+        place = self.open_at[tag][-1]
+        if tag in TABLE_PARTS or tag == "table":
+            stop = self.innermost(_TABLE)
+        else:
+            stop = self.innermost(SCOPES)
+            if tag not in BLOCKS and self.blocks_at:
+                stop = max(stop, self.blocks_at[-1])
+        if stop <= place:
+            self.close_down_to(place)
 
     def read(self, html: str) -> Iterator[tuple]:
         pos, size, search = 0, len(html), _MARKUP.search

@@ -5,10 +5,12 @@ from functools import partial
 
 import pytest
 
+from pagestrata.operators.key_levels import KeyLevels
 from pagestrata.plans import daily_run
 from pagestrata.schema import COLUMNS, PAGES
 from pagestrata.sources import nodes
 from pagestrata.sources.page_tree import page_elements
+from pagestrata.sources.snapshots import Conflict, Part, Snapshots, Version
 from pagestrata.streaming.arrivals import follow_pages
 
 DAY1, DAY2 = dt.date(2025, 11, 5), dt.date(2025, 11, 6)
@@ -149,7 +151,105 @@ def test_a_run_does_not_read_the_texts_of_the_base(spark, pages_of, tmp_path, mo
     monkeypatch.setattr(daily_run, "_parts", lambda s, o, kind, folders, schema: read.append((kind, tuple(folders))) or parts(s, o, kind, folders, schema))
     daily_run.run(pages_of(page(("Lei 2", "b"))), out, DAY2, "2", strict=True)
     old = daily_run.finished(spark, out)[0][2]
-    assert {k for k, f in read if old in f} == {"digests", "removed"}
+    assert {k for k, f in read if old in f} == {"newest", "linked"}
+
+
+def scans_below(plan, joined=False):
+    """Scans under an Exchange of a plan that no join separates from it."""
+    name = plan.nodeName()
+    if "Scan" in name and plan.children().isEmpty():
+        yield plan.verboseStringWithSuffix(1000) if joined else ""
+    inner = [plan.children().apply(k) for k in range(plan.children().size())]
+    if name == "AdaptiveSparkPlan":
+        inner = [plan.initialPlan()]
+    under = True if name.startswith("Exchange") else False if "Join" in name else joined
+    for child in inner:
+        yield from scans_below(child, under)
+
+
+def test_nothing_of_the_digests_is_shuffled(spark, pages_of, tmp_path):
+    out = str(tmp_path)
+    for n in range(3):
+        daily_run.run(pages_of(page((f"Lei {n}", "a"), ("Lei 9", f"b{n}"))), out, DAY1, f"{n}", strict=True)
+    snapshots = Snapshots(spark, out)
+    version = snapshots.latest()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with KeyLevels(spark, snapshots.paths(version.of("keys")), version.settings["buckets"]) as levels:
+            assert len(levels.names) == 3
+            batch = daily_run.current_base(spark, out)
+            gone = spark.createDataFrame([], daily_run.REMOVED)
+            newest = daily_run._of(spark, out, version, "newest", daily_run.NEWEST)
+            plans = [
+                daily_run.exact_pass(batch, levels, gone, True),
+                daily_run.normalised_pass(batch, levels, gone),
+                daily_run.overtaken(levels, newest, True),
+            ]
+            for p in plans:
+                found = list(scans_below(p._jdf.queryExecution().executedPlan()))
+                assert any(found) and not any("keys" in f and "levels_" in f for f in found)
+            assert plans[0].count() == 0 and plans[1].count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("levels_")]
+
+
+def test_many_runs_stay_few_folders(spark, pages_of, tmp_path, monkeypatch):
+    """Merges change no row; a reader that is open keeps its version; vacuum takes what only old versions list."""
+    monkeypatch.setattr(daily_run, "FANOUT", 3)
+    rng, days, out = random.Random(5), [], str(tmp_path)
+    reader = before = None
+    for n in range(13):
+        days.append([(f"Lei {rng.randint(1, 5)}", rng.choice(["a b", "a\nb", "c", "c d"]), rng.choice(["Um", "Dois"])) for _ in range(4)])
+        pages = [page((t, d.replace("\n", "<br>")), city=c) for t, d, c in days[-1]]
+        r = daily_run.run(pages_of(*pages), out, DAY1, f"run {n}", strict=True).first()
+        if n == 7:
+            reader, before = daily_run.current_base(spark, out), [r["Ato"] for r in daily_run.current_base(spark, out).orderBy("seq").collect()]
+    base, counts = reference(days)
+    assert (r.consolidated, r.stored, r.removed) == counts[-1] and [r[:3] for r in stored(spark, out)] == base
+    version = Snapshots(spark, out).latest()
+    assert version.runs == 13 and len(daily_run.finished(spark, out)) == 13
+    for kind in ("base", "keys", "linked"):
+        assert len(version.of(kind)) <= 6 < len(os.listdir(tmp_path / kind))
+    assert len(version.of("newest")) == 1
+    assert [r["Ato"] for r in reader.orderBy("seq").collect()] == before  # one state, though its folders were merged
+    assert daily_run.vacuum(spark, out, dt.timedelta(days=1)) == []
+    assert len(daily_run.vacuum(spark, out, dt.timedelta(0))) > 5
+    assert {k: len(os.listdir(tmp_path / k)) for k in ("base", "keys", "newest")} == {k: len(version.of(k)) for k in ("base", "keys", "newest")}
+    assert [r[:3] for r in stored(spark, out)] == base
+
+
+def test_a_merge_and_a_run_at_a_time(spark, pages_of, tmp_path, monkeypatch):
+    """A run that finishes while folders are merged loses nothing, and neither do the marks it sets."""
+    out, act = str(tmp_path), ("Lei 1", "a<br>b")
+    run = partial(daily_run.run, out_dir=out, run_date=DAY1, strict=True)
+    run(pages_of(page(("Lei 0", "z"))), run_id="1")
+    run(pages_of(page(act), page(("Lei 1", "a b"), city="Dois")), run_id="2")
+    inner = daily_run._merge
+
+    def meanwhile(*args):
+        inner(*args)
+        monkeypatch.setattr(daily_run, "_merge", inner)
+        monkeypatch.setattr(daily_run, "compact", lambda *a: None)
+        run(pages_of(page(("Lei 2", "c"))), run_id="3")  # marks a row of run 2, which is being merged
+        monkeypatch.undo()
+
+    monkeypatch.setattr(daily_run, "_merge", meanwhile)
+    daily_run.compact(spark, out, fanout=2)
+    assert [r[:3] for r in stored(spark, out)] == [("Lei 0", "z", "Um"), ("Lei 1", "a b", "Um"), ("Lei 2", "c", "Um")]
+    version = Snapshots(spark, out).latest()
+    assert version.runs == 3 and len(version.of("removed")) == 1
+    daily_run.compact(spark, out, fanout=2)
+    assert [r[0] for r in stored(spark, out)] == ["Lei 0", "Lei 1", "Lei 2"]
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    snapshots = Snapshots(spark, str(tmp_path))
+    first = snapshots.commit(snapshots.latest(), [Part("base", "a")], 1)
+    with pytest.raises(Conflict):
+        snapshots.commit(Version(), [Part("base", "b")], 1)
+    assert snapshots.latest() == first and snapshots.numbers() == [1] and len(os.listdir(tmp_path / "versions")) <= 2
 
 
 def test_report_counts_sources_and_bad_pages(spark, pages_of, tmp_path, monkeypatch):
@@ -220,6 +320,7 @@ def test_stream_of_arrivals(spark, pages_of, tmp_path, follow):
     assert [r[0] for r in stored(spark, out)] == ["Lei 1"]
     pages_of(page(("Lei 1", "a"), ("Lei 2", "b"))).write.mode("append").parquet(source)
     follow()
+    assert not list(tmp_path.glob("out/landed*/stream=*"))  # what is taken in is released
     assert follow() is None
     assert [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 2"]
     assert daily_run.reports(spark, out).count() == 2

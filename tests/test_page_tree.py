@@ -258,3 +258,17 @@ def test_a_large_page_leaves_in_several_batches(spark, pages_of, monkeypatch):
     monkeypatch.setattr(nodes, "_FLUSH_CHARS", 1000)
     rows = explode_nodes(pages_of("<p>x</p>" * 500), NodeRequest(elements={"p": ()}, text={"p": ()}))
     assert rows.count() == 500
+
+
+@pytest.mark.parametrize("unit", ["<div><p>", "<table><tr><td><p>x", "<ul><li>", "<b><i>x</u>"])
+def test_deep_nesting_takes_linear_time(unit):
+    request = NodeRequest(elements={"p": (), "li": ()}, text={"p": ()})
+
+    def seconds(n):
+        start = time.process_time()
+        for _ in page_elements(unit * n, "", NodeRequest(elements={"zz": ()}) if n else request):
+            pass
+        return time.process_time() - start
+
+    seconds(500)
+    assert min(seconds(16000) for _ in range(2)) < 8 * max(0.02, min(seconds(4000) for _ in range(2)))
