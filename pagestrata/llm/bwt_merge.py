@@ -31,6 +31,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,9 +233,10 @@ def _cell_rows(buckets: int, cells: int):
         sizes = np.bincount(cell.astype(np.int64), minlength=cells)
         stops = np.cumsum(sizes)
         some = np.flatnonzero(sizes)
+        pack = zstandard.ZstdCompressor(level=1).compress  # a transform is mostly runs
         least, extent = least[by_cell], rows[by_cell, :2]
         out = [
-            (part, int(k), int(b - n), int(n), columns[:, b - n : b].tobytes(), least[b - n : b].tobytes(), extent[b - n : b].tobytes())
+            (part, int(k), int(b - n), int(n), pack(columns[:, b - n : b].tobytes()), least[b - n : b].tobytes(), extent[b - n : b].tobytes())
             for k, n, b in zip(some, sizes[some], stops[some])
         ]
         # Where the shard's own contexts are; goes to no cell.
@@ -309,7 +311,8 @@ def _merged(table: pa.Table) -> pa.Table:
     """Windows of which a smaller id is known elsewhere: context in the shard, first and last column, id."""
     table = table.sort_by("part").combine_chunks()
     sizes = table["n"].to_pylist()
-    transforms = [np.frombuffer(c, np.uint8).reshape(COLUMNS, n) for c, n in zip(table["columns"].to_pylist(), sizes)]
+    unpack = zstandard.ZstdDecompressor().decompress
+    transforms = [np.frombuffer(unpack(c), np.uint8).reshape(COLUMNS, n) for c, n in zip(table["columns"].to_pylist(), sizes)]
     ids = np.frombuffer(b"".join(table["ids"].to_pylist()), np.int64)
     extent = np.frombuffer(b"".join(table["extent"].to_pylist()), np.uint8).reshape(-1, 2).astype(np.int64) - 1
     least = merge(transforms, ids, extent[:, 0], extent[:, 1])
@@ -434,7 +437,8 @@ def remove_repeats(
     name = f"repeats_{uuid.uuid4().hex}"
     # Bucketed by shard, so that what comes back to a shard joins it without a shuffle of texts.
     dealt = numbered.select("part", "rid", "id", "named", "text", "row").repartition(files, "part")
-    dealt.write.bucketBy(files, "part").sortBy("part").option("path", f"{staging.folder}/{name}").saveAsTable(name)
+    bucketed = dealt.write.bucketBy(files, "part").sortBy("part").option("compression", "zstd")
+    bucketed.option("path", f"{staging.folder}/{name}").saveAsTable(name)
     try:
         shards = spark.table(name)
         slim = shards.select("part", "rid", "id", "text")
