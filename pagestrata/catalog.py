@@ -849,13 +849,18 @@ def q34(spark, sf):
 @query(
     "q35_page_errors",
     f"""
-    WITH p AS (SELECT CASE WHEN doc_id % 10 = 7 THEN '' ELSE {_shown("regexp_replace(text, '[ \t\r\n\f]+', ' ', 'g')")} END AS shown
+    WITH p AS (SELECT doc_id % 10 = 3 AS failed,
+                      CASE WHEN doc_id % 10 = 7 THEN '' ELSE {_shown("regexp_replace(text, '[ \t\r\n\f]+', ' ', 'g')")} END AS shown
                FROM documents)
-    SELECT CASE WHEN shown = '' THEN 'empty' ELSE 'read' END AS outcome, count(*) AS pages, sum(length(shown))::BIGINT AS chars
+    SELECT CASE WHEN failed THEN 'error' WHEN shown = '' THEN 'empty' ELSE 'read' END AS outcome, count(*) AS pages,
+           sum(CASE WHEN failed THEN 0 ELSE length(shown) END)::BIGINT AS chars
     FROM p GROUP BY ALL""",
 )
 def q35(spark, sf):
-    """Documents as served bytes: UTF-8 with and without mark, Latin-1 declared or not, and some missing."""
+    """Documents as served bytes: UTF-8 with and without mark, Latin-1 declared or not, some missing, some unreadable.
+
+    The unreadable ones claim an encoding in which their bytes are half of a character.
+    """
     doc, shown = F.col("doc_id"), F.concat(F.lit("<p>"), _escape(F.col("text")), F.lit("</p>"))
     declared = F.concat(F.lit('<meta charset="iso-8859-1">'), shown)
     is_latin = F.col("text").rlike(r"^[\x00-\x7F\xA0-\xFF]*$")
@@ -863,11 +868,13 @@ def q35(spark, sf):
     # Bytes that are not UTF-8 need a byte of two or more; plain ASCII is both.
     html = (
         F.when(doc % 10 == 7, F.lit(None))
+        .when(doc % 10 == 3, F.encode(F.lit("<p>\\ud800</p>"), "US-ASCII"))
         .when(is_latin & (doc % 2 == 0), F.encode(latin, "ISO-8859-1"))
         .when(doc % 5 == 1, F.concat(F.unhex(F.lit("EFBBBF")), shown.cast("binary")))
         .otherwise(shown.cast("binary"))
     )
-    pages = _documents(spark, sf).select(doc.alias("page_id"), F.lit("").alias("url"), html.alias("html"))
+    charset = F.when(doc % 10 == 3, "unicode_escape")
+    pages = _documents(spark, sf).select(doc.alias("page_id"), F.lit("").alias("url"), html.alias("html"), charset.alias("charset"))
     request = NodeRequest(elements={"p": ()}, text={"p": ()})
     nodes = explode_nodes(pages, request).select("page_id", "text", "error")
     read = nodes.groupBy("page_id").agg(
@@ -879,12 +886,12 @@ def q35(spark, sf):
     return every.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("pages"), F.sum(n).alias("chars"))
 
 
-def _act_pages(spark: SparkSession, sf: str, keep: Column) -> DataFrame:
+def _act_pages(spark: SparkSession, sf: str, keep: Column, second_lines: bool = True) -> DataFrame:
     """Documents as section pages: a header with the place, then each line as an act; every other one has a second line."""
 
     def act(line, j):
         title = F.concat(F.lit("<strong>Ato "), F.length(line), F.lit("</strong>"))
-        more = F.when(j % 2 == 1, "<br>fim").otherwise("")
+        more = F.when(j % 2 == 1, "<br>fim" if second_lines else "").otherwise("")
         return F.concat(F.lit('<tr><td class="txt_cinza">'), title, F.lit("<br>"), _escape(line), more, F.lit("</td></tr>"))
 
     header = F.concat(F.lit("<table><tr><td><strong>ISSQN - "), "lang", F.lit(" - "), "source", F.lit("</strong></td></tr>"))
@@ -1061,3 +1068,80 @@ def q41(spark, sf):
     return spark.sql(
         "SELECT n.page_id, n.tag, n.text FROM {pages} p, LATERAL html_nodes(p.page_id, p.url, p.html) n", pages=_pages(spark, sf)
     )
+
+
+# --- many runs, broken markup, hidden text ---------------------------------
+
+
+@query(
+    "q43_many_runs",
+    f"""
+    WITH a AS (SELECT doc_id % 10 AS day, doc_id, i, concat('Ato ', length(x)) AS a, upper(lang) AS uf, source AS city, {LINE_SQL} AS line
+               FROM ({SECTION_ROWS_SQL}))
+    SELECT day + 1 AS day, doc_id, a AS "Ato", line AS "Descrição", uf AS "UF", city AS "Municipio"
+    FROM (SELECT *, row_number() OVER (PARTITION BY a, line ORDER BY day, doc_id, i) AS rn FROM a) WHERE rn = 1""",
+)
+def q43(spark, sf):
+    """Documents dealt to ten days by id; folders are merged after the sixth day. The base at the end."""
+    out = f"{Staging(spark).folder}/acts"
+    for day in range(10):
+        pages = _act_pages(spark, sf, F.col("doc_id") % 10 == day, second_lines=False)
+        daily_run.run(pages, out, RUN_DATE + dt.timedelta(days=day), f"day {day}", strict=True)
+        if day == 5:
+            daily_run.compact(spark, out, fanout=2)
+    return daily_run.current_base(spark, out).select(
+        F.col("seq.run_id").cast("int").alias("day"), F.col("seq.page_id").alias("doc_id"), "Ato", "Descrição", "UF", "Municipio"
+    )
+
+
+@query(
+    "q45_broken_markup",
+    f"""
+    WITH s AS (SELECT doc_id AS page_id, i, {_shown('x')} AS x FROM ({SECTION_ROWS_SQL}))
+    SELECT page_id, '/p' AS path, x AS text FROM s WHERE i % 3 = 0
+    UNION ALL SELECT page_id, '/table/tbody/tr/td', i::VARCHAR FROM s WHERE i % 3 = 0
+    UNION ALL SELECT page_id, '/b', '' FROM s WHERE i % 3 = 1
+    UNION ALL SELECT page_id, '/p', x || 't' FROM s WHERE i % 3 = 1
+    UNION ALL SELECT page_id, '/p/b', x FROM s WHERE i % 3 = 1
+    UNION ALL SELECT page_id, unnest(['/div/p', '/div/p/i']), x FROM s WHERE i % 3 = 2
+    UNION ALL SELECT page_id, unnest(['/div/p', '/div/p/i']), 'n' FROM s WHERE i % 3 = 2""",
+)
+def q45(spark, sf):
+    """Every line as stray content of a table, in a formatting element that ends inside a paragraph, or in one left open."""
+
+    def part(line, j):
+        i, line = j + 1, _escape(line)
+        return (
+            F.when(i % 3 == 0, F.concat(F.lit("<table><p>"), line, F.lit("</p><tr><td>"), i, F.lit("</td></tr></table>")))
+            .when(i % 3 == 1, F.concat(F.lit("<b><p>"), line, F.lit("</b>t</p>")))
+            .otherwise(F.concat(F.lit("<div><p><i>"), line, F.lit("<p>n</i></div>")))
+        )
+
+    pages = _rule_pages(spark, sf, F.array_join(F.transform("lines", part), ""))
+    tags = dict.fromkeys(("p", "b", "i", "td"), ())
+    nodes = explode_nodes(pages, NodeRequest(elements=tags, text=tags, paths=frozenset(tags)))
+    return nodes.select("page_id", "path", "text")
+
+
+@query(
+    "q46_hidden_text",
+    f"""
+    SELECT doc_id AS page_id, CASE i % 4 WHEN 2 THEN {_shown('x')} WHEN 3 THEN replace(x, chr(160), ' ') || '  x' ELSE '' END AS text
+    FROM ({SECTION_ROWS_SQL})""",
+)
+def q46(spark, sf):
+    """Every line hidden by an attribute or by a style, shown inside what is hidden, or with its spaces kept."""
+
+    def part(line, j):
+        i, line = j + 1, _escape(line)
+        hidden = F.concat(F.lit('<p style="visibility:hidden">a<span style="visibility:visible">'), line, F.lit("</span></p>"))
+        return (
+            F.when(i % 4 == 0, F.concat(F.lit("<p hidden>"), line, F.lit("</p>")))
+            .when(i % 4 == 1, F.concat(F.lit('<p style="color:red; display: none">'), line, F.lit("</p>")))
+            .when(i % 4 == 2, hidden)
+            .otherwise(F.concat(F.lit("<pre>"), line, F.lit("  x</pre>")))
+        )
+
+    pages = _rule_pages(spark, sf, F.array_join(F.transform("lines", part), ""))
+    tags = dict.fromkeys(("p", "pre"), ())
+    return explode_nodes(pages, NodeRequest(elements=tags, text=tags)).select("page_id", "text")

@@ -9,6 +9,7 @@ and a random part:
 * ``keys``          digests of the keys of the rows in ``base``, bucketed by digest
 * ``newest``        the same for this run alone, not bucketed
 * ``removed``       order values of older rows that the exact pass removes
+* ``quarantine``    pages of this run that could not be read, as they came, with the error; see ``replay``
 * ``linked``        title and body of the captured pages, by address, also of runs without items
 * ``versions``      which folders make up the dataset; a run counts once its version, with its report, is written
 
@@ -26,6 +27,7 @@ import datetime as dt
 import logging
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ from pagestrata.plans import items as items_plan
 from pagestrata.plans.page_text import page_text, unique_by_url
 from pagestrata.plans.report import count_items, run_report
 from pagestrata.schema import COLUMNS, NORMALISED_KEYS, PRIMARY_KEYS, RECORDS, SEQ, Labels
-from pagestrata.sources.nodes import check_page_ids, explode_nodes
+from pagestrata.sources.nodes import check_page_ids, explode_nodes, numbered
 from pagestrata.sources.snapshots import Conflict, Part, Snapshots, Version
 from pagestrata.sources.tables import Staging
 
@@ -68,10 +70,14 @@ NEWEST = T.StructType(
     [T.StructField(c, T.BinaryType()) for c in ("exact", "exact_null", "normal")] + [T.StructField("seq", SEQ)]
 )
 REMOVED = T.StructType([T.StructField("seq", SEQ)])
+QUARANTINE = T.StructType(
+    [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.BinaryType())]
+    + [T.StructField(c, T.StringType()) for c in ("charset", "error")]
+)
 LINKED = T.StructType([T.StructField(c, T.StringType()) for c in ("url", "title", "body", "run")])
 VERSIONS = T.StructType([T.StructField("number", T.LongType()), T.StructField("report", REPORT)])
 #: Kinds of folders that a version lists, and those that are kept for the user.
-KINDS, BACKUPS = ["base", "keys", "newest", "removed", "linked"], ["batch", "consolidated"]
+KINDS, BACKUPS = ["base", "keys", "newest", "removed", "linked", "quarantine"], ["batch", "consolidated"]
 
 
 def reports(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -177,7 +183,46 @@ def run(
     check_page_ids(pages)
     with Staging(spark) as staging:
         nodes = staging.store(explode_nodes(pages, items_plan.REQUEST), "nodes")
-        return run_nodes(nodes, out_dir, run_date, run_id, staging, linked, labels, empty_is_null, strict)
+        failed = failed_pages(pages, nodes)
+        return run_nodes(nodes, out_dir, run_date, run_id, staging, linked, labels, empty_is_null, strict, failed)
+
+
+def failed_pages(pages: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pages with an error among ``nodes``, as they came: rows of QUARANTINE."""
+    bad = nodes.where(F.col("error").isNotNull()).groupBy("page_id").agg(F.min("error").alias("error"))
+    names = dict(pages.dtypes)
+    charset = F.col("charset") if "charset" in names else F.lit("utf-8" if names["html"] == "string" else None)
+    as_read = pages.select("page_id", "url", F.col("html").cast("binary").alias("html"), charset.cast("string").alias("charset"))
+    return as_read.join(bad, "page_id").select(*QUARANTINE.names)
+
+
+def quarantined(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Pages that could not be read and have not been taken in since."""
+    return _of(spark, out_dir, Snapshots(spark, out_dir).latest(), "quarantine", QUARANTINE)
+
+
+def replay(
+    spark: SparkSession, out_dir: str, run_date: dt.date, run_id: str, labels: Labels = Labels(), empty_is_null: bool = True
+) -> DataFrame | None:
+    """Take in the quarantined pages as a run of their own, for example with a reader that was mended.
+
+    Pages keep their order, by run and page id. What can be read leaves the
+    quarantine, what fails again stays. Without quarantined pages nothing is run.
+    """
+    version = Snapshots(spark, out_dir).latest()
+    waiting = version.of("quarantine")
+    if not waiting or run_id in {r for _, r, _, _ in finished(spark, out_dir)}:
+        return reports(spark, out_dir).where(F.col("run_id") == run_id) if waiting else None
+    with Staging(spark) as staging:
+        rows = [_parts(spark, out_dir, "quarantine", [p.folder], QUARANTINE).withColumn("of", F.lit(p.first)) for p in waiting]
+        pages = reduce(DataFrame.unionByName, rows)
+        # Runs number their pages independently; new numbers in the order of runs and pages.
+        pages = pages.repartitionByRange("of", "page_id").sortWithinPartitions("of", "page_id")
+        pages = staging.store(numbered(pages.drop("of", "error")), "pages")
+        nodes = staging.store(explode_nodes(pages, items_plan.REQUEST), "nodes")
+        return run_nodes(
+            nodes, out_dir, run_date, run_id, staging, None, labels, empty_is_null, True, failed_pages(pages, nodes), waiting
+        )
 
 
 def run_nodes(
@@ -190,8 +235,14 @@ def run_nodes(
     labels: Labels = Labels(),
     empty_is_null: bool = True,
     strict: bool = False,
+    failed: DataFrame | None = None,
+    replayed: list[Part] | None = None,
 ) -> DataFrame | None:
-    """``run`` on pages that are read already: a stored table of element rows."""
+    """``run`` on pages that are read already: a stored table of element rows.
+
+    ``failed`` are the pages with an error, for the quarantine, ``replayed`` the
+    folders of it that are taken in here. Elements of a page that failed half-way do not count.
+    """
     spark = nodes.sparkSession
     snapshots = Snapshots(spark, out_dir)
     version = snapshots.latest()
@@ -199,24 +250,30 @@ def run_nodes(
     buckets = version.settings.get("buckets") or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = f"run={number:012d}-{uuid.uuid4().hex[:8]}"
 
+    bad = nodes.where(F.col("error").isNotNull()).select("page_id").distinct()
+    unreadable = bad.count()
+    if unreadable:
+        log.warning("%d pages could not be read", unreadable)
+        nodes = nodes.join(bad, "page_id", "left_anti")
     captured = staging.store(unique_by_url(page_text(nodes)), "captured")
     # Named by version, as runs that store nothing use no number up: later ones compare as larger.
     captured.select("url", "title", "body", F.lit(f"{version.number + 1:012d}-{folder}").alias("run")).write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
     links = Part("linked", folder, 0, number, number)
+    taken = [links]
+    if unreadable and failed is not None:
+        failed.write.mode("overwrite").parquet(f"{out_dir}/quarantine/{folder}")
+        taken.append(Part("quarantine", folder, 0, number, number))
 
     def known(asked: DataFrame) -> DataFrame:
         return _known_pages(spark, out_dir, replace(version, parts=(*version.parts, links)), asked, linked)
 
     def nothing_stored() -> None:
-        _commit(snapshots, version, [links], None, {"buckets": buckets})
+        _commit(snapshots, version, taken, None, {"buckets": buckets}, replayed)
 
     records = items_plan.extract_items(nodes, run_date, f"{number:012d}", staging.store, known, labels)
     batch = staging.store(align_columns(records, COLUMNS, keep=("seq",)), "items")
     by_source = {r["Fonte"]: r["items"] for r in count_items(batch).collect()}  # one row for each kind of source
     n_items = sum(by_source.values())
-    unreadable = nodes.where(F.col("error").isNotNull()).select("page_id").distinct().count()
-    if unreadable:
-        log.warning("%d pages could not be read", unreadable)
     if n_items == 0:
         log.info("no items, nothing to store")
         nothing_stored()
@@ -251,7 +308,7 @@ def run_nodes(
             ).write.mode("overwrite").parquet(f"{out_dir}/newest/{folder}")
             mine = _parts(spark, out_dir, "newest", [folder], NEWEST)
             write_bucketed(_keys(mine, False).unionByName(_keys(gone, True)), f"{out_dir}/keys/{folder}", "key", buckets)
-            parts = [links] + [Part(k, folder, 0, number, number) for k in ("base", "keys", "newest")]
+            parts = taken + [Part(k, folder, 0, number, number) for k in ("base", "keys", "newest")]
             n_gone = gone.count()
             if n_gone:
                 gone.select("seq").write.mode("overwrite").parquet(f"{out_dir}/removed/{folder}")
@@ -263,7 +320,7 @@ def run_nodes(
                 T.StructType(REPORT.fields[:-2]),
             )
             report = run_report(counts).first().asDict()
-            _commit(snapshots, version, parts, report, {"buckets": buckets, "stored": older + n_fresh})
+            _commit(snapshots, version, parts, report, {"buckets": buckets, "stored": older + n_fresh}, replayed)
         except Exception as e:
             log.exception("post-processing failed; the base stays as it was")
             if strict or isinstance(e, Conflict):
@@ -274,15 +331,17 @@ def run_nodes(
     return reports(spark, out_dir).where(F.col("run_id") == run_id)
 
 
-def _commit(snapshots: Snapshots, seen: Version, parts: list[Part], report: dict | None, settings: dict) -> None:
-    """A new version with ``parts``. Merges and links that came since ``seen`` are no obstacle to it, runs are to a run."""
+def _commit(
+    snapshots: Snapshots, seen: Version, parts: list[Part], report: dict | None, settings: dict, without: list[Part] | None = None
+) -> None:
+    """A new version with ``parts`` and without some others. Merges and links that came since ``seen`` are no obstacle to it, runs are to a run."""
     if report is not None:
         report = report | {"run_date": report["run_date"].isoformat()}
     while True:
         now = snapshots.latest()
         if report is not None and now.runs != seen.runs:
             raise Conflict(f"another run finished while {report['run_id']!r} was at work; start it again")
-        others = [p for p in now.parts if report is None or p.kind != "newest"]  # there is one newest run
+        others = [p for p in now.parts if p not in (without or []) and (report is None or p.kind != "newest")]  # one newest run
         try:
             snapshots.commit(now, [*others, *parts], now.runs + (report is not None), report, now.settings | settings if report else settings | now.settings)
             return

@@ -6,11 +6,14 @@ deeply it is nested. It numbers elements in document order (``pre``) and closing
 (``post``), so that ``post + depth`` is the ``pre`` of the last descendant.
 Everything that relates elements to each other is done by Spark afterwards.
 
+``_Builder`` makes the tree of a page, ``_Page`` walks it and notes what is asked for.
+
 Tree rules covered: void elements, implied end tags, ``tbody``/``tr``
 insertion, table parts outside a table ignored, end tags that match nothing
-ignored, raw text elements, comments, entities, markup cut off at the end.
-Not covered: re-opening of mis-nested formatting elements and moving stray
-table content in front of the table.
+ignored, raw text elements, comments, entities, markup cut off at the end,
+mis-nested formatting elements re-opened, stray table content put in front of
+the table. Text is as shown: not what ``hidden``, ``display:none`` or
+``visibility`` written on an element hides, and ``pre`` keeps its spaces.
 """
 
 from __future__ import annotations
@@ -46,12 +49,23 @@ IMPLIED_END = {
     "dt": (frozenset("dt dd".split()), frozenset(["dl"]) | SCOPES),
     "dd": (frozenset("dt dd".split()), frozenset(["dl"]) | SCOPES),
     "option": (frozenset(["option"]), frozenset("select datalist".split())),
-    "a": (frozenset(["a"]), SCOPES),
     "td": (frozenset("td th".split()), frozenset("tr table".split())),
     "th": (frozenset("td th".split()), frozenset("tr table".split())),
     "tr": (_ROWS | frozenset("caption colgroup".split()), frozenset(["table"])),
     **{tag: (_ROWS | _GROUPS, frozenset(["table"])) for tag in _GROUPS},
 }
+# Formatting elements, cells that keep them in, elements before which they are not re-opened.
+FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
+MARKERS = frozenset("td th caption".split())
+UNFORMATTED = BLOCKS | TABLE_PARTS | RAW_TEXT | frozenset("base col frame frameset head link meta param source template title track".split())
+TABLE_CONTEXT = frozenset("table tbody thead tfoot tr".split())
+IN_TABLE = TABLE_PARTS | frozenset("script style template form col".split())
+#: Formatting elements that wait to be re-opened at most; the oldest are forgotten, as no browser nests deeper.
+MOST_FORMATTING = 512
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:;|!|$)", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\s*(?:;|!|$)", re.I)
+_KEPT_SPACE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(pre|pre-wrap|break-spaces)\s*(?:;|!|$)", re.I)
+
 P_ENDERS = (BLOCKS | {"hr"}) - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr"}
 
 _ATTRIBUTE = r"""[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?"""
@@ -142,6 +156,19 @@ class _Text:
         self.length += len(piece)
         self.last = piece[-1]
 
+    def add_kept(self, text: str) -> None:
+        """Text whose spaces and line ends are shown as they are."""
+        for k, line in enumerate(text.replace("\r\n", "\n").replace("\r", "\n").split("\n")):
+            if k:
+                self.line_break()
+            if line:
+                if self.space and self.last not in (_BREAK, _EDGE):
+                    line = " " + line
+                self.space = False
+                self.pieces.append(line)
+                self.length += len(line)
+                self.last = line[-1]
+
     def edge(self) -> None:
         self.space = False
         if self.last not in (_BREAK, _EDGE):
@@ -167,7 +194,7 @@ def _escape(text: str) -> str:
 
 
 class _Open:
-    __slots__ = ("pre", "tag", "cls", "attrs", "parent", "context", "marks", "html")
+    __slots__ = ("pre", "tag", "cls", "attrs", "parent", "context", "marks", "html", "gone", "veiled", "kept")
 
     def chain(self, link: str) -> list[_Open]:
         """The enclosing elements along ``parent`` or ``context``, outermost first."""
@@ -189,9 +216,8 @@ class _Page:
         self.pre = self.post = self.unseen = self.html_open = 0
         self.value_length = self.html_length = 0
         self.present = self.based = False
-        #: Where in the stack the elements of a tag are, and where blocks are: innermost last.
-        self.open_at: dict[str, list[int]] = defaultdict(list)
-        self.blocks_at: list[int] = []
+        self.veiled = False
+        self.kept = 0
 
     def add_html(self, piece: str) -> None:
         self.html.append(piece)
@@ -204,8 +230,11 @@ class _Page:
         if self.request.value:
             self.value.append(data)
             self.value_length += len(data)
-        if not self.unseen:
-            self.text.add(_SOURCE_SPACE.sub(" ", data))
+        if not self.unseen and not self.veiled:
+            if self.kept:
+                self.text.add_kept(data)
+            else:
+                self.text.add(_SOURCE_SPACE.sub(" ", data))
 
     def push(self, tag: str, attrs: dict[str, str]) -> None:
         want = self.request
@@ -224,18 +253,23 @@ class _Page:
             listed = up.tag in want.context and _any_class(up.cls, want.context[up.tag])
             el.context = up if listed else up.context
         self.pre += 1
-        if tag == "br":
-            self.text.line_break()
-        elif tag in BLOCKS:
-            self.text.edge()
+        style = attrs.get("style", "")
+        el.gone = tag in UNSEEN or "hidden" in attrs or bool(style and _NO_DISPLAY.search(style))
+        el.veiled, el.kept = self.veiled, tag == "pre" or bool(style and _KEPT_SPACE.search(style))
+        if style and (said := _VISIBILITY.search(style)):
+            self.veiled = said[1].lower() != "visible"
+        self.unseen += el.gone
+        self.kept += el.kept
+        if not self.unseen:
+            if tag == "br":
+                if not self.veiled:
+                    self.text.line_break()
+            elif tag in BLOCKS:
+                self.text.edge()
         el.html = tag in want.inner_html and _any_class(el.cls, want.inner_html[tag])
         self.html_open += el.html
         el.marks = (self.text.length, self.value_length, self.html_length)
-        self.unseen += tag in UNSEEN
         self.present = self.present or tag in want.presence
-        self.open_at[tag].append(len(self.stack))
-        if tag in BLOCKS:
-            self.blocks_at.append(len(self.stack))
         self.stack.append(el)
 
     def pop(self) -> None:
@@ -248,17 +282,18 @@ class _Page:
             given = [tag in a and _any_class(el.cls, a[tag]) for a in asked] + [el.html]
             self.rows.append((el, self.post, len(self.stack), [s if g else None for s, g in zip(spans, given)]))
         self.post += 1
-        self.unseen -= tag in UNSEEN
-        self.open_at[tag].pop()
-        if tag in BLOCKS:
-            self.blocks_at.pop()
+        seen = not self.unseen
+        self.unseen -= el.gone
+        self.kept -= el.kept
+        self.veiled = el.veiled
         self.html_open -= el.html
         if self.html_open and tag not in VOID:
             self.add_html(f"</{tag}>")
-        if tag == "td":
-            self.text.add(" ")
-        elif tag in BLOCKS:
-            self.text.edge()
+        if seen:
+            if tag == "td":
+                self.text.add(" ")
+            elif tag in BLOCKS:
+                self.text.edge()
 
     def finished(self) -> Iterator[tuple]:
         """Rows of the elements, in closing order, made one at a time."""
@@ -292,6 +327,86 @@ class _Page:
         except ValueError:
             return href
 
+    def walk(self, root: _Node) -> Iterator[tuple]:
+        """Note what is asked for, in the order of the page."""
+        within: list[tuple[_Node, Iterator]] = [(root, iter(root.children))]
+        while within:
+            node, children = within[-1]
+            for child in children:
+                if isinstance(child, str):
+                    self.add_text(child, raw=node.tag in RAW_TEXT)
+                elif child.tag is None:
+                    if self.html_open:
+                        self.add_html(f"<!--{child.attrs}-->")
+                else:
+                    if child.tag == "base" and "href" in child.attrs and not self.based:  # the first one counts, for all links
+                        self.base, self.based = self.link(child.attrs["href"]), True
+                    self.push(child.tag, child.attrs)
+                    within.append((child, iter(child.children)))
+                    break
+            else:
+                within.pop()
+                if within:
+                    self.pop()
+        return self.finished()
+
+
+class _Node:
+    """An element; a comment has no tag and its text for attributes."""
+
+    __slots__ = ("tag", "attrs", "parent", "children", "place")
+
+    def __init__(self, tag: str | None, attrs):
+        self.tag, self.attrs, self.parent, self.place = tag, attrs, None, -1
+        self.children: list[_Node | str] = []
+
+    def detach(self) -> None:
+        siblings = self.parent.children if self.parent else ()
+        for k in range(len(siblings) - 1, -1, -1):  # nearly always the last one
+            if siblings[k] is self:
+                del siblings[k]
+                return
+
+
+class _Builder:
+    """Markup to a tree, by the rules of the HTML standard that change where things are."""
+
+    def __init__(self, comments: bool):
+        self.root = _Node("", {})
+        self.comments = comments
+        self.stack: list[_Node] = []
+        #: Where in the stack the elements of a tag are, and those that end formatting: innermost last.
+        self.open_at: dict[str, list[int]] = defaultdict(list)
+        self.special_at: list[int] = []
+        #: Formatting elements that are open or were closed from outside; None for the start of a cell.
+        self.formatting: list[_Node | None] = []
+
+    # The stack of open elements.
+
+    def _noted(self, node: _Node, place: int) -> None:
+        node.place = place
+        self.open_at[node.tag].append(place)
+        if node.tag in BLOCKS or node.tag in SCOPES:
+            self.special_at.append(place)
+
+    def pop(self) -> None:
+        node = self.stack.pop()
+        self.open_at[node.tag].pop()
+        if node.tag in BLOCKS or node.tag in SCOPES:
+            self.special_at.pop()
+        node.place = -1
+        if node.tag in MARKERS:
+            while self.formatting and self.formatting.pop() is not None:
+                pass
+
+    def close_down_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.pop()
+
+    def innermost(self, tags: frozenset) -> int:
+        """Where in the stack the innermost of some tags is, -1 if none is open."""
+        return max((at[-1] for tag in tags if (at := self.open_at[tag])), default=-1)
+
     def end_open(self, tags: frozenset, barriers: frozenset) -> None:
         """Close the outermost of ``tags`` that is open inside the nearest barrier."""
         barrier = self.innermost(barriers)
@@ -302,69 +417,232 @@ class _Page:
                 found = min(found, at[bisect_right(at, barrier)])
         self.close_down_to(found)
 
-    def innermost(self, tags: frozenset) -> int:
-        """Where in the stack the innermost of some tags is, -1 if none is open."""
-        return max((at[-1] for tag in tags if (at := self.open_at[tag])), default=-1)
-
-    def close_down_to(self, place: int) -> None:
-        while len(self.stack) > place:
-            self.pop()
+    # Where things go.
+
+    def put(self, child: _Node | str, under: _Node | None = None) -> None:
+        """Append to an element; what may not be in a table goes in front of it."""
+        under = under or (self.stack[-1] if self.stack else self.root)
+        if under.tag in TABLE_CONTEXT and self._is_stray(child):
+            table = self.stack[self.open_at["table"][-1]]
+            under = table.parent
+            for k in range(len(under.children) - 1, -1, -1):  # nearly always the last one
+                if under.children[k] is table:
+                    under.children.insert(k, child)
+                    break
+        else:
+            under.children.append(child)
+        if isinstance(child, _Node):
+            child.parent = under
+
+    @staticmethod
+    def _is_stray(child: _Node | str) -> bool:
+        if isinstance(child, str):
+            return bool(child.strip(" \t\r\n\f"))
+        return child.tag is not None and child.tag not in IN_TABLE
+
+    def insert(self, tag: str, attrs: dict[str, str]) -> _Node:
+        node = _Node(tag, attrs)
+        self.put(node)
+        if tag not in VOID:
+            self._noted(node, len(self.stack))
+            self.stack.append(node)
+            if tag in MARKERS:
+                self.formatting.append(None)
+        return node
+
+    # Formatting elements.
+
+    def add_formatting(self, node: _Node) -> None:
+        """At most three alike since the last cell began."""
+        alike = 0
+        for k in range(len(self.formatting) - 1, max(-1, len(self.formatting) - 16), -1):
+            other = self.formatting[k]
+            if other is None:
+                break
+            if other.tag == node.tag and other.attrs == node.attrs:
+                alike += 1
+                if alike == 3:
+                    del self.formatting[k]
+                    break
+        self.formatting.append(node)
+        if len(self.formatting) > MOST_FORMATTING:
+            first = next((k for k, n in enumerate(self.formatting) if n is not None), 0)
+            del self.formatting[first]
+
+    def reopen(self) -> None:
+        """Open again the formatting elements that were closed from outside."""
+        k = len(self.formatting)
+        while k and self.formatting[k - 1] is not None and self.formatting[k - 1].place < 0:
+            k -= 1
+        for k in range(k, len(self.formatting)):
+            old = self.formatting[k]
+            self.formatting[k] = self.insert(old.tag, old.attrs)
+
+    def _forget(self, node: _Node) -> None:
+        self.formatting = [n for n in self.formatting if n is not node]
+
+    def end_formatting(self, tag: str) -> bool:
+        """The standard's way to end a formatting element; False if it is an end tag like any other."""
+        for _ in range(8):
+            at = len(self.formatting) - 1
+            while at >= 0 and self.formatting[at] is not None and self.formatting[at].tag != tag:
+                at -= 1
+            if at < 0 or self.formatting[at] is None:
+                return False
+            node = self.formatting[at]
+            if node.place < 0:
+                del self.formatting[at]
+                return True
+            if self.innermost(SCOPES) > node.place:
+                return True
+            inner = bisect_right(self.special_at, node.place)
+            if inner == len(self.special_at):
+                self.close_down_to(node.place)
+                self._forget(node)
+                return True
+            self._move_out(node, self.special_at[inner], at)
+        return True
+
+    def _move_out(self, node: _Node, place: int, bookmark: int) -> None:
+        """Take the block at ``place`` out of a formatting element that ends inside it; what it holds stays formatted."""
+        block, low = self.stack[place], node.place
+        above = self.stack[low - 1] if low else self.root
+        kept: list[_Node] = []  # open elements between the two, as copies, innermost first
+        last = block
+        for n, k in enumerate(range(place - 1, low, -1)):
+            old = self.stack[k]
+            listed = next((j for j, f in enumerate(self.formatting) if f is old), -1)
+            if listed >= 0 and n >= 3:
+                del self.formatting[listed]
+                bookmark -= listed < bookmark
+                listed = -1
+            old.place = -1
+            if listed < 0:
+                continue
+            copy = _Node(old.tag, old.attrs)
+            self.formatting[listed] = copy
+            if last is block:
+                bookmark = listed + 1
+            last.detach()
+            copy.children.append(last)
+            last.parent = copy
+            kept.append(copy)
+            last = copy
+        last.detach()
+        self.put(last, above)
+        copy = _Node(node.tag, node.attrs)
+        copy.children, block.children = block.children, [copy]
+        for child in copy.children:
+            if isinstance(child, _Node):
+                child.parent = copy
+        copy.parent = block
+        listed = next(j for j, f in enumerate(self.formatting) if f is node)
+        del self.formatting[listed]
+        self.formatting.insert(bookmark - (listed < bookmark), copy)
+        node.place = -1
+        rest = [*kept[::-1], block, copy, *self.stack[place + 1 :]]
+        for at in [*self.open_at.values(), self.special_at]:
+            del at[bisect_right(at, low - 1) :]
+        del self.stack[low:]
+        for one in rest:
+            self._noted(one, len(self.stack))
+            self.stack.append(one)
+
+    # Tokens.
+
+    def text(self, text: str) -> None:
+        if self.formatting and not (self.stack and self.stack[-1].tag in TABLE_CONTEXT and not text.strip(" \t\r\n\f")):
+            self.reopen()
+        self.put(text)
 
     def start(self, tag: str, source: str) -> None:
-        if tag in TABLE_PARTS and not self.open_at["table"]:
+        in_table = self.open_at["table"]
+        if tag in TABLE_PARTS and not in_table:
             return
         attrs: dict[str, str] = {}
         if source:
             for name, double, single, bare in _ATTRS.findall(source):
                 attrs.setdefault(name.lower(), html_lib.unescape(double or single or bare))
+        if tag == "table" and in_table and self.innermost(MARKERS) < in_table[-1]:
+            self.close_down_to(in_table[-1])  # a table directly in a table ends that one
         if tag in P_ENDERS and self.open_at["p"]:
             self.end_open(frozenset(["p"]), SCOPES)
         if tag in IMPLIED_END:
             self.end_open(*IMPLIED_END[tag])
+        if tag in TABLE_PARTS:  # what stands in front of the table is over
+            context = _TABLE if tag not in _ROWS else _GROUPS | _TABLE if tag == "tr" else TABLE_CONTEXT
+            self.close_down_to(self.innermost(context) + 1)
         top = self.stack[-1].tag if self.stack else ""
         if tag in HEADINGS and top in HEADINGS:
             self.pop()
         if tag in ("tr", "td", "th") and top == "table":
-            self.push("tbody", {})
+            self.insert("tbody", {})
             top = "tbody"
         if tag in ("td", "th") and top in ("tbody", "thead", "tfoot"):
-            self.push("tr", {})
-        if tag == "base" and "href" in attrs and not self.based:  # the first one counts, for all links
-            self.base, self.based = self.link(attrs["href"]), True
-        self.push(tag, attrs)
-        if tag in VOID:
-            self.pop()
+            self.insert("tr", {})
+        if tag == "a":
+            self._end_link()
+        if self.formatting and tag not in UNFORMATTED:
+            self.reopen()
+        node = self.insert(tag, attrs)
+        if tag in FORMATTING:
+            self.add_formatting(node)
+
+    def _end_link(self) -> None:
+        """A link ends the one before it."""
+        k = len(self.formatting) - 1
+        while k >= 0 and self.formatting[k] is not None and self.formatting[k].tag != "a":
+            k -= 1
+        if k < 0 or self.formatting[k] is None:
+            return
+        node = self.formatting[k]
+        self.end_formatting("a")
+        self._forget(node)
+        if node.place >= 0:  # a scope is in between: it stays where it is, but is open no more
+            rest = self.stack[node.place + 1 :]
+            low = node.place
+            for at in [*self.open_at.values(), self.special_at]:
+                del at[bisect_right(at, low - 1) :]
+            del self.stack[low:]
+            node.place = -1
+            for one in rest:
+                self._noted(one, len(self.stack))
+                self.stack.append(one)
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", "")
             return
-        if tag in ("body", "html") or not self.open_at[tag]:
+        if tag in ("body", "html"):
+            return
+        if tag in FORMATTING and self.end_formatting(tag):
+            return
+        if not self.open_at[tag]:
             return
         place = self.open_at[tag][-1]
         if tag in TABLE_PARTS or tag == "table":
             stop = self.innermost(_TABLE)
-        else:
+        elif tag in BLOCKS:
             stop = self.innermost(SCOPES)
-            if tag not in BLOCKS and self.blocks_at:
-                stop = max(stop, self.blocks_at[-1])
+        else:
+            stop = self.special_at[-1] if self.special_at else -1
         if stop <= place:
             self.close_down_to(place)
 
-    def read(self, html: str) -> Iterator[tuple]:
+    def build(self, html: str) -> _Node:
         pos, size, search = 0, len(html), _MARKUP.search
         while pos < size:
             m = search(html, pos)
             if m is None:
-                self.add_text(html[pos:])
+                self.text(html[pos:])
                 break
             if m.start() > pos:
-                self.add_text(html[pos : m.start()])
+                self.text(html[pos : m.start()])
             pos = m.end()
             comment, end, tag, attrs, closed = m.groups()
             if tag is None:
-                if self.html_open and comment is not None:
-                    self.add_html(f"<!--{comment}-->")
+                if self.comments and comment is not None:
+                    self.put(_Node(None, comment))
                 continue
             if not closed:
                 break
@@ -373,19 +651,20 @@ class _Page:
                 self.end(tag)
                 continue
             self.start(tag, attrs)
+            if tag == "pre" and html.startswith("\n", pos):
+                pos += 1
             if tag in RAW_TEXT or tag in RAW_DECODED:
                 close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, pos)
                 stop = close.start() if close else size
-                self.add_text(html[pos:stop], raw=tag in RAW_TEXT)
+                if stop > pos:
+                    self.put(html[pos:stop])
                 pos = stop
-        while self.stack:
-            self.pop()
-        return self.finished()
+        return self.root
 
 
 def page_elements(html: str, url: str, request: NodeRequest) -> Iterator[tuple]:
     """Requested elements of one page, in closing order. The page is read before the first row comes."""
-    return _Page(request, url).read(html)
+    return _Page(request, url).walk(_Builder(bool(request.inner_html)).build(html))
 
 
 _DECLARED = re.compile(rb"<meta[^>]+charset\s*=\s*[\"']?\s*([a-zA-Z0-9_-]+)", re.I)

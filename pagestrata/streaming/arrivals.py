@@ -32,7 +32,7 @@ def _last_done(spark: SparkSession, out_dir: str, stream: str) -> int:
 
 def _release(spark: SparkSession, out_dir: str, stream: str, last: int) -> None:
     """Remove the landed batches up to ``last``."""
-    for kind in ("landed", "landed_ids"):
+    for kind in ("landed", "landed_ids", "landed_failed"):
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{kind}/stream={stream}")
         fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(folder):
@@ -74,6 +74,9 @@ def follow_pages(
         batch = f"stream={stream_id(spark, checkpoint)}/batch={batch_id:012d}"
         pages.select("page_id").write.mode("overwrite").parquet(f"{out_dir}/landed_ids/{batch}")
         explode_nodes(pages, items.REQUEST).write.mode("overwrite").parquet(f"{out_dir}/landed/{batch}")
+        read = spark.read.schema(NODES).parquet(f"{out_dir}/landed/{batch}")
+        if not read.where(F.col("error").isNotNull()).isEmpty():  # their bytes go to the quarantine with the run
+            daily_run.failed_pages(pages, read).write.mode("overwrite").parquet(f"{out_dir}/landed_failed/{batch}")
 
     query = (
         spark.readStream.schema(PAGES)
@@ -98,6 +101,10 @@ def follow_pages(
     check_page_ids(ids)
     with Staging(spark) as staging:
         run_id = f"{_prefix(stream)}{last:012d}"
-        report = daily_run.run_nodes(fresh.drop("batch"), out_dir, run_date(), run_id, staging, labels=labels, strict=True)
+        columns = f"{daily_run.QUARANTINE.simpleString()[7:-1].replace(':', ' ')}, batch string"
+        failed = read_or_empty(spark, f"{out_dir}/landed_failed/stream={stream}", columns).where(is_fresh).drop("batch")
+        report = daily_run.run_nodes(
+            fresh.drop("batch"), out_dir, run_date(), run_id, staging, labels=labels, strict=True, failed=failed
+        )
     _release(spark, out_dir, stream, last)
     return report

@@ -354,3 +354,27 @@ def test_a_failed_run_of_a_stream_is_made_up_for(spark, pages_of, tmp_path, foll
         with pytest.raises(ZeroDivisionError):
             follow()
     assert follow().first().stored == 1
+
+
+def test_quarantine_and_replay(spark, tmp_path, monkeypatch):
+    """Pages that fail are kept as they came; a replay adds only what was missing, and keeps what fails again."""
+    out, acts = str(tmp_path), [page(("Lei 1", "a")), page(("Lei 2", "b")), page(("Lei 3", "c")), "<p>\\ud800</p>"]
+    rows = [(k, "", bytearray(h.encode()), "unicode_escape" if k == 3 else None) for k, h in enumerate(acts)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html binary, charset string")
+
+    def broken(html, url, request):
+        if "Lei 2" in html:
+            raise RuntimeError("no")
+        return page_elements(html, url, request)
+
+    with monkeypatch.context() as m:
+        m.setattr(nodes, "page_elements", broken)
+        first = daily_run.run(pages, out, DAY1, "1", strict=True).first()
+    assert (first.unreadable_pages, first.stored) == (2, 2) and [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 3"]
+    waiting = {r.page_id: r for r in daily_run.quarantined(spark, out).collect()}
+    assert set(waiting) == {1, 3} and bytes(waiting[1].html) == acts[1].encode() and "RuntimeError" in waiting[1].error
+    again = daily_run.replay(spark, out, DAY2, "again").first()
+    assert (again.unreadable_pages, again.stored) == (1, 3)
+    assert [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 3", "Lei 2"]
+    assert [bytes(r.html) for r in daily_run.quarantined(spark, out).collect()] == [acts[3].encode()]
+    assert daily_run.replay(spark, out, DAY2, "third") is None and daily_run.quarantined(spark, out).count() == 1

@@ -1,11 +1,12 @@
 import codecs
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagestrata.plans.sections import extract_sections, request
-from pagestrata.sources import nodes
+from pagestrata.sources import nodes, page_tree
 from pagestrata.sources.nodes import check_page_ids, explode_nodes, numbered, page_outcomes, register_html_nodes
 from pagestrata.sources.page_tree import NodeRequest, decode, page_elements
 from pagestrata.sources.tables import read_page_files
@@ -272,3 +273,94 @@ def test_deep_nesting_takes_linear_time(unit):
 
     seconds(500)
     assert min(seconds(16000) for _ in range(2)) < 8 * max(0.02, min(seconds(4000) for _ in range(2)))
+
+
+def built(html):
+    def shown(node):
+        inner = "".join(c if isinstance(c, str) else shown(c) for c in node.children)
+        attrs = "".join(f" {k}={v}" for k, v in node.attrs.items())
+        return inner if not node.tag else f"<{node.tag}{attrs}>{inner}</{node.tag}>"
+
+    return shown(page_tree._Builder(False).build(html))
+
+
+@pytest.mark.parametrize(
+    "html, tree",
+    [
+        ("<b><p>x</b>y</p>", "<b></b><p><b>x</b>y</p>"),
+        ("<p>1<b>2<i>3</b>4</i>5</p>", "<p>1<b>2<i>3</i></b><i>4</i>5</p>"),
+        ("<b>1<p>2</b>3</p>", "<b>1</b><p><b>2</b>3</p>"),
+        ("<b>1<div>2<i>3</b>4</i>5</div>6", "<b>1</b><div><b>2<i>3</i></b><i>4</i>5</div>6"),
+        ("<div><b>1<p>2</div>3", "<div><b>1<p>2</p></b></div><b>3</b>"),
+        ("<p><b>x<p>y", "<p><b>x</b></p><p><b>y</b></p>"),
+        ("<i>a</b>b</i>c", "<i>ab</i>c"),
+        # of the standard's examples: formatting in tables, and more than three alike
+        (
+            "<table><b><tr><td>aaa</td></tr>bbb</table>ccc",
+            "<b></b><b>bbb</b><table><tbody><tr><td>aaa</td></tr></tbody></table><b>ccc</b>",
+        ),
+        (
+            "<p><b c=x><b c=x><b><b c=x><b c=x><b>X<p>Y<p><b><b c=x><b>Z<p></b></b></b></b></b></b>W",
+            "<p><b c=x><b c=x><b><b c=x><b c=x><b>X</b></b></b></b></b></b></p>"
+            "<p><b c=x><b><b c=x><b c=x><b>Y</b></b></b></b></b></p>"
+            "<p><b c=x><b><b c=x><b c=x><b><b><b c=x><b>Z</b></b></b></b></b></b></b></b></p><p>W</p>",
+        ),
+        ("<table><p>in</p><tr><td>x</table>", "<p>in</p><table><tbody><tr><td>x</td></tr></tbody></table>"),
+        ("<table><tr>a<td>b</td>c</tr>d</table>e", "acd<table><tbody><tr><td>b</td></tr></tbody></table>e"),
+        ("<table> <tr><td><b>x</td><td>y</table>", "<table> <tbody><tr><td><b>x</b></td><td>y</td></tr></tbody></table>"),
+        ("<table><tr><td>1<table><tr><td>2</table>3</table>", None),
+        ("<table><tr><table><tr><td>2</table>", "<table><tbody><tr></tr></tbody></table><table><tbody><tr><td>2</td></tr></tbody></table>"),
+        ("<table><div><tr><td>x</td></tr></div></table>", "<div></div><table><tbody><tr><td>x</td></tr></tbody></table>"),
+        ("<a href=1>x<a href=2>y</a>z", "<a href=1>x</a><a href=2>y</a>z"),
+        ("<a href=1>x<div>y<a href=2>z</div>", "<a href=1>x</a><div><a href=1>y</a><a href=2>z</a></div>"),
+        ("<a href=1>x<table><tr><td><a href=2>y</table>", None),
+        ("<strong><tr>x</strong>", "<strong>x</strong>"),
+    ],
+)
+def test_broken_markup_as_in_the_standard(html, tree):
+    got = built(html)
+    assert tree is None or got == tree
+    closed = built(got)
+    assert tree is None or closed == got or "<b></b>" in got or "c=x" in got or "<strong>" in got
+
+
+def test_any_markup_ends_and_keeps_its_text():
+    rng = random.Random(8)
+    tags = "b i a p div table tr td th ul li span strong caption tbody h1 pre".split()
+    for _ in range(600):
+        parts = [rng.choice([f"<{t}>", f"</{t}>", f"w{k} "]) for k in range(rng.randint(1, 40)) for t in [rng.choice(tags)]]
+        html = "".join(parts)
+        rows = tree(html)
+        assert [r[0] for r in rows if r[0] >= 0] == sorted(r[0] for r in rows if r[0] >= 0)
+        words = [p.strip() for p in parts if p[0] == "w"]
+        root = page_tree._Builder(False).build(html)
+        said, todo = [], [root]
+        while todo:
+            node = todo.pop()
+            said += [w for c in node.children if isinstance(c, str) for w in c.split()]
+            todo += [c for c in node.children if not isinstance(c, str)]
+            assert all(c.parent is node for c in node.children if not isinstance(c, str))
+        assert sorted(said) == sorted(words)
+
+
+def test_text_that_is_not_shown():
+    def text(html):
+        return [r[TEXT] for r in tree(f"<div>{html}</div>") if r[4] == "div"][0]
+
+    assert text("a<span hidden>b</span>c<i style='color:red;DISPLAY : none'>d</i>e") == "ace"
+    assert text("a<b style='visibility:hidden'>b<i style='visibility: visible'>c</i>d</b>e") == "ace"
+    assert text("a<p hidden>b<span>c</span></p>d<span aria-hidden=true>e</span>") == "ade"
+    assert text("a<span style='display:none-such'>b</span>") == "ab"
+    assert text("<table><tr><td>a</td><td hidden>b</td><td>c</td></tr></table>") == "a c"
+    assert text("x<pre>\n  a  b\n\tc </pre>y") == "x\n  a  b\n\tc \ny"
+    assert text("<span style='white-space:pre'>a  b</span>  c") == "a  b c"
+
+
+def test_formatted_cells_give_their_items(pages_of):
+    """A bold text that is never closed reaches over the cells of a table, and a stray one stands before it."""
+    html = (
+        "<table><strong>ISSQN - SP - Um</strong><tr><td><strong>ISSQN - SP - Um</td></tr>"
+        "<tr><td class=txt_cinza><b><strong>Lei 1</b><br>texto</strong></td></tr></table>"
+    )
+    rows = extract_sections(explode_nodes(pages_of(html), request()))
+    assert rows.count() >= 1
