@@ -56,6 +56,8 @@ SHARDS_A_BUCKET, SHARDS_A_CELL = 4, 2
 #: Buckets and cells are numbered in 16 bits, files of the stored shards are bounded too.
 MOST_BUCKETS = 1 << 16
 MOST_FILES = 20_000
+#: Bytes of an anchor's hash that go to its bucket. Two anchors that share them cost a look at their contexts, nothing else.
+KEY_BYTES = 5
 FAR = np.iinfo(np.int64).max
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,8 +116,9 @@ def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket in the high 16 bits, 48 bits of the hash below."""
-    return ((hashes & np.uint64(0xFFFF)) % np.uint64(buckets) << np.uint64(48)) | (hashes >> np.uint64(16))
+    """Bucket in the high bits, KEY_BYTES of the hash below; not its highest ones, which are small in anchors."""
+    low = hashes >> np.uint64(16) & np.uint64((1 << 8 * KEY_BYTES) - 1)
+    return ((hashes & np.uint64(0xFFFF)) % np.uint64(buckets) << np.uint64(8 * KEY_BYTES)) | low
 
 
 def _texts(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
@@ -149,8 +152,8 @@ def _anchor_rows(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
         keys = np.unique(_keys(_own_contexts(*_texts(table))[3], buckets))
-        cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(48))
-        raw = keys.view(np.uint8).reshape(-1, 8)[:, :6]  # without the bucket, on any little-endian machine
+        cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(8 * KEY_BYTES))
+        raw = keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]  # without the bucket, on any little-endian machine
         some = np.flatnonzero(np.diff(cuts))
         return pa.table(
             {
@@ -166,9 +169,9 @@ def _anchor_rows(buckets: int):
 def _met_elsewhere(table: pa.Table) -> pa.Table:
     """For each shard's anchors in a bucket, a bit: does another shard have it?"""
     raw = table["keys"].to_pylist()
-    sizes = [len(x) // 6 for x in raw]
+    sizes = [len(x) // KEY_BYTES for x in raw]
     keys = np.zeros((sum(sizes), 8), np.uint8)
-    keys[:, :6] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 6)
+    keys[:, :KEY_BYTES] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, KEY_BYTES)
     _, inverse, count = np.unique(keys.view(np.uint64).ravel(), return_inverse=True, return_counts=True)
     met = count[inverse] > 1
     ends = np.cumsum(sizes)
@@ -213,7 +216,7 @@ def _cell_rows(buckets: int, cells: int):
         first, count, anchor, hashes, ids = _own_contexts(table, data, ends)
         keys, inverse, times = np.unique(_keys(hashes, buckets), return_inverse=True, return_counts=True)
         goes = times > 1
-        cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(48))
+        cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(8 * KEY_BYTES))
         for b, bits in zip(right["bucket"].to_pylist(), right["bits"].to_pylist()):
             n = cuts[b + 1] - cuts[b]
             goes[cuts[b] : cuts[b + 1]] |= np.unpackbits(np.frombuffer(bits, np.uint8))[:n].astype(bool)
@@ -240,7 +243,8 @@ def _cell_rows(buckets: int, cells: int):
             for k, n, b in zip(some, sizes[some], stops[some])
         ]
         # Where the shard's own contexts are; goes to no cell.
-        out.append((part, -1, 0, len(at), first.astype("<u4").tobytes() + number[inverse].astype("<u4").tobytes(), least.tobytes(), extent.tobytes()))
+        places = np.stack([np.diff(first, prepend=0), number[inverse]]).astype("<u4")
+        out.append((part, -1, 0, len(at), pack(places.tobytes()), pack(least.tobytes()), pack(extent.tobytes())))
         return pa.table([pa.array(x, t) for x, t in zip(zip(*out), CELL_SCHEMA.types)], schema=CELL_SCHEMA)
 
     return run
@@ -340,13 +344,15 @@ def _removed(data: np.ndarray, table: pa.Table, ends: np.ndarray, marks: pa.Tabl
     """Which bytes of a shard go."""
     edge = np.zeros(len(data) + 1, np.int8)
     rows = marks.to_pylist()
+    unpack = zstandard.ZstdDecompressor().decompress
     for own in (r for r in rows if r["columns"] is not None):
-        extent = np.frombuffer(own["extent"], np.uint8).reshape(-1, 2).astype(np.int64) - 1
-        least = np.repeat(np.frombuffer(own["ids"], np.int64)[:, None], LEFT + 1, axis=1)
+        extent = np.frombuffer(unpack(own["extent"]), np.uint8).reshape(-1, 2).astype(np.int64) - 1
+        least = np.repeat(np.frombuffer(unpack(own["ids"]), np.int64)[:, None], LEFT + 1, axis=1)
         for r in (r for r in rows if r["columns"] is None):
             for s in np.frombuffer(r["least"], SPAN):
                 least[r["start"] + int(s["context"]), s["low"] : s["high"] + 1] = s["least"]
-        first, number = np.frombuffer(own["columns"], "<u4").reshape(2, -1).astype(np.int64)
+        gaps, number = np.frombuffer(unpack(own["columns"]), "<u4").reshape(2, -1).astype(np.int64)
+        first = np.cumsum(gaps)
         ids = _with_id(table, ends, first)[0]
         column = np.arange(LEFT + 1)
         for a in range(0, len(first), ROWS):
