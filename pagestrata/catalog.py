@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pagestrata.functions import dates, text
 from pagestrata.operators import axes, dedupe, pick
 from pagestrata.operators.carry import carry
+from pagestrata.operators.paths import Path, nodes_at
 from pagestrata.plans import cards as card_plan
 from pagestrata.plans import page_text as page_plan
 from pagestrata.plans import daily_run, report, sections, selection
@@ -1094,6 +1095,18 @@ def q43(spark, sf):
     )
 
 
+@query(
+    "q44_location_paths",
+    f"SELECT page_id, unnest({LI_TEXTS_SQL}) AS text FROM pages",
+)
+def q44(spark, sf):
+    """Links that stand alone in items of lists, found by steps from the top of the page."""
+    tags = ("ul", "li", "a")
+    request = NodeRequest(elements=dict.fromkeys(tags, ()), text={"a": ()}, attributes=frozenset({"href"}))
+    link = Path().descendant("ul").child("li", having=Path().parent("ul")).child("a", where=F.col("href").isNotNull(), nth=1)
+    return nodes_at(explode_nodes(_pages(spark, sf), request), link).select("page_id", "text")
+
+
 @query(
     "q45_broken_markup",
     f"""
