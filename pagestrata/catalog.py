@@ -102,6 +102,7 @@ def q01(spark, sf):
     return _documents(spark, sf).select("doc_id", text.norm_text("text").alias("norm"))
 
 
+# The tags that are dropped and those that end a line.
 @query(
     "q02_clean_html_text",
     rf"""
@@ -118,6 +119,7 @@ def q02(spark, sf):
     return _pages(spark, sf).select("page_id", text.clean_html_text("html").alias("clean"))
 
 
+# The word that begins a header, and how its parts are set off.
 HEADER_TEXT = """
     CASE c_custkey % 4
       WHEN 0 THEN concat('  ISSQN - ', lower(substr(c_mktsegment, 1, 2)), ' -  ', c_name, ' ')
@@ -126,6 +128,7 @@ HEADER_TEXT = """
       ELSE concat('Lei ISSQN - ', substr(c_mktsegment, 1, 2), ' - ', c_name) END"""
 
 
+# The pattern of a header.
 @query(
     "q03_parse_header",
     rf"""
@@ -153,6 +156,7 @@ def _title_sql(day: str) -> str:
         ELSE concat({day}, ' ret. 99/99.2025 (DOM)') END)"""
 
 
+# The patterns of a date and how far from the end it is looked for.
 @query(
     "q04_pub_date_tail",
     rf"""
@@ -525,6 +529,7 @@ def q22(spark, sf):
     )
 
 
+# The wording of the report.
 @query(
     "q23_run_report",
     f"""
