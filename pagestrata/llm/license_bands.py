@@ -11,8 +11,11 @@ holds all of it. Window and template then share at least
 probability that ``guarantee`` gives. Block minima of one size are taken from
 those of the size below, so all sizes together cost about twice the first.
 
-A window that agrees in a band with a template is only a candidate: it counts
-if it really holds the wanted share of the template's shingles.
+Blocks are counted from the first shingle of each text, so no other text matters.
+A window that agrees in a band only names a candidate: the whole text is then
+looked through for stretches that really hold the wanted share of the template's
+shingles. A stretch may be ``REACH`` times as long as the template, so words that
+were put in, left out or changed do no harm while the share is met.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from pagestrata.llm.words import WordHashes, alnum_words, map_texts, shingles
 #: Bands of one MinHash each.
 BANDS = 40
 SHINGLE, THRESHOLD = 5, 0.8
+#: Longest stretch that can be one match, in lengths of the template.
+REACH = 4
 #: Words searched together.
 TOGETHER = 100_000
 #: Size of the tables that tell at a glance which MinHashes no template has; a power of two.
@@ -85,6 +90,35 @@ class Template:
     name: str
     shingles: np.ndarray
     block: int
+    #: shingles that the template itself repeats
+    repeated: set[int]
+
+
+@dataclass
+class Level:
+    """Blocks of one size, counted from the start of each text."""
+
+    block: int
+    text: np.ndarray
+    #: the one or two blocks of half the size that make up each block; None at the lowest level
+    pairs: tuple[np.ndarray, np.ndarray] | None
+    #: whether the next block, and the one after it, is of the same text
+    same: list[np.ndarray]
+
+
+def _levels(sizes: np.ndarray, most: int) -> list[Level]:
+    out, block, pairs = [], 1, None
+    while True:
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        out.append(Level(block, text, pairs, [text[lag:] == text[:-lag] for lag in (1, 2)]))
+        if block >= most:
+            return out
+        halves = -(-sizes // 2)
+        starts, ends = np.cumsum(sizes) - sizes, np.cumsum(sizes)
+        within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
+        first = np.repeat(starts, halves) + 2 * within
+        pairs = (first, np.minimum(first + 1, np.repeat(ends, halves) - 1))
+        sizes, block = halves, 2 * block
 
 
 class Library:
@@ -95,9 +129,9 @@ class Library:
         self.a, self.b = _factors(bands)
         cache, self.templates = WordHashes(), []
         for name, text in templates.items():
-            found = np.unique(shingles(cache.of(alnum_words(text.encode())), SHINGLE))
+            found, times = np.unique(shingles(cache.of(alnum_words(text.encode())), SHINGLE), return_counts=True)
             if len(found):
-                self.templates.append(Template(name, found, block_of(len(found))))
+                self.templates.append(Template(name, found, block_of(len(found)), set(np.flatnonzero(times > 1).tolist())))
         self.sizes = sorted({t.block for t in self.templates})
         self.bits, self.values = {}, {}
         for size in self.sizes:
@@ -110,59 +144,80 @@ class Library:
                 bitmap[[v % BITMAP for v in of]] = True
                 self.bits[size, k], self.values[size, k] = bitmap, of
 
-    def candidates(self, h: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(template, first, end)`` of windows of shingles that agree with a template in a band."""
+    def candidates(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
+        """``(text, template)`` where a window of the text's shingles agrees with the template in a band."""
+        levels = _levels(np.array([len(t) for t in texts], np.int64), self.sizes[-1])
+        h = np.concatenate(texts)
         out = set()
         for k in range(self.bands):
-            low, block = _min_hash(h, self.a[k], self.b[k]), 1
-            while True:
-                if block in self.sizes:
-                    n = len(low)  # windows of up to three blocks, from each block on
-                    least = low.copy()
-                    for lag in (1, 2):
-                        if n > lag:
-                            least[: n - lag] = np.minimum(least[: n - lag], low[lag:])
-                    for w in np.flatnonzero(self.bits[block, k][least & np.uint32(BITMAP - 1)]):
-                        for t in self.values[block, k].get(int(least[w]), ()):
-                            out.add((t, int(w) * block, min(len(h), (int(w) + 3) * block)))
-                if block >= self.sizes[-1]:
-                    break
-                odd = low[-1:] if len(low) % 2 else low[:0]
-                low = np.r_[np.minimum(low[0 : len(low) // 2 * 2 : 2], low[1 : len(low) // 2 * 2 : 2]), odd]
-                block *= 2
+            low = _min_hash(h, self.a[k], self.b[k])
+            for level in levels:
+                if level.pairs is not None:
+                    low = np.minimum(low[level.pairs[0]], low[level.pairs[1]])
+                if level.block not in self.sizes:
+                    continue
+                least = low.copy()  # windows of up to three blocks of a text, from each block on
+                for lag, same in enumerate(level.same, 1):
+                    at = np.flatnonzero(same)
+                    least[at] = np.minimum(least[at], low[at + lag])
+                for w in np.flatnonzero(self.bits[level.block, k][least & np.uint32(BITMAP - 1)]):
+                    for t in self.values[level.block, k].get(int(least[w]), ()):
+                        out.add((int(level.text[w]), t))
         return out
 
     def matches(self, texts: list[np.ndarray]) -> list[list[tuple[str, int, int, float]]]:
-        """``(template, first word, end, containment)`` in each text's words; of overlapping matches the best.
-
-        The texts' shingles are searched in one row. A window across the end of a
-        text is looked at in each of the texts that it touches.
-        """
+        """``(template, first word, end, containment)`` in each text's words, by place."""
         per_text = [shingles(w, SHINGLE) for w in texts]
-        starts = np.cumsum([0, *map(len, per_text)])
-        found: list[set] = [set() for _ in texts]
-        h = np.concatenate(per_text) if texts else np.array([], np.uint64)
-        for t, first, end in sorted(self.candidates(h)) if len(h) and self.templates else ():
-            want = self.templates[t].shingles
-            for k in range(int(np.searchsorted(starts, first, side="right")) - 1, int(np.searchsorted(starts, end))):
-                lo, hi = max(first, int(starts[k])), min(end, int(starts[k + 1]))
-                hit = np.flatnonzero(np.isin(h[lo:hi], want))
-                share = len(np.unique(h[lo:hi][hit])) / len(want)
-                if len(hit) and share >= self.threshold:
-                    at = lo - int(starts[k])
-                    width = min(SHINGLE, len(texts[k]))
-                    found[k].add((t, at + int(hit[0]), at + int(hit[-1]) + width, share))
-        return [self._best(f) for f in found]
-
-    def _best(self, found: set) -> list[tuple[str, int, int, float]]:
-        best: list[tuple[int, int, int, float]] = []
-        for f in sorted(found, key=lambda f: (f[0], f[1], -f[3], f[2])):
-            if best and best[-1][0] == f[0] and f[1] < best[-1][2]:
-                if f[3] > best[-1][3]:
-                    best[-1] = f
-            else:
-                best.append(f)
-        return [(self.templates[t].name, a, b, s) for t, a, b, s in sorted(best, key=lambda f: (f[1], f[0]))]
+        found: list[list] = [[] for _ in texts]
+        if self.templates and any(map(len, per_text)):
+            for k, t in sorted(self.candidates(per_text)):
+                width = min(SHINGLE, len(texts[k]))
+                template = self.templates[t]
+                found[k] += [(a, b + width, template.name, share) for a, b, share in self.stretches(per_text[k], template)]
+        return [[(name, a, b, share) for a, b, name, share in sorted(f)] for f in found]
+
+    def stretches(self, h: np.ndarray, template: Template) -> list[tuple[int, int, float]]:
+        """``(first, last, containment)`` of stretches with enough of a template's shingles, none inside another.
+
+        The first stretch that holds enough is made as short as it can be, then it
+        goes on as long as more of the template follows. A shingle that returns
+        begins another copy, unless the one at the front stands further off.
+        """
+        m = len(template.shingles)
+        number = np.minimum(np.searchsorted(template.shingles, h), m - 1)
+        place = np.flatnonzero(template.shingles[number] == h)
+        number, place = number[place].tolist(), place.tolist()
+        need, reach = int(np.ceil(self.threshold * m - 1e-9)), REACH * m
+        out, held = [], {}
+        left = right = 0
+
+        def drop():
+            nonlocal left
+            held[number[left]] -= 1
+            if not held[number[left]]:
+                del held[number[left]]
+            left += 1
+
+        while right < len(place):
+            held[number[right]] = held.get(number[right], 0) + 1
+            right += 1
+            while place[right - 1] - place[left] >= reach:
+                drop()
+            if len(held) < need:
+                continue
+            while held[number[left]] > 1:
+                drop()
+            while right < len(place) and len(held) < m and place[right] - place[left] < reach:
+                n = number[right]
+                if n in held and n not in template.repeated:
+                    if n != number[left] or place[left + 1] - place[left] <= place[right] - place[right - 1]:
+                        break
+                    drop()
+                held[n] = held.get(n, 0) + 1
+                right += 1
+            out.append((place[left], place[right - 1], len(held) / m))
+            left, held = right, {}
+        return out
 
 
 def scan_licenses(

@@ -15,15 +15,15 @@ def grams(words, size=5):
 
 
 def brute(text, templates=lb.TEMPLATES):
-    """Templates of which some stretch of the text as long as their windows holds enough shingles."""
+    """Templates of which some stretch of the text, up to REACH times as long, holds enough shingles."""
     words = alnum_words(text.encode())
     out = set()
     for name, t in templates.items():
         want = grams(alnum_words(t.encode()))
-        width = 3 * lb.block_of(len(want))
-        found = [words[k : k + 5] for k in range(max(1, len(words) - 4))]
+        width = lb.REACH * len(want)
+        found = [tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))]
         for k in range(max(1, len(found) - width + 1)):
-            if len(want & {tuple(x) for x in found[k : k + width]}) >= lb.THRESHOLD * len(want):
+            if len(want & set(found[k : k + width])) >= lb.THRESHOLD * len(want):
                 out.add(name)
                 break
     return out
@@ -60,13 +60,58 @@ def test_many_texts_together():
     found = lb.Library(lb.TEMPLATES).matches([cache.of(alnum_words(t.encode())) for t in texts])
     for text, f in zip(texts, found):
         got, want = {x[0] for x in f}, brute(text)
-        assert want <= got  # brute force looks at stretches of one length only
+        assert want == got
         words = alnum_words(text.encode())
         for name, a, b, share in f:
             t = grams(alnum_words(lb.TEMPLATES[name].encode()))
             assert share >= lb.THRESHOLD and abs(len(t & grams(words[a:b])) / len(t) - share) < 1e-9
 
 
+def hashed(*texts):
+    cache = WordHashes()
+    return [cache.of(alnum_words(t.encode())) for t in texts]
+
+
+def test_neighbours_do_not_matter():
+    rng = random.Random(5)
+    words = lb.TEMPLATES["MIT-grant"].split()
+    text = " ".join([noise(rng, 11), *words[:32], noise(rng, 30), *words[32:], noise(rng, 9)])
+    library = lb.Library(lb.TEMPLATES)
+    alone = library.matches(hashed(text))[0]
+    assert [f[0] for f in alone] == ["MIT-grant"]
+    for n in range(64):
+        before, after = noise(rng, n), noise(rng, 64 - n)
+        assert library.matches(hashed(before, text, after))[1] == alone
+    assert library.matches(hashed(text, ""))[0] == library.matches(hashed("", text))[1] == alone
+
+
+@pytest.mark.parametrize("name", ["MIT-grant", "GPL-header", "Apache-2.0-header", "MPL-2.0-header"])
+def test_recall_with_edits(name):
+    """Whatever holds enough shingles is found: words put in at one place, changed, or left out."""
+    rng = random.Random(name)
+    library, texts = lb.Library(lb.TEMPLATES), []
+    for _ in range(60):
+        for n in (0, 10, 30, 60):
+            words = lb.TEMPLATES[name].split()
+            at = rng.randrange(len(words))
+            texts.append(" ".join([noise(rng, rng.randint(0, 70)), *words[:at], noise(rng, n), *words[at:], noise(rng, 70)]))
+        words = lb.TEMPLATES[name].split()
+        words[rng.randrange(len(words))] = "changed"
+        del words[rng.randrange(len(words))]
+        texts.append(noise(rng, rng.randint(0, 70)) + " " + " ".join(words))
+    found = library.matches(hashed(*texts))
+    want = [name in brute(t) for t in texts]
+    got = [name in {f[0] for f in x} for x in found]
+    assert sum(want) > 200 and got == want
+
+
+def test_copies_in_a_row_are_told_apart():
+    text = lb.TEMPLATES["GPL-header"]
+    n = len(alnum_words(text.encode()))
+    found = [f for f in lb.Library(lb.TEMPLATES).matches(hashed(" ".join([text] * 3)))[0] if f[0] == "GPL-header"]
+    assert found == [("GPL-header", k * n, (k + 1) * n, 1.0) for k in range(3)]
+
+
 def test_clean_texts_match_nothing():
     rng = random.Random(8)
     cache = WordHashes()
