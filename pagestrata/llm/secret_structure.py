@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 
@@ -35,14 +36,21 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "pem", "der", "ssh")
 
 # Each starts where its run of characters does and never goes back, so long runs cost no more than others.
-JWT = re.compile(r"(?<![\w-])e[A-Za-z0-9_-]{7,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*+")  # "{" encodes to "e"
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----\s+([A-Za-z0-9+/=\s]+)-----END \1-----")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])e[A-Za-z0-9_-]{7,}+\.[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]*+")  # "{" encodes to "e"
+# Line ends may be written as a backslash and a letter; a few lines of headers may come first.
+ARMOUR = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(?:\s|\\+[nr])*+((?:[A-Za-z][A-Za-z-]*+:\x20[^\n\\]*+(?:\s|\\+[nr])++){0,8}+)"
+    r"((?:[A-Za-z0-9+/=\s]|\\++[nr])++)-----END \1-----"
+)
+BREAKS = re.compile(r"\s|\\+[nr]")
+#: What an encrypted key says in its headers; its body is a whole number of cipher blocks.
+ENCRYPTED = re.compile(r"Proc-Type:\x204,ENCRYPTED.*?DEK-Info:\x20[A-Z0-9-]+,[0-9A-Fa-f]{16,}", re.DOTALL)
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{64,}+={0,2}")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}")
+NEXT_LINE = re.compile(r"(?:\r?\n|\\r\\n|\\n)[\x20\t]*+([A-Za-z0-9+/_-]++={0,2})")
 HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{96,}+")
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 SSH_MAGIC = b"openssh-key-v1\0"
-#: Nesting of DER that is followed.
-DEPTH = 16
 
 
 def unbase64(text: str, url: bool = False) -> bytes | None:
@@ -73,33 +81,33 @@ def signed_token(candidate: str) -> bool:
     return algorithm.lower() == "none" or len(unbase64(signature, url=True) or b"") >= 16
 
 
-def der_items(data: bytes, depth: int = 0) -> list[tuple[int, int]] | None:
+def der_items(data: bytes) -> list[tuple[int, int]] | None:
     """``(tag, length)`` of every primitive in DER that fills ``data`` exactly; None if it is not that."""
-    out, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data) or depth > DEPTH:
+    out, at, ends = [], 0, [len(data)]
+    while True:
+        while ends and at == ends[-1]:
+            ends.pop()
+        if not ends:
+            return out
+        if at + 2 > ends[-1]:
             return None
         tag, length = data[at], data[at + 1]
         at += 2
         if length & 0x80:
             more = length & 0x7F
-            if not 1 <= more <= 4 or at + more > len(data):
+            if not 1 <= more <= 4 or at + more > ends[-1]:
                 return None
             length = int.from_bytes(data[at : at + more], "big")
             at += more
             if length < 0x80 or length >> 8 * (more - 1) == 0:  # not the shortest form
                 return None
-        if at + length > len(data):
+        if at + length > ends[-1]:
             return None
         if tag & 0x20:
-            inner = der_items(data[at : at + length], depth + 1)
-            if inner is None:
-                return None
-            out += inner
+            ends.append(at + length)
         else:
             out.append((tag, length))
-        at += length
-    return out
+            at += length
 
 
 def der_key(data: bytes | None) -> bool:
@@ -150,27 +158,75 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2], s[1]))
 
 
+def decodings(lines: list[str]) -> list[bytes]:
+    """What lines, joined, may stand for: hex, base64, base64 for addresses."""
+    text, out = "".join(lines), []
+    if len(text) >= 96 and len(text) % 2 == 0 and HEX_ANY.fullmatch(text):
+        out.append(bytes.fromhex(text))
+    if len(text) >= 64:
+        out += [unbase64(text, url=u) for u in ((True,) if "-" in text or "_" in text else (False,))]
+    return [d for d in out if d]
+
+
+def key_kind(data: bytes | None) -> int | None:
+    return 5 if der_key(data) else 6 if ssh_key(data) else None
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int, int]]:
+    """Keys in base64 or hex over lines of one width, of which the last may be shorter; or on one line."""
+    out, done = [], 0
+    for m in RUN.finditer(text):
+        if m.start() < done:
+            continue
+        lines, ends, whole = [m[0]], [m.end()], "=" not in m[0]
+        while whole:
+            more = NEXT_LINE.match(text, ends[-1])
+            if not more or len(more[1]) > len(lines[0]):
+                break
+            lines.append(more[1])
+            ends.append(more.end())
+            whole = len(more[1]) == len(lines[0]) and "=" not in more[1]
+        # The last, shorter line may be the first word of what follows.
+        counts = [n for n in (len(lines), len(lines) - 1) if n]
+        found = next(((n, k) for n in counts for k in map(key_kind, decodings(lines[:n])) if k), None)
+        if found:
+            out.append((m.start(), ends[found[0] - 1], found[1]))
+        done = ends[found[0] - 1] if found else ends[counts[-1] - 1]
+    return out
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
-    """``(start, end, kind)`` of the candidates whose structure confirms them."""
+    """``(start, end, kind)`` of the candidates whose structure confirms them.
+
+    Keys in armour may have headers and escaped line ends; bare ones may be
+    wrapped over lines of equal width and use either alphabet of base64.
+    """
     out = []
     if text.count(".") >= 2:
         out += [(*m.span(), 3) for m in JWT.finditer(text) if signed_token(m[0])]
-    armoured = []
+    taken = []
     if "-----BEGIN" in text:
         for m in ARMOUR.finditer(text):
-            data = unbase64("".join(m[2].split()))
-            if der_key(data) or ssh_key(data):
-                armoured.append((*m.span(), 4))
-    out += armoured
-    bare = [(m.span(), unbase64(m[0])) for m in BASE64.finditer(text)]
-    bare += [(m.span(), bytes.fromhex(m[0])) for m in HEX_ANY.finditer(text) if len(m[0]) % 2 == 0]
-    for (start, end), data in bare:
-        if any(a <= start and end <= b for a, b, _ in armoured):
-            continue
-        if der_key(data):
-            out.append((start, end, 5))
-        elif ssh_key(data):
-            out.append((start, end, 6))
+            data = unbase64(BREAKS.sub("", m[3]))
+            if key_kind(data) or data and len(data) >= 32 and len(data) % 8 == 0 and ENCRYPTED.search(m[2]):
+                taken.append((*m.span(), 4))
+    bare = wrapped_keys(text)
+    for pattern in (BASE64, HEX_ANY):
+        for m in pattern.finditer(text):
+            if pattern is HEX_ANY:
+                kind = key_kind(bytes.fromhex(m[0])) if len(m[0]) % 2 == 0 else None
+            else:
+                kind = key_kind(unbase64(m[0]))
+            if kind:
+                bare.append((*m.span(), kind))
+    # Widest first; what lies inside a key is not another one.
+    starts, reach = [], []
+    for span in sorted(taken) + sorted(set(bare), key=lambda s: (s[0] - s[1], s)):
+        at = bisect.bisect_right(starts, span[0])
+        if span[2] == 4 or not at or reach[at - 1] < span[1]:
+            starts.insert(at, span[0])
+            reach.insert(at, span[1])
+            out.append(span)
     return sorted(set(out), key=lambda s: (s[0], s[2], s[1]))
 
 

@@ -2,6 +2,7 @@ import base64
 import json
 import random
 import re
+import time
 
 import pytest
 
@@ -87,7 +88,11 @@ def test_nested_lengths():
     deep = b""
     for _ in range(40):
         deep = der(0x30, deep)
-    assert ss.der_items(deep) is None
+    assert ss.der_items(deep) == [] and not ss.der_key(deep)
+    held = der(4, RNG.randbytes(40))
+    for _ in range(5000):
+        held = der(0x30, held)
+    assert ss.der_items(held) == [(4, 40)] and ss.der_key(held)
 
 
 def test_openssh_container():
@@ -108,3 +113,38 @@ def test_table(spark):
         "3": (f"hex:0:{n}", f"der:0:{n}"),
     }
     assert ss.find_secrets(docs.limit(0)).collect() == []
+
+
+HEADED = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+HEADED += "\n".join(re.findall(".{1,64}", base64.b64encode(RNG.randbytes(640)).decode())) + "\n-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n", "\\n", "\n    "])
+@pytest.mark.parametrize("width", [64, 76])
+def test_wrapped_keys(ends, width):
+    body = ends.join(re.findall(f".{{1,{width}}}", B64))
+    for text in (f"x {body} y", f"é\n{body}", body + "\n\nwords"):
+        (span,) = ss.confirmed_spans(text)
+        assert (text[span[0] : span[1]], ss.KINDS[span[2]]) == (body, "der")
+    hexed = ends.join(re.findall(f".{{1,{width}}}", KEY.hex()))
+    (span,) = ss.confirmed_spans(f"x {hexed} y")
+    assert span == (2, 2 + len(hexed), ss.KINDS.index("der"))
+
+
+def test_keys_as_they_are_written():
+    kinds = lambda text: [ss.KINDS[k] for *_, k in ss.confirmed_spans(text)]
+    escaped = '{"private_key": "' + PEM.replace("\n", "\\n") + '"}'
+    assert kinds(escaped) == ["pem"] and kinds(HEADED) == ["pem"]
+    assert kinds(HEADED.replace("\n", "\\n")) == ["pem"]
+    assert kinds(HEADED.replace("DEK-Info", "Comment")) == []
+    assert kinds("k " + url(KEY)) == ["der"] and kinds("ã" + TOKEN) == ["jwt"]
+    assert kinds(f"{B64}\n{B64}\n{PEM}") == ["der", "der", "pem"]
+
+
+@pytest.mark.parametrize("fill", [" ", "\n", "A", "0", "\\", "\\n", "-----BEGIN RSA PRIVATE KEY-----\n", "A: b\n", "eyJ.", "-", "A" * 64 + "\n", "ab "])
+def test_long_fillers_cost_no_more_than_others(fill):
+    n = 10_000_000
+    text = "-----BEGIN RSA PRIVATE KEY-----" + fill * (n // len(fill))
+    start = time.process_time()
+    assert ss.confirmed_spans(text) == []
+    assert time.process_time() - start < 8
