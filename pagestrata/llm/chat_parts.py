@@ -85,6 +85,7 @@ class Flattener:
     tokens: int = 0
     turn: int = -1
     learn: bool = False
+    run: list[str] = field(default_factory=list)
 
     def write(self, text: str) -> None:
         self.out.append(text)
@@ -96,22 +97,28 @@ class Flattener:
         self.write(f"{TURN}{escape_role(role)}\n")
 
     def end(self) -> None:
+        self.flush()
         self.write(f"{END}\n")
 
+    def flush(self) -> None:
+        """Neighbouring texts are escaped as one, so that none can begin a control string that the next one ends."""
+        text, start = "".join(self.run), self.length
+        self.run.clear()
+        self.write(escape(text))
+        self.tokens += self.count(text)
+        if self.learn and text:
+            self.loss.append({"start": start, "stop": self.length})
+
     def visit(self, part: dict | None) -> None:
         kind = (part or {}).get("kind") or "text"
         if part is not None:
             getattr(self, f"visit_{kind}" if kind in ("text", *KINDS) else "visit_other")(part)
 
     def visit_text(self, part: dict) -> None:
-        text = part["text"] or ""
-        start = self.length
-        self.write(escape(text))
-        self.tokens += self.count(text)
-        if self.learn and text:
-            self.loss.append({"start": start, "stop": self.length})
+        self.run.append(part["text"] or "")
 
     def attach(self, kind: str, part: dict, tokens: int) -> None:
+        self.flush()
         n = len(self.attachments)
         self.attachments.append({"n": n, "kind": kind, "ref": part["ref"], "turn": self.turn, "tokens": tokens})
         self.tokens += tokens
