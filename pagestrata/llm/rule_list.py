@@ -201,8 +201,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull())
     known = bounded_sample(known.groupBy(F.col(id_col).alias("id")).agg(F.min(label).alias("label")), "id", SAMPLE_ROWS)
-    picked = docs.select(id_col, text).join(F.broadcast(known), F.col(id_col) == F.col("id")).select("id", "label", text)
-    rows = measures(picked, text).where(~base_failed()).select("row.id", "row.label", "out.*")
+    named = docs.select(F.col(id_col).alias("of"), F.col(text).alias("body"))
+    picked = named.join(F.broadcast(known), F.col("of") == F.col("id")).select("id", "label", "body")
+    rows = measures(picked, "body").where(~base_failed()).select("row.id", "row.label", "out.*")
     rows = rows.orderBy(F.xxhash64(F.lit("fit"), "id"), *COUNTS).limit(SAMPLE_ROWS).toPandas()
     if rows["label"].nunique() < 2:
         return []
