@@ -167,14 +167,16 @@ def reshard(
     The old shard is the group's hash by ``old_shards``, groups are equal texts
     (null is one more), and new shards get equal shares of the bytes unless
     ``capacity`` says otherwise. A group stays in one shard unless it weighs more
-    than 1/64 of all bytes. Sizes are near equal: heavy blocks are dealt out
+    than 1/64 of all bytes; then its rows are told apart by id, and by number where
+    many have no id or the same one. Ids can be of any type. Sizes are near equal: heavy blocks are dealt out
     first, and the many light ones, about 1/2048 of all bytes, even them out. Slots count the rows of a shard from 0. Repeated rows
     each have a slot; empty tables have none.
     """
-    rows = keyed(docs, F.col(text), F.coalesce(F.col(id_col), F.lit(0)))
+    rows = keyed(docs, F.col(text), F.col(id_col))
     old = F.pmod(F.shiftrightunsigned("g", 40), F.lit(old_shards)).cast("int")
     rows = rows.withColumn("size", text_bytes(f"row.{text}")).withColumn("old", old)
     slim = staging.store(rows.select("old", "g", "r", "size"), "sizes")
+    rows, slim = tell_apart(rows, slim, staging)
     plan = Plan(slim, old_shards, capacity or [1.0] * new_shards, staging)
     block = [*plan._names(), "file"]
     # Slots within a block go by part; the parts' counts come from the slim table.
@@ -188,6 +190,23 @@ def reshard(
     return plan, placed.select("row", "size", "old", "shard", slot)
 
 
+def tell_apart(rows: DataFrame, slim: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """Both with a new ``r`` for the rows of groups that agree in ``g`` and ``r`` and hold 1/FINE of all bytes."""
+    total = slim.agg(F.sum("size")).first()[0] or 0
+    heavy = slim.groupBy("g", "r").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    heavy = heavy.where((F.col("size") * FINE > total) & (F.col("n") > 1)).select("g", "r").collect()  # less than FINE
+    if not heavy:
+        return rows, slim
+    # A small table, so that neither side of the join is shuffled.
+    heavy = F.broadcast(rows.sparkSession.createDataFrame(heavy, "g long, r long"))
+    # Stored once, so a row's number is the same whenever it is read.
+    number = F.xxhash64(F.lit("number"), F.monotonically_increasing_id())
+    numbered = staging.store(rows.join(heavy, ["g", "r"], "left_semi").withColumn("r", number), "numbered")
+    rows = rows.join(heavy, ["g", "r"], "left_anti").unionByName(numbered)
+    slim = slim.join(heavy, ["g", "r"], "left_anti").unionByName(numbered.select(slim.columns))
+    return rows, slim
+
+
 def free_name(name: str, taken: list[str]) -> str:
     """``name``, with underscores in front while another column has it (letter case does not tell columns apart)."""
     while name.lower() in {c.lower() for c in taken}:
