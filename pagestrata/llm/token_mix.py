@@ -29,9 +29,9 @@ def n_words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def doc_hash(id_col: str, seed: str = "mix") -> Column:
-    """60 bits of an MD5 of the id, which other engines have too."""
-    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def doc_hash(id_col: str, text: str, seed: str = "mix") -> Column:
+    """60 bits of an MD5 of the id, or of the text where there is no id; other engines have it too."""
+    key = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
     return F.conv(F.substring(F.md5(key), 1, BITS // 4), 16, 10).cast("long")
 
 
@@ -57,8 +57,9 @@ def targets(sizes: list[tuple[str | None, int]], weights: list[float], share: fl
 def thresholds(rows: DataFrame, budgets: DataFrame, staging: Staging) -> DataFrame:
     """``budgets(source, rest)`` with ``below``: documents whose hash is smaller make up about ``rest`` words.
 
-    ``rows(source, hash, size)`` is read once for each histogram. The error is at
-    most half of the document at the boundary.
+    ``rows(source, hash, size)`` is read once for each histogram. Where a budget
+    ends at a hash that several documents share, ``low`` is that hash and ``left``
+    the words they are to add (else null): ``settle_ties`` says which of them do.
     """
     # base: words below the boundary bucket; low: its first hash; bits: settled so far.
     at = budgets.select("source", "rest", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("base"))
@@ -68,17 +69,18 @@ def thresholds(rows: DataFrame, budgets: DataFrame, staging: Staging) -> DataFra
         inside = rows.join(at.select(F.col("source").alias("s"), "low"), F.col("source").eqNullSafe(F.col("s")))
         inside = inside.where((F.col("hash") >= F.col("low")) & (F.col("hash") < F.col("low") + F.lit(wide)))
         bucket = (F.col("hash") - F.pmod("hash", F.lit(narrow))).alias("bucket")
-        sums = inside.groupBy("source", bucket).agg(F.sum("size").alias("words"))
+        sums = inside.groupBy("source", bucket).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
         sums = sums.join(at.select(F.col("source").alias("s"), "rest", "base"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
         upto = Window.partitionBy("source").orderBy("bucket")  # at most 2 ** STEP rows for each source
         run = F.col("base") + F.sum("words").over(upto)
-        sums = sums.select("source", "rest", "bucket", "words", run.alias("run")).where(F.col("run") > F.col("rest"))
-        first = sums.groupBy("source").agg(F.min(F.struct("bucket", "words", "run", "rest")).alias("x"))
-        at = first.select("source", "x.rest", F.col("x.bucket").alias("low"), (F.col("x.run") - F.col("x.words")).alias("base"), "x.words")
+        sums = sums.select("source", "rest", "bucket", "words", "n", run.alias("run")).where(F.col("run") > F.col("rest"))
+        first = sums.groupBy("source").agg(F.min(F.struct("bucket", "words", "run", "rest", "n")).alias("x"))
+        at = first.select("source", "x.rest", F.col("x.bucket").alias("low"), (F.col("x.run") - F.col("x.words")).alias("base"), "x.words", "x.n")
         at = staging.store(at, f"boundary_{k}")
     # One hash is left: it goes in if that comes closer to the budget.
-    nearer = F.when(2 * (F.col("rest") - F.col("base")) > F.col("words"), 1).otherwise(0)
-    end = at.select(F.col("source").alias("s"), (F.col("low") + nearer).alias("below"))
+    left = F.col("rest") - F.col("base")
+    nearer = F.when((F.col("n") == 1) & (2 * left > F.col("words")), 1).otherwise(0)
+    end = at.select(F.col("source").alias("s"), (F.col("low") + nearer).alias("below"), F.when(F.col("n") > 1, F.col("low")).alias("low"), F.when(F.col("n") > 1, left).alias("left"))
     every = budgets.join(end, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     return every.withColumn("below", F.coalesce("below", F.lit(1 << BITS)))
 
@@ -99,14 +101,17 @@ def mix(
     the order of their code points, null last. A document is taken whole: as
     often as its source's size fits into the target, and once more if its hash
     is below the source's threshold. A null text has size 0 and so has an empty
-    one. Null is a source like others. Rows that share an id share their fate.
+    one. Null is a source like others. Rows without id are hashed by their text.
+    Rows that share an id share their fate, but where a budget ends among them:
+    there as many of them are taken as come closest to it, so each source's words
+    miss the target by half of one document at most.
     An empty table gives no rows. More than MAX_SOURCES sources are an error.
     """
     spark = docs.sparkSession
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(source).cast("string").alias("source"),
-        doc_hash(id_col).alias("hash"),
+        doc_hash(id_col, text).alias("hash"),
         n_words(text).alias("size"),
     )
     slim = staging.store(packed.select("source", "hash", "size"), "sizes")
@@ -122,14 +127,42 @@ def mix(
     ]
     plan = spark.createDataFrame(plan, "source string, source_size long, target double, whole int, rest double")
     plan = plan.join(
-        thresholds(slim, plan.select("source", "rest"), staging).select(F.col("source").alias("s"), "below"),
+        thresholds(slim, plan.select("source", "rest"), staging).select(F.col("source").alias("s"), "below", "low", "left"),
         F.col("source").eqNullSafe(F.col("s")),
-    ).select(F.col("source").alias("of"), "source_size", "target", "whole", "below")
+    ).select(F.col("source").alias("of"), "source_size", "target", "whole", "below", "low", "left")
     # One row for each source, at most MAX_SOURCES.
-    plan = F.broadcast(staging.store(plan, "plan"))
+    plan = staging.store(plan, "plan")
+    tied = plan.where(F.col("low").isNotNull() & (F.col("whole") < most)).count() > 0
+    plan = F.broadcast(plan)
     taken = F.col("whole") + F.when((F.col("whole") < most) & (F.col("hash") < F.col("below")), 1).otherwise(0)
     joined = packed.join(plan, F.col("source").eqNullSafe(F.col("of")))
-    return joined.select("row", "size", "source_size", "target", taken.cast("int").alias("copies"))
+    names = ["row", "size", "source_size", "target"]
+    out = joined.select(*names, taken.cast("int").alias("copies"))
+    if not tied:
+        return out
+    at_tie = F.coalesce((F.col("hash") == F.col("low")) & (F.col("whole") < most), F.lit(False))
+    ties = settle_ties(joined.where(at_tie).select(*names, "of", "whole", "left"), staging).select(*names, "copies")
+    return joined.where(~at_tie).select(*names, taken.cast("int").alias("copies")).unionByName(ties)
+
+
+def settle_ties(rows: DataFrame, staging: Staging) -> DataFrame:
+    """``rows`` with ``copies``: of each source's documents the first ones that add about ``left`` words.
+
+    The rows are stored once, which fixes their order; each of its tasks sums its
+    own part, however many rows share a hash.
+    """
+    numbered = rows.withColumn("part", F.spark_partition_id()).withColumn("n", F.monotonically_increasing_id())
+    stored = staging.store(numbered, "ties")
+    sums = stored.groupBy("of", "part").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    sums = sums.select(F.col("of").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
+    own = Window.partitionBy("of", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    run = stored.select("of", "part", "n", "size").withColumn("run", F.sum("size").over(own))
+    run = run.join(sums, F.col("of").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    run = run.select(F.col("n").alias("k"), (F.col("before") + F.col("run")).alias("run"))
+    out = stored.join(run, F.col("n") == F.col("k"))
+    more = F.when(2 * F.col("run") - F.col("size") < 2 * F.col("left"), 1).otherwise(0)
+    return out.withColumn("copies", (F.col("whole") + more).cast("int"))
 
 
 def taken(mixed: DataFrame) -> DataFrame:
@@ -155,7 +188,7 @@ def sql_targets(weights: list[float], share: float, most: float, rounds: int = 8
     )
     return f"""sizes AS (
         SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-               ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+               ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS hash
         FROM documents
     ), ranked AS (
         SELECT source, n, false AS full_,
@@ -169,12 +202,10 @@ SQL = f"""
         SELECT *, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END AS whole FROM goal
     ), running AS (
         SELECT s.*, n, target, whole, target - whole * n AS rest,
-            sum(size) OVER (PARTITION BY s.source ORDER BY hash RANGE UNBOUNDED PRECEDING) AS run,
-            sum(size) OVER (PARTITION BY s.source, hash) AS own
+            sum(size) OVER (PARTITION BY s.source ORDER BY hash, size ROWS UNBOUNDED PRECEDING) AS run
         FROM sizes s JOIN budget b ON s.source IS NOT DISTINCT FROM b.source
     )
     SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, target,
-        (size * (whole + CASE WHEN whole < 2 AND (run <= rest OR run > rest AND run - own <= rest
-            AND 2 * (rest - (run - own)) > own) THEN 1 ELSE 0 END))::BIGINT AS taken
+        (size * (whole + CASE WHEN whole < 2 AND 2 * run - size < 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
     FROM running
 """
