@@ -18,8 +18,9 @@ import uuid
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagestrata.llm.words import map_texts, utf8
 from pagestrata.sources.tables import Staging
@@ -36,7 +37,7 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 def line_keys(docs: DataFrame, id_col: str, text: str, min_chars: int) -> DataFrame:
-    """``(id, k1, k2)``: each key of each document once."""
+    """``(id, h, k1, k2)``: each key of each document once; ``h`` is a hash of the text."""
 
     def make():
         def of(texts):
@@ -45,11 +46,12 @@ def line_keys(docs: DataFrame, id_col: str, text: str, min_chars: int) -> DataFr
 
         return of
 
-    packed = map_texts(docs.select(id_col, text), text, make, "keys binary, n int").where("out.n > 0")
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), text_hash(F.col(text)).alias("h"))
+    packed = map_texts(slim, "text", make, "keys binary, n int").where("out.n > 0")
     at = F.explode(F.sequence(F.lit(0), F.col("out.n") - 1)).alias("at")
-    packed = packed.select(F.col("row")[id_col].alias("id"), F.col("out.keys").alias("keys"), at)
+    packed = packed.select(F.col("row.id").alias("id"), F.col("row.h").alias("h"), F.col("out.keys").alias("keys"), at)
     half = lambda k: F.conv(F.hex(F.substring("keys", F.col("at") * 16 + 1 + 8 * k, F.lit(8))), 16, -10).cast("long")
-    return packed.select("id", half(0).alias("k1"), half(1).alias("k2"))
+    return packed.select("id", "h", half(0).alias("k1"), half(1).alias("k2"))
 
 
 class LineRuns:
@@ -101,10 +103,10 @@ class LineRuns:
         fresh = keys.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper"))
         for table in sum(self.levels, []):
             run = self.spark.table(table).where(F.col("n_docs") >= self.min_docs)
-            run = run.select(*KEY, F.col("keeper").alias("settled"))
+            run = run.select(*KEY, F.col("keeper").alias("settled")).where(F.col("settled").isNotNull())
             # Enough documents hold the line, one of them with a larger id than any here.
-            known = [fresh[k] == run[k] for k in KEY] + [run["settled"] >= fresh["keeper"]]
-            fresh = fresh.join(run, known, "left_anti")
+            no_larger = F.coalesce(run["settled"] >= fresh["keeper"], F.lit(True))
+            fresh = fresh.join(run, [fresh[k] == run[k] for k in KEY] + [no_larger], "left_anti")
         self._write(fresh, 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
@@ -140,6 +142,24 @@ def _without(min_chars: int):
     return run
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def batches_of(docs: DataFrame, id_col: str, text: str, batches: int) -> list[Column]:
+    """Conditions that cut documents into batches, larger integer ids first."""
+    of, part = F.col(id_col), F.pmod(text_hash(F.col(text)), F.lit(batches))
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return [part == k for k in range(batches)]
+    lo, hi = docs.agg(F.min(id_col), F.max(id_col)).first()
+    if lo is None:
+        return [part == k for k in range(batches)]
+    step = max(1, -(-(hi - lo + 1) // batches))
+    cuts = [max(lo, hi - (k + 1) * step + 1) for k in range(batches)]  # of >= cuts[k] and below the one before
+    inside = [of >= cuts[0]] + [(of >= a) & (of < b) for a, b in zip(cuts[1:], cuts)]
+    return [F.coalesce(x, part == k) for k, x in enumerate(inside)]
+
+
 def deduplicate_lines(
     docs: DataFrame,
     staging: Staging,
@@ -158,28 +178,25 @@ def deduplicate_lines(
     empty text is one empty line. Rows that share an id count as documents of
     their own and keep the same lines. A document without id holds lines but never
     keeps one that a document with id holds too; if none has an id, all keep it.
-    Batches are ranges of ids; their number and order do not change the result.
+    Ids can be of any type that has an order. Integer ids come in ranges, the
+    largest first, so that a line which enough documents of a batch hold is
+    settled for all later ones; others, and rows without id, by a hash of the text.
+    The batches' number and order do not change the result.
     """
-    lo, hi = docs.agg(F.min(id_col), F.max(id_col)).first()
-    step = max(1, -(-((hi or 0) - (lo or 0) + 1) // batches))
     keys = None
     with LineRuns(staging, min_docs, buckets) as runs:
-        for k in range(batches):
-            of = F.col(id_col)
-            inside = F.lit(True) if lo is None else (of >= lo + k * step) & (of < lo + (k + 1) * step)
-            if k == 0 and lo is not None:
-                inside = inside | of.isNull()
+        for k, inside in enumerate(batches_of(docs, id_col, text, batches)):
             batch = staging.store(line_keys(docs.where(inside), id_col, text, min_chars), f"lines_{k}")
             runs.add(batch)
             keys = batch if keys is None else keys.unionByName(batch)
-            if lo is None:  # no ids: one batch holds all
-                break
         repeated = staging.store(runs.repeated(), "repeated")
     gone = keys.join(repeated, KEY).where(F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper")))
     pack = F.unhex(F.concat(*[F.lpad(F.hex(k), 16, "0") for k in KEY]))
-    lists = gone.groupBy("id").agg(F.collect_set(pack).alias("keys")).select(F.col("id").alias("of"), F.array_join(F.transform("keys", F.hex), "").alias("keys"))
+    # Rows with the same id and text lose the same lines, so a list is never longer than one text.
+    lists = gone.groupBy("id", "h").agg(F.collect_set(pack).alias("keys")).select(F.col("id").alias("of"), "h", F.array_join(F.transform("keys", F.hex), "").alias("keys"))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = packed.join(lists, F.col("row")[id_col].eqNullSafe(F.col("of")), "left")
+    same = F.col("row")[id_col].eqNullSafe(F.col("of")) & (text_hash(F.col("row")[text]) == F.col("h"))
+    joined = packed.join(lists, same, "left")
     joined = joined.select("row", F.coalesce(F.col("row")[text].cast("string"), F.lit("")).alias("text"), F.unhex("keys").alias("keys"))
     schema = f"row {packed.schema['row'].dataType.simpleString()}, text string, n_lines long, n_dropped long"
     return joined.mapInArrow(_without(min_chars), schema)
