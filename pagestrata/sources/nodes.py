@@ -72,7 +72,11 @@ def _to_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 def _size(row: tuple) -> int:
-    return 100 + 40 * len(row[11] or ()) + sum(len(c) for c in row if isinstance(c, str))
+    size = 100 + 40 * len(row[11])
+    for k in (1, 7, 8, 10, 12, 13, 14):
+        if row[k]:
+            size += len(row[k])
+    return size
 
 
 def _text(html: bytes | str | None, charset: str | None) -> str:

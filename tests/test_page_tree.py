@@ -1,4 +1,5 @@
 import codecs
+import gc
 import random
 import time
 
@@ -364,3 +365,16 @@ def test_formatted_cells_give_their_items(pages_of):
     )
     rows = extract_sections(explode_nodes(pages_of(html), request()))
     assert rows.count() >= 1
+
+
+def test_a_read_page_leaves_nothing_to_the_cycle_collector():
+    tags = dict.fromkeys(("p", "td", "b"), ())
+    html = '<table><p>x</p><tr><td>1</td></tr></table><b><p>y</b>t</p><a href="/z">z</a>' * 50
+    list(page_elements(html, "http://host.example/", NodeRequest(elements=tags, text=tags)))
+    gc.collect()
+    gc.disable()
+    try:
+        list(page_elements(html, "http://host.example/", NodeRequest(elements=tags, text=tags)))
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
