@@ -611,9 +611,9 @@ def q26(spark, sf):
 
 # A document as a section page: a header every five lines, then the lines as
 # descriptions, placed in turn in the four positions a cell is looked for.
-def _doc_lines(spark: SparkSession, sf: str) -> DataFrame:
+def _doc_lines(spark: SparkSession, sf: str, keep: Column | str = "true") -> DataFrame:
     lines = F.filter(F.transform(text.split_lines("text"), text.trim_all), lambda x: x != "")
-    return _documents(spark, sf).select("doc_id", "lang", "source", lines.alias("lines"))
+    return _documents(spark, sf).where(keep).select("doc_id", "lang", "source", lines.alias("lines"))
 
 
 def _escape(c: Column) -> Column:
@@ -973,9 +973,9 @@ def q37(spark, sf):
 # --- the remaining rules of cards and page text ----------------------------
 
 
-def _rule_pages(spark: SparkSession, sf: str, html: Column) -> DataFrame:
+def _rule_pages(spark: SparkSession, sf: str, html: Column, keep: Column | str = "true") -> DataFrame:
     url = F.concat(F.lit("http://docs.example/d/"), "doc_id")
-    return _doc_lines(spark, sf).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
+    return _doc_lines(spark, sf, keep).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
 @query(
@@ -1033,9 +1033,8 @@ def q39(spark, sf):
         F.lit('<ul><li><a href="/x">x</a></li></ul><article class="lista principaisnormas">'),
         F.array_join(F.transform("lines", article), ""), F.lit("</article>"),
     )
-    pages = _rule_pages(spark, sf, html).join(
-        _doc_lines(spark, sf).where(F.size("lines") > 0).select(F.col("doc_id").alias("page_id")), "page_id", "left_semi"
-    )
+    has_lines = text.trim_all("text") != ""  # asked of the text, as asking it of the lines would split them twice
+    pages = _rule_pages(spark, sf, html, has_lines)
     cards = card_plan.extract_cards(explode_nodes(pages, card_plan.REQUEST))
     return cards.select("page_id", "strategy", "title", "snippet", "link")
 

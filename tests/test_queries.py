@@ -27,3 +27,8 @@ def test_query_equals_its_sql(spark, con, name):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == COLUMNS and df.count() > 0
+
+
+def test_listing_articles_read_the_documents_once(spark):
+    plan = QUERIES["q39_listing_articles"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
