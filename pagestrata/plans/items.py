@@ -93,8 +93,9 @@ def extract_items(
     items = store(extract_sections(nodes), "section_items")
     if linked is None:
         linked = page_text.unique_by_url(page_text.page_text(nodes))
-    generic = extract_cards(nodes).join(items.select("page_id").distinct(), "page_id", "left_anti")
-    generic = store(generic, "cards")
+    # Cards are found within a page, so pages that have section items are left out before they are looked for.
+    others = nodes.where(F.col("tag").isin(*cards.REQUEST.elements)).join(items.select("page_id").distinct(), "page_id", "left_anti")
+    generic = store(extract_cards(others), "cards")
     if callable(linked):
         linked = linked(generic.where("link IS NOT NULL").select(link_key("link").alias("url")).distinct())
     return section_records(items, run_date, run_id, labels).unionByName(

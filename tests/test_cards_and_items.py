@@ -164,3 +164,13 @@ def test_a_long_text_costs_nothing_for_parts_that_do_not_show_it(cards_of):
     short, long = f"<ul>{items}</ul><p>x", f"<ul>{items}</ul><p>{'x' * 1_000_000}"
     seconds(short)
     assert min(seconds(long) for _ in range(2)) < 2 * min(seconds(short) for _ in range(2))
+
+
+def test_cards_are_looked_for_only_in_pages_without_section_items(spark, pages_of, monkeypatch):
+    section = '<table><tr><td><strong>ISSQN - SP - Um</strong></td></tr><tr><td class=txt_cinza><strong>Lei 1</strong><br>a</td></tr></table>'
+    staging, asked = Staging(spark), []
+    nodes = staging.store(explode_nodes(pages_of(section, "<ul><li><h3>t</h3><p>s</p></li></ul>"), items.REQUEST), "n")
+    monkeypatch.setattr(items, "extract_cards", lambda n: (asked.append({r.page_id for r in n.collect()}), cards.extract_cards(n))[1])
+    out = items.extract_items(nodes, DAY, "r1", staging.store)
+    assert asked == [{1}]
+    assert sorted(r["Ato"] for r in out.collect()) == ["Lei 1", "t"]
