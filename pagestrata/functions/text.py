@@ -28,6 +28,13 @@ HEADER_WORD = "ISSQN"
 _SPACE = r"(?U)[\s\x1c-\x1f]"
 _BLANK = r"(?U)[\s\x1f&&[^\v\x1c-\x1e]]"
 _BREAK = r"\v\x1c-\x1e"
+# What is not in order yet: a run of two or more, or a single one that is not what it becomes. Nearly all
+# of a text is a letter or a lone space, which are passed over and not copied; letters fail the first test.
+_ODD_SPACES, _ODD_BLANKS = (
+    rf"(?U)[[^!-~]&&{c}](?:{c}+|(?<! ))" for c in (_SPACE.removeprefix("(?U)"), _BLANK.removeprefix("(?U)"))
+)
+_ODD_BREAKS = rf"[[^ -~]&&[{_BREAK}]](?:[ {_BREAK}]+|(?<!\n))"
+_ODD_XML_SPACES = r"[ \t\r\n](?:[ \t\r\n]+|(?<! ))"
 
 # What counts as a line break tag, a format tag, any tag, and a date.
 _LINE_TAG = r"(?iU)<br[\s\x1c-\x1f]*/?>"
@@ -47,12 +54,12 @@ def trim_all(c: Column | str) -> Column:
 
 def norm_text(c: Column | str) -> Column:
     """Trim, collapse inner whitespace to one space, null becomes ``''``; case is kept."""
-    return F.coalesce(F.btrim(F.regexp_replace(_col(c), _SPACE + "+", " ")), F.lit(""))
+    return F.coalesce(F.btrim(F.regexp_replace(_col(c), _ODD_SPACES, " ")), F.lit(""))
 
 
 def norm_xpath(c: Column | str) -> Column:
     """XPath ``normalize-space``: only space, tab, CR and LF count as whitespace."""
-    return F.coalesce(F.btrim(F.regexp_replace(_col(c), "[ \t\r\n]+", " ")), F.lit(""))
+    return F.coalesce(F.btrim(F.regexp_replace(_col(c), _ODD_XML_SPACES, " ")), F.lit(""))
 
 
 def fold(c: Column | str) -> Column:
@@ -90,8 +97,8 @@ def clean_html_text(c: Column | str) -> Column:
     s = F.regexp_replace(s, _FORMAT_TAG, "")
     s = F.regexp_replace(s, _ANY_TAG, "")
     s = F.when(c.contains("<"), s).otherwise(c)
-    s = F.regexp_replace(s, _BLANK + "+", " ")
-    s = F.regexp_replace(s, rf" ?[{_BREAK}][ {_BREAK}]*", "\n")
+    s = F.regexp_replace(s, _ODD_BLANKS, " ")
+    s = F.replace(F.regexp_replace(s, _ODD_BREAKS, "\n"), F.lit(" \n"), F.lit("\n"))
     return F.coalesce(F.btrim(s, F.lit(" \n")), F.lit(""))
 
 

@@ -163,3 +163,18 @@ def test_first_truthy_and_contains_any(spark):
         text.contains_any("c", ("x", "c")).alias("w"),
     )
     assert tuple(row.first()) == ("c", "", False, True)
+
+
+@pytest.mark.parametrize("odd", ["_ODD_SPACES", "_ODD_BLANKS", "_ODD_BREAKS", "_ODD_XML_SPACES"])
+def test_text_in_order_is_passed_over(spark, odd):
+    found = F.regexp_count(F.col("t"), F.lit(getattr(text, odd)))
+    rows = spark.createDataFrame([("a few words, each after one space",), (" a b ",)], "t string").select(found.alias("n")).collect()
+    assert [r.n for r in rows] == [0, 0]
+
+
+def test_odd_runs_become_one_space_or_line_end(values):
+    runs = [" ", "  ", "\t", " \t", "\t ", "\xa0", " \xa0 ", "\x1f", "\u2003 "]
+    assert values(text.norm_text, [f"a{r}b" for r in runs]) == ["a b"] * len(runs)
+    assert values(text.clean_html_text, [f"a{r}b" for r in runs]) == ["a b"] * len(runs)
+    ends = ["\n", " \n", "\n ", "\r\n", " \r \x0b ", "\x1c", "\u2028\t", "\n\n"]
+    assert values(text.clean_html_text, [f"a{r}b" for r in ends]) == ["a\nb"] * len(ends)
