@@ -378,3 +378,22 @@ def test_a_read_page_leaves_nothing_to_the_cycle_collector():
         assert gc.collect() == 0
     finally:
         gc.enable()
+
+
+def test_a_tag_written_again_is_not_taken_apart_again(monkeypatch):
+    from pagestrata.sources import page_tree
+
+    taken = []
+    monkeypatch.setattr(page_tree, "_attributes", lambda source, real=page_tree._attributes: (taken.append(source), real(source))[1])
+    page = '<table><tr><td class="c1 q">%s</td></tr></table>'
+    request = NodeRequest(elements={"td": ("c1",)}, text={"td": ("c1",)})
+    for k in range(20):
+        assert [r[10] for r in page_elements(page % k, "", request)] == [str(k)]
+    assert len(taken) == 1
+
+
+def test_a_tag_whose_end_hangs_on_what_follows_is_read_anew():
+    request = NodeRequest(elements={"b": (), "i": ()}, text={"b": (), "i": ()})
+    for _ in range(2):
+        assert [(r[4], r[10]) for r in page_elements('<b title="x>y</b>', "", request)] == [("b", "y")]
+        assert [(r[4], r[10]) for r in page_elements('<b title="x>y</b>">z</b>', "", request)] == [("b", "z")]
