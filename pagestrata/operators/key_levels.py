@@ -31,15 +31,18 @@ KEYS = T.StructType(
 def _register(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int) -> str:
     name = f"levels_{uuid.uuid4().hex}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
     return name
 
 
 def write_bucketed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
-    """A table bucketed and sorted by ``key``, one file for each bucket; it is in no catalog afterwards."""
+    """A table bucketed by ``key``, one file for each bucket; it is in no catalog afterwards.
+
+    Buckets are sorted by kind, where rows have one, and key: a look-up asks for one kind and skips the pages of the others.
+    """
     name = f"levels_{uuid.uuid4().hex}"
     dealt = rows.repartition(buckets, key)
-    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    dealt.write.bucketBy(buckets, key).sortBy(*[c for c in ("kind", key) if c in rows.columns]).option("path", path).saveAsTable(name)
     rows.sparkSession.sql(f"DROP TABLE {name}")  # external: the files stay
 
 

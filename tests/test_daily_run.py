@@ -5,6 +5,7 @@ from functools import partial
 
 import pytest
 
+from pagestrata.operators import key_levels
 from pagestrata.operators.key_levels import KeyLevels
 from pagestrata.plans import daily_run
 from pagestrata.schema import COLUMNS, PAGES
@@ -378,3 +379,13 @@ def test_quarantine_and_replay(spark, tmp_path, monkeypatch):
     assert [r[0] for r in stored(spark, out)] == ["Lei 1", "Lei 3", "Lei 2"]
     assert [bytes(r.html) for r in daily_run.quarantined(spark, out).collect()] == [acts[3].encode()]
     assert daily_run.replay(spark, out, DAY2, "third") is None and daily_run.quarantined(spark, out).count() == 1
+
+
+def test_keys_of_a_kind_lie_together(spark, tmp_path):
+    rows = [(kind, bytes([k, k]), (1, "r", k, 0), False) for k in range(40) for kind in ("normal", "exact", "exact_null")]
+    path = str(tmp_path / "keys")
+    key_levels.write_bucketed(spark.createDataFrame(rows, key_levels.KEYS), path, "key", 2)
+    for f in sorted(os.listdir(path)):
+        if f.endswith(".parquet"):
+            kinds = [r.kind for r in spark.read.parquet(f"{path}/{f}").coalesce(1).collect()]
+            assert len(kinds) > 3 and kinds == sorted(kinds)
