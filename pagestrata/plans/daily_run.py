@@ -32,8 +32,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from pagestrata.operators.dedupe import align_columns, digest, empty_as_null, keep_first, normalise_keys
+from pagestrata.operators.dedupe import align_columns, digest, empty_as_null, normalise_keys
 from pagestrata.operators.key_levels import KEYS, KeyLevels, merged, write_bucketed
 from pagestrata.plans import items as items_plan
 from pagestrata.plans.page_text import page_text, unique_by_url
@@ -129,14 +130,20 @@ def exact_pass(batch: DataFrame, levels: KeyLevels, gone: DataFrame, empty_is_nu
     """The first batch row of each exact key that the base, without the rows in ``gone``, does not have."""
     keyed = batch.withColumn("key", digest(PRIMARY_KEYS))
     known = levels.having(keyed, "exact_null" if empty_is_null else "exact").join(gone, "seq", "left_anti")
-    return keep_first(keyed, ["key"]).join(known, "key", "left_anti").drop("key")
+    return _first_new(keyed, known).drop("key")
 
 
 def normalised_pass(rows: DataFrame, levels: KeyLevels, gone: DataFrame) -> DataFrame:
     """Of rows that passed: the first of each normalised key that the base does not have, normalised."""
     keyed = normalise_keys(rows).withColumn("key", digest(NORMALISED_KEYS))
     known = levels.having(keyed, "normal").join(gone, "seq", "left_anti")
-    return keep_first(keyed, ["key"]).join(known, "key", "left_anti").select(*COLUMNS, "seq")
+    return _first_new(keyed, known).select(*COLUMNS, "seq")
+
+
+def _first_new(keyed: DataFrame, known: DataFrame) -> DataFrame:
+    """The first row of each ``key`` that is not among the known ones. A key is a digest, so one shuffle by it serves both."""
+    first = Window.partitionBy("key").orderBy("seq")
+    return keyed.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn").join(known, "key", "left_anti")
 
 
 def overtaken(levels: KeyLevels, newest: DataFrame, empty_is_null: bool) -> DataFrame:

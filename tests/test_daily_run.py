@@ -381,6 +381,24 @@ def test_quarantine_and_replay(spark, tmp_path, monkeypatch):
     assert daily_run.replay(spark, out, DAY2, "third") is None and daily_run.quarantined(spark, out).count() == 1
 
 
+def test_a_pass_shuffles_its_rows_once(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{k % 5}", *["x"] * 8, (1, "r", k, 0)) for k in range(20)], daily_run.RECORDS)
+    keyed = rows.withColumn("key", daily_run.digest(daily_run.PRIMARY_KEYS))
+    known = keyed.where("Ato = '3'").select("key").limit(1)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with KeyLevels(spark, [], 8) as levels:
+            plan = daily_run.exact_pass(rows, levels, spark.createDataFrame([], daily_run.REMOVED), True)
+            whole = [x for x in plan._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(" in x]
+            assert not any("xxhash64" in x for x in whole)
+            assert sorted((r["Ato"], r["seq"].page_id) for r in plan.collect()) == [(f"{k}", k) for k in range(5)]
+        left = daily_run._first_new(keyed, known).collect()
+        assert sorted((r["Ato"], r["seq"].page_id) for r in left) == [("0", 0), ("1", 1), ("2", 2), ("4", 4)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_keys_of_a_kind_lie_together(spark, tmp_path):
     rows = [(kind, bytes([k, k]), (1, "r", k, 0), False) for k in range(40) for kind in ("normal", "exact", "exact_null")]
     path = str(tmp_path / "keys")
