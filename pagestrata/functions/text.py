@@ -34,6 +34,8 @@ _ODD_SPACES, _ODD_BLANKS = (
     rf"(?U)[[^!-~]&&{c}](?:{c}+|(?<! ))" for c in (_SPACE.removeprefix("(?U)"), _BLANK.removeprefix("(?U)"))
 )
 _ODD_BREAKS = rf"[[^ -~]&&[{_BREAK}]](?:[ {_BREAK}]+|(?<!\n))"
+# A line end: one character, or CR and LF. The class comes first, so that letters fail the first test here too.
+_LINE_END = rf"[[^ -~]&&[{_BREAK}]](?:(?<=\r)\n)?"
 _ODD_XML_SPACES = r"[ \t\r\n](?:[ \t\r\n]+|(?<! ))"
 
 # What counts as a line break tag, a format tag, any tag, and a date.
@@ -82,7 +84,7 @@ def contains_any(c: Column | str, words: tuple[str, ...] | list[str]) -> Column:
 
 def split_lines(c: Column | str) -> Column:
     """Array of lines, split at every Unicode line boundary."""
-    return F.split(_col(c), rf"\r\n|[{_BREAK}]")
+    return F.split(_col(c), _LINE_END)
 
 
 def clean_html_text(c: Column | str) -> Column:

@@ -29,6 +29,21 @@ REQUEST = NodeRequest(
 ROLES = {"title": ("t1", "t2", "t3", "t4", "t5"), "snippet": ("s1", "s2"), "link": ("l1", "l2")}
 
 
+def _strategy() -> Column:
+    """By which rule an element may be a card; null for every other one."""
+    tag, path = F.col("tag"), F.col("path")
+    return (
+        F.when(path.rlike("/table/(.*/)?tbody/(.*/)?tr$"), 1)
+        .when((tag == "article") & has_ancestor(is_tag("article", classes=(LISTING_CLASS,))), 2)
+        .when(path.endswith("/ul/li"), 3)
+    )
+
+
+def listing_pages(nodes: DataFrame) -> DataFrame:
+    """``(page_id)`` of the pages in which anything may be a card; no other page gives one."""
+    return nodes.where(F.col("tag").isin(*CONTAINERS) & _strategy().isNotNull()).select("page_id").distinct()
+
+
 def extract_cards(nodes: DataFrame) -> DataFrame:
     """``cards(page_id, url, card_pre, strategy, title, snippet, link)``, empty cards dropped.
 
@@ -39,12 +54,7 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
     carries places, and whether there is anything to show, but no texts: those
     of the parts that a card shows in the end are looked up once. The plan has one shuffle.
     """
-    tag, path = F.col("tag"), F.col("path")
-    strategy = (
-        F.when(path.rlike("/table/(.*/)?tbody/(.*/)?tr$"), 1)
-        .when((tag == "article") & has_ancestor(is_tag("article", classes=(LISTING_CLASS,))), 2)
-        .when(path.endswith("/ul/li"), 3)
-    )
+    tag = F.col("tag")
     snippet_div = (tag == "div") & contains_any("class", SNIPPET_CLASSES)
     rows = nodes.where(tag.isin(*[t for t in REQUEST.elements if t != "div"]) | snippet_div).select(
         "page_id",
@@ -52,7 +62,7 @@ def extract_cards(nodes: DataFrame) -> DataFrame:
         "pre",
         last_pre().alias("end"),
         "tag",
-        strategy.alias("strategy"),
+        _strategy().alias("strategy"),
         "text",
         "href",
         contains_any("class", TITLE_CLASSES).alias("titled"),

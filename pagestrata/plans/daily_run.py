@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 from pagestrata.operators.dedupe import align_columns, digest, empty_as_null, normalise_keys
 from pagestrata.operators.key_levels import KEYS, KeyLevels, merged, write_bucketed
 from pagestrata.plans import items as items_plan
-from pagestrata.plans.page_text import page_text, unique_by_url
+from pagestrata.plans.page_text import captured, unique_by_url
 from pagestrata.plans.report import count_items, run_report
 from pagestrata.schema import COLUMNS, NORMALISED_KEYS, PRIMARY_KEYS, RECORDS, SEQ, Labels
 from pagestrata.sources.nodes import check_page_ids, explode_nodes, numbered
@@ -262,9 +262,8 @@ def run_nodes(
     if unreadable:
         log.warning("%d pages could not be read", unreadable)
         nodes = nodes.join(bad, "page_id", "left_anti")
-    captured = staging.store(unique_by_url(page_text(nodes)), "captured")
     # Named by version, as runs that store nothing use no number up: later ones compare as larger.
-    captured.select("url", "title", "body", F.lit(f"{version.number + 1:012d}-{folder}").alias("run")).write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
+    captured(nodes).withColumn("run", F.lit(f"{version.number + 1:012d}-{folder}")).write.mode("overwrite").parquet(f"{out_dir}/linked/{folder}")
     links = Part("linked", folder, 0, number, number)
     taken = [links]
     if unreadable and failed is not None:
@@ -278,19 +277,21 @@ def run_nodes(
         _commit(snapshots, version, taken, None, {"buckets": buckets}, replayed)
 
     records = items_plan.extract_items(nodes, run_date, f"{number:012d}", staging.store, known, labels)
-    batch = staging.store(align_columns(records, COLUMNS, keep=("seq",)), "items")
+    records = align_columns(records, COLUMNS, keep=("seq",))
+    try:
+        records.write.mode("overwrite").parquet(f"{out_dir}/batch/{folder}")
+        batch = _parts(spark, out_dir, "batch", [folder], RECORDS)
+    except Exception:
+        log.exception("batch snapshot not written; going on")
+        batch = staging.store(records, "items")
     by_source = {r["Fonte"]: r["items"] for r in count_items(batch).collect()}  # one row for each kind of source
     n_items = sum(by_source.values())
     if n_items == 0:
         log.info("no items, nothing to store")
+        snapshots.remove("batch", folder)
         nothing_stored()
         return None
 
-    try:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch/{folder}")
-    except Exception:
-        log.exception("batch snapshot not written; going on")
-
     with KeyLevels(spark, snapshots.paths(version.of("keys")), buckets) as levels:
         try:
             newest = _of(spark, out_dir, version, "newest", NEWEST)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagestrata.functions.dates import extraction_date
 from pagestrata.functions.text import first_truthy, pub_date_from_tail, trim_all
 from pagestrata.plans import cards, page_text, sections
-from pagestrata.plans.cards import extract_cards
+from pagestrata.plans.cards import extract_cards, listing_pages
 from pagestrata.plans.page_text import link_key
 from pagestrata.plans.sections import extract_sections
 from pagestrata.schema import Labels
@@ -92,9 +92,13 @@ def extract_items(
     """
     items = store(extract_sections(nodes), "section_items")
     if linked is None:
-        linked = page_text.unique_by_url(page_text.page_text(nodes))
-    # Cards are found within a page, so pages that have section items are left out before they are looked for.
-    others = nodes.where(F.col("tag").isin(*cards.REQUEST.elements)).join(items.select("page_id").distinct(), "page_id", "left_anti")
+        linked = page_text.captured(nodes)
+    # Cards are found within a page, so pages that have section items, or nothing that can be a card, are left
+    # out before they are looked for. Their numbers are stored, so that it is known whether they are few.
+    listings = listing_pages(nodes).join(items.select("page_id").distinct(), "page_id", "left_anti")
+    listings = store(listings.withColumnRenamed("page_id", "_listing"), "listings")
+    parts = nodes.where(F.col("tag").isin(*cards.REQUEST.elements))
+    others = parts.join(listings, F.col("page_id").eqNullSafe(F.col("_listing")), "left_semi")
     generic = store(extract_cards(others), "cards")
     if callable(linked):
         linked = linked(generic.where("link IS NOT NULL").select(link_key("link").alias("url")).distinct())

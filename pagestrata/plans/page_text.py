@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagestrata.functions.text import first_truthy
 from pagestrata.operators.axes import has_ancestor, is_tag
@@ -40,33 +41,28 @@ def page_text(nodes: DataFrame) -> DataFrame:
     )
     # Titles are numbered so that the order of rules is the order of numbers.
     title = F.when(tag == "h1", F.when(in_article, 1).otherwise(2)).when(tag == "h2", F.when(in_article, 3).otherwise(4))
-    part = F.struct(
-        F.when(tag == "p", F.when(text != "", rule)).alias("rule"), title.alias("title"), "pre", "text"
-    )
+    rule = F.when((tag == "p") & (text != ""), rule)
+
+    def first_title(*ranks: int) -> Column:
+        return F.min(F.when(title.isin(*ranks), F.struct("pre", "text")))["text"]
+
     wanted = (tag != "p") | (text != "")
-    # The titles and paragraphs of one page, together no longer than the page itself.
+    # The paragraphs of one page, together no longer than the page itself. Which rule counts is found
+    # beside them: looked for in the list, it would be looked for again at every paragraph.
     pages = (
         nodes.where(tag.isin(*REQUEST.elements, PAGE) & F.coalesce(wanted, F.lit(True)))
         .groupBy("page_id", "url")
-        .agg(F.max(tag == PAGE).alias("loaded"), F.collect_list(F.when(tag != PAGE, part)).alias("parts"))
+        .agg(
+            F.max(tag == PAGE).alias("loaded"),
+            first_truthy(first_title(1), first_title(1, 2), first_title(3), first_title(3, 4)).alias("title"),
+            F.min(rule).alias("best"),
+            F.collect_list(F.when(rule.isNotNull(), F.struct(rule.alias("rule"), "pre", "text"))).alias("parts"),
+        )
         .where("loaded")
     )
-
-    def first_title(*ranks: int) -> Column:
-        found = F.filter("parts", lambda p: p["title"].isin(*ranks))
-        first = F.array_min(F.transform(found, lambda p: F.struct(p["pre"], p["text"])))
-        return first["text"]
-
-    best = F.array_min(F.transform("parts", lambda p: p["rule"]))
-    chosen = F.filter("parts", lambda p: p["rule"] == best)
-    chosen = F.array_sort(F.transform(chosen, lambda p: F.struct(p["pre"], p["text"])))
-    body = F.array_join(F.transform(chosen, lambda p: p["text"]), "\n\n")
-    return pages.select(
-        "page_id",
-        "url",
-        first_truthy(first_title(1), first_title(1, 2), first_title(3), first_title(3, 4)).alias("title"),
-        F.when(best.isNotNull(), body).alias("body"),
-    )
+    chosen = F.sort_array(F.filter("parts", lambda p: p["rule"] == F.col("best")))
+    body = F.array_join(chosen["text"], "\n\n")
+    return pages.select("page_id", "url", "title", F.when(F.col("best").isNotNull(), body).alias("body"))
 
 
 def link_key(url: Column | str) -> Column:
@@ -81,3 +77,16 @@ def unique_by_url(linked: DataFrame) -> DataFrame:
         .agg(F.min_by(F.struct("title", "body"), "page_id").alias("first"))
         .select("url", "first.title", "first.body")
     )
+
+
+def captured(nodes: DataFrame) -> DataFrame:
+    """``unique_by_url`` of the ``page_text`` of nodes, with texts dealt out once.
+
+    Which page is the first of its address is found on the rows that stand for
+    pages. The others lose that row, so they give no text, as if not loaded.
+    ``nodes`` is read twice: pass a stored table.
+    """
+    first = Window.partitionBy(link_key("url")).orderBy("page_id", "url")
+    pages = nodes.where(F.col("tag") == PAGE).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+    shown = page_text(nodes.where(F.col("tag") != PAGE).unionByName(pages))
+    return shown.select(link_key("url").alias("url"), "title", "body")

@@ -174,3 +174,51 @@ def test_cards_are_looked_for_only_in_pages_without_section_items(spark, pages_o
     out = items.extract_items(nodes, DAY, "r1", staging.store)
     assert asked == [{1}]
     assert sorted(r["Ato"] for r in out.collect()) == ["Lei 1", "t"]
+
+
+def test_cards_are_looked_for_only_in_listings(spark, pages_of, monkeypatch):
+    article = "<article><h1>t</h1><p>a</p><a href=/x>b</a></article><table><thead><tr><td><p>c</td></tr></thead></table>"
+    rows = "<table><tr><td><h3>r</h3></td></tr></table>"
+    listing = "<article class=principaisnormas><article><p>n</p></article></article>"
+    staging, asked = Staging(spark), []
+    nodes = staging.store(explode_nodes(pages_of(article, rows, listing, "<ul><li>x</ul><ol><li><p>y</ol>"), items.REQUEST), "n")
+    monkeypatch.setattr(items, "extract_cards", lambda n: (asked.append({r.page_id for r in n.collect()}), cards.extract_cards(n))[1])
+    out = items.extract_items(nodes, DAY, "r1", staging.store)
+    assert asked == [{1, 2, 3}]
+    assert sorted((r["seq"].page_id, r["Ato"], r["Descrição"]) for r in out.collect()) == [(1, "r", ""), (2, "", "n")]
+
+
+def test_captured_deals_out_texts_once(spark, pages_of):
+    """The first page of each address, as by ``unique_by_url``; pages without content are not the first of anything."""
+    htmls = ["<b>none</b>", "<h1>a</h1><p>1", "<h1>b</h1><p>2", "<article><p>3", "<h1>c</h1>", "<h2>d</h2><p>4<p>5"]
+    urls = F.array(*[F.lit(u) for u in ("u", "u#x", "u", "v#y", "", None)])
+    pages = pages_of(*htmls).withColumn("url", urls[F.col("page_id").cast("int")])
+    nodes = Staging(spark).store(explode_nodes(pages, page_text.REQUEST), "nodes")
+    found = {r.url: (r.title, r.body) for r in page_text.captured(nodes).collect()}
+    assert found == {"u": ("a", "1"), "v": ("", "3"), "": ("c", None), None: ("d", "4\n\n5")}
+    assert found == {r.url: (r.title, r.body) for r in page_text.unique_by_url(page_text.page_text(nodes)).collect()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = page_text.captured(nodes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning(page_id") == 1 and plan.count("Exchange ") == 2
+
+
+def test_page_text_takes_linear_time(spark):
+    """The rule of a page is found once, not once for each of its paragraphs."""
+    import time
+
+    def seconds(n):
+        page = spark.range(-1, n).select(
+            F.lit(1).alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("int").alias("pre"),
+            F.when(F.col("id") < 0, "#page").otherwise("p").alias("tag"), F.lit("").alias("class"),
+            F.when(F.col("id") >= 0, F.col("id").cast("string")).alias("text"),
+            F.expr("cast(array() as array<struct<pre:int,tag:string,class:string>>)").alias("anc"),
+        )
+        start = time.perf_counter()
+        assert page_text.page_text(page).first().body == "\n\n".join(str(k) for k in range(n))
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert min(seconds(16000) for _ in range(2)) < 6 * max(0.3, min(seconds(4000) for _ in range(2)))

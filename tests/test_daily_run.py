@@ -407,3 +407,14 @@ def test_keys_of_a_kind_lie_together(spark, tmp_path):
         if f.endswith(".parquet"):
             kinds = [r.kind for r in spark.read.parquet(f"{path}/{f}").coalesce(1).collect()]
             assert len(kinds) > 3 and kinds == sorted(kinds)
+
+
+def test_records_are_written_once(spark, pages_of, tmp_path, monkeypatch):
+    """The batch folder is the table that a run works on; pages are written once too."""
+    stores, store = [], daily_run.Staging.store
+    monkeypatch.setattr(daily_run.Staging, "store", lambda self, df, name, **o: (stores.append(name), store(self, df, name, **o))[1])
+    out = str(tmp_path)
+    assert daily_run.run(pages_of(page(("Lei 1", "x"))), out, DAY1, "1", strict=True).first().stored == 1
+    assert daily_run.run(pages_of("<article><h1>a</h1></article>"), out, DAY1, "2", strict=True) is None
+    assert len(os.listdir(tmp_path / "batch")) == 1 and len(os.listdir(tmp_path / "linked")) == 2
+    assert "nodes" in stores and not {"items", "captured"} & set(stores)

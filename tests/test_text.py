@@ -178,3 +178,9 @@ def test_odd_runs_become_one_space_or_line_end(values):
     assert values(text.clean_html_text, [f"a{r}b" for r in runs]) == ["a b"] * len(runs)
     ends = ["\n", " \n", "\n ", "\r\n", " \r \x0b ", "\x1c", "\u2028\t", "\n\n"]
     assert values(text.clean_html_text, [f"a{r}b" for r in ends]) == ["a\nb"] * len(ends)
+
+
+def test_lines_end_at_every_break_and_once_at_cr_lf(values):
+    rng = random.Random(7)
+    inputs = ["", "\r", "\r\n", "\n\r", "\r\r\n\n", *["".join(rng.choices("ab \r\n" + text.LINE_BREAKS, k=9)) for _ in range(300)]]
+    assert values(text.split_lines, inputs) == [re.split(rf"\r\n|[{text.LINE_BREAKS}]", s) for s in inputs]
